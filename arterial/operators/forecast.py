@@ -18,7 +18,7 @@ from arterial.operators.features import lag_features, spatial_features, traffic_
 from arterial.operators.metrics import error_metrics
 from arterial.operators.normalize import apply_normalizer, fit_normalizer
 from arterial.operators.ordering import ROWS_PER_TASK
-from arterial.operators.sequences import row_at
+from arterial.operators.sequences import rows_at
 
 HORIZONS = (15, 30, 60)
 ENSEMBLE_WEIGHTS = {"lstm": 0.3, "cnn_lstm": 0.5, "gnn": 0.2}  # fixed values
@@ -203,13 +203,15 @@ def time_folds(
 ) -> DataFrame:
     """ML-8: consecutive, equally large folds in time; their borders are found by rank."""
     total = df.filter(F.col(ts).isNotNull()).count()
+    ranks = sorted({i * total // folds for i in range(1, folds)} - {0})
+    borders = rows_at(df, ranks, ts, tiebreak) if ranks else {}
     key = F.struct(F.unix_micros(ts), F.col(tiebreak).cast("long"))
     fold = F.lit(0)
     for i in range(1, folds):
-        rank = i * total // folds
-        if 0 < rank < total:
-            moment, tie = row_at(df, rank, ts, tiebreak)
-            fold = fold + F.coalesce((key >= F.struct(F.lit(moment), F.lit(tie).cast("long"))).cast("int"), F.lit(0))
+        if i * total // folds in borders:
+            moment, tie = borders[i * total // folds]
+            later = key >= F.struct(F.lit(moment), F.lit(tie).cast("long"))
+            fold = fold + F.coalesce(later.cast("int"), F.lit(0))
     return df.withColumn(name, fold)
 
 

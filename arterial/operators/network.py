@@ -76,7 +76,10 @@ def shortest_paths(
     lowest = edges.agg(F.min("weight")).first()[0]
     if lowest is not None and lowest < 0:
         raise ValueError("edge weights must not be negative")
-    targets = pairs.select(F.col("src").alias("source"), F.col("dst").alias("node"))
+    # a target no edge leads to is out of reach, so it need not be searched for
+    entered = lookup_join(pairs, edges.select("dst").distinct(), "dst", "left_semi")
+    targets = entered.filter(F.col("src") != F.col("dst")).unionByName(pairs.filter(F.col("src") == F.col("dst")))
+    targets = pin(targets.select(F.col("src").alias("source"), F.col("dst").alias("node")))
     wanted = targets.groupBy("source").agg(F.count("*").alias("_wanted"))
     steps = edges.select(F.col("src").alias("node"), F.col("dst").alias("_to"), "weight")
     state = wanted.select(

@@ -24,6 +24,8 @@ def order_statistics(
     about a thousandfold, and the last one ranks at most about ``max_values`` distinct values.
     """
     ranks = sorted(set(ranks))
+    if len(ranks) > 1 and ranks[-1] - ranks[0] > 1:  # only neighbouring ranks share a bracket
+        return {r: v for rank in ranks for r, v in order_statistics(df, column, [rank], max_values).items()}
     values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
     below, inside, margin = 0, values, 2.0 / _ACCURACY
     while True:

@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arterial.operators.ordering import ROWS_PER_TASK, OrderedRows
@@ -89,7 +90,7 @@ def chronological_split(
     first = total - math.ceil(fraction * total)
     if total == 0 or first >= total:
         return df.withColumn(name, F.lit("train"))
-    border = row_at(df, first, ts, tiebreak, max_values)
+    border = rows_at(df, [first], ts, tiebreak, max_values)[first]
     later = _at_or_after([("_micros", border[0]), (tiebreak, border[1])])
     return (
         df.withColumn("_micros", F.unix_micros(ts))
@@ -98,15 +99,21 @@ def chronological_split(
     )
 
 
-def row_at(
-    df: DataFrame, rank: int, ts: str, tiebreak: str, max_values: int = MAX_VALUES
-) -> tuple[int, int]:
-    """(microseconds, tiebreak) of the row with 0-based ``rank`` in (ts, tiebreak) order."""
-    times = df.select(F.unix_micros(ts).alias("t"), F.col(tiebreak).alias("k"))
-    moment = order_statistics(times, "t", [rank], max_values)[rank]
-    before = times.filter(F.col("t") < moment).count()
-    same = times.filter(F.col("t") == moment)
-    return moment, order_statistics(same, "k", [rank - before], max_values)[rank - before]
+def rows_at(
+    df: DataFrame, ranks: Sequence[int], ts: str, tiebreak: str, max_values: int = MAX_VALUES
+) -> dict[int, tuple[int, int]]:
+    """(microseconds, tiebreak) of the rows with 0-based ``ranks`` in (ts, tiebreak) order."""
+    times = df.select(F.unix_micros(ts).alias("t"), F.col(tiebreak).alias("k")).filter(F.col("t").isNotNull())
+    if times.count() <= max_values:
+        numbered = times.withColumn("i", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("t", "k")) - 1)
+        return {r["i"]: (r["t"], r["k"]) for r in numbered.filter(F.col("i").isin(list(ranks))).collect()}
+    found = {}
+    for rank, moment in order_statistics(times, "t", ranks, max_values).items():
+        before = times.filter(F.col("t") < moment).count()
+        same = times.filter(F.col("t") == moment)
+        tie = rank - before
+        found[rank] = (moment, order_statistics(same, "k", [tie], max_values)[tie])
+    return found
 
 
 def split_by_key(

@@ -102,7 +102,7 @@ def road_edges(spark, sf_dir) -> DataFrame:
             F.when(F.pmod(F.col("src") - 1, F.lit(50)) < 49, F.lit(-1)),
         )
     )
-    edges = ids.select("src", (F.col("src") + F.explode(steps)).cast("long").alias("dst"))
+    edges = ids.select("src", F.explode(steps).alias("step")).select("src", (F.col("src") + F.col("step")).alias("dst"))
     edges = edges.join(ids.withColumnRenamed("src", "dst"), "dst", "left_semi")
     weight = (1 + F.pmod(F.col("src") * 7 + F.col("dst") * 3, F.lit(5))).cast("double")
     return edges.select("src", "dst", weight.alias("weight"))

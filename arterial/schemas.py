@@ -3,8 +3,13 @@
 from pyspark.sql import types as T
 
 
+_TYPES = {"STRING": T.StringType(), "TIMESTAMP": T.TimestampType(), "DOUBLE": T.DoubleType(), "INT": T.IntegerType()}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Fields as ``name TYPE``; needs no session, unlike the DDL parser."""
+    fields = [field.split() for field in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 TRAFFIC_READING = _struct(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,14 +45,14 @@ def read_sensor_files(
     start_time: datetime | None = None,
     end_time: datetime | None = None,
 ) -> DataFrame:
-    """CSV files ``<sensor_type>[_<id>]*.csv`` below ``path``, by default of the last hour.
+    """CSV files (or folders of part files) ``<sensor_type>[_<id>]*.csv`` in ``path``, by default of
+    the last hour.
 
-    The file name only narrows the listing; the id column decides. A folder without such files
-    gives an empty table.
+    The name only narrows the listing; the id column decides.
     """
     schema, id_column = SENSOR_FILES[sensor_type]
     pattern = f"{sensor_type}_{sensor_id}*.csv" if sensor_id else f"{sensor_type}*.csv"
-    df = spark.read.schema(schema).option("header", True).option("pathGlobFilter", pattern).csv(path)
+    df = spark.read.schema(schema).option("header", True).csv(f"{path}/{pattern}")
     now = datetime.now()
     df = time_range(df, start_time or now - timedelta(hours=1), end_time or now)
     return df.filter(F.col(id_column) == sensor_id) if sensor_id else df
@@ -97,23 +97,17 @@ def read_all_sensors(
     )
 
 
-def file_name() -> Column:
-    return F.element_at(F.split(F.input_file_name(), "/"), -1)
-
-
 def read_travel_times(
     spark: SparkSession, path: str, city: str, days: int = 30, schema: T.StructType = schemas.TRAVEL_TIME_RAW
 ) -> DataFrame:
-    """SRC-9/TOP-3: the last ``days`` files ``<city>_*.csv`` by name.
+    """SRC-9/TOP-3: the last ``days`` exports ``<city>_*.csv`` by name.
 
     The name list has one entry per file and is found before the rows are read.
     """
-    pattern = f"{city}_*.csv"
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path")
-    names = [r["path"] for r in listing.withColumn("name", F.element_at(F.split("path", "/"), -1))
-             .orderBy(F.col("name").desc()).limit(days).collect()]
-    if not names:
-        return spark.createDataFrame([], schema)
+    listing = spark.read.format("binaryFile").load(f"{path}/{city}_*.csv").select("path")
+    export = F.regexp_extract("path", f"/({city}_[^/]*[.]csv)(/[^/]*)?$", 1).alias("name")
+    last = listing.select(export).distinct().orderBy(F.col("name").desc()).limit(days)
+    names = [f"{path}/{row['name']}" for row in last.collect()]
     return spark.read.schema(schema).option("header", True).csv(names)
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from arterial.operators.alerts import traffic_alerts
 from arterial.operators.clean import ensure_timestamp, parse_payload
@@ -11,6 +15,9 @@ from arterial.operators.congestion import detect_congestion
 from arterial.operators.windows import window_aggregate
 
 WATERMARK = "10 minutes"  # fixed value
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
 
 
 def process_stream(
@@ -40,3 +47,93 @@ def alert_feed(
         F.col("location.location_id").alias("location_id"), F.col("timestamp").alias("window_end"),
         "severity", "message", "recommendation",
     )
+
+
+# -- live stops (STM-9) ----------------------------------------------------------------------------
+
+STOP_SCHEMA = (
+    "vehicle_id STRING, stop_start TIMESTAMP, stop_end TIMESTAMP, fixes BIGINT, stop_duration DOUBLE, "
+    "is_significant_stop BOOLEAN"
+)
+_STATE_SCHEMA = "has_stop BOOLEAN, first_us BIGINT, last_us BIGINT, fixes BIGINT"
+
+
+class StopProcessor(StatefulProcessor):
+    """Runs of slow fixes of one vehicle, in event-time order.
+
+    The state of a vehicle is its open run: four numbers, however long the run. A run is emitted when
+    a faster fix ends it, or when no fix has come for ``max_gap`` seconds of event time.
+    """
+
+    def __init__(self, speed_threshold: float, min_duration: float, max_gap: float):
+        self.speed_threshold, self.min_duration, self.max_gap = speed_threshold, min_duration, max_gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", _STATE_SCHEMA)
+
+    def _rows(self, key, runs: list[tuple[int, int, int]]) -> pd.DataFrame:
+        rows = pd.DataFrame(runs, columns=["first", "last", "fixes"]).astype("int64")
+        seconds = (rows["last"] - rows["first"]) / 1e6
+        return pd.DataFrame(
+            {
+                "vehicle_id": [key[0]] * len(rows),
+                "stop_start": pd.to_datetime(rows["first"], unit="us"),
+                "stop_end": pd.to_datetime(rows["last"], unit="us"),
+                "fixes": rows["fixes"],
+                "stop_duration": seconds,
+                "is_significant_stop": seconds >= self.min_duration,
+            }
+        )
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        state = self.run.get() if self.run.exists() else (False, 0, 0, 0)
+        run = (state[1], state[2], state[3]) if state[0] else None
+        for batch in rows:  # the input is sorted within the micro-batch
+            done = []
+            for us, slow in zip(batch["us"].tolist(), (batch["speed_kmh"] < self.speed_threshold).tolist()):
+                if run is not None and (not slow or us - run[1] > self.max_gap * 1e6):
+                    done.append(run)
+                    run = None
+                if slow:
+                    run = (us, us, 1) if run is None else (min(run[0], us), max(run[1], us), run[2] + 1)
+            if done:
+                yield self._rows(key, done)
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        if run is None:
+            self.run.clear()
+        else:
+            self.run.update((True, *run))
+            self.handle.registerTimer(int(run[1] // 1000 + self.max_gap * 1000))
+
+    def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[pd.DataFrame]:
+        if self.run.exists():
+            state = self.run.get()
+            self.run.clear()
+            yield self._rows(key, [(state[1], state[2], state[3])])
+
+    def close(self) -> None:
+        pass
+
+
+def live_stops(
+    df: DataFrame,
+    speed_threshold: float = 5.0,
+    min_duration: float = 60.0,
+    max_gap: float = 1800.0,
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """STM-9: finished stops of a stream of ``(vehicle_id, timestamp, speed_kmh)`` fixes.
+
+    Needs the RocksDB state store provider (:data:`STATE_STORE`).
+    """
+    fixes = df.withWatermark("timestamp", watermark).select(
+        "vehicle_id", "timestamp", F.unix_micros("timestamp").alias("us"), "speed_kmh"
+    )
+    return fixes.groupBy("vehicle_id").transformWithStateInPandas(
+        statefulProcessor=StopProcessor(speed_threshold, min_duration, max_gap),
+        outputStructType=STOP_SCHEMA,
+        outputMode="Append",
+        timeMode="EventTime",
+    )

@@ -36,8 +36,9 @@ def stream_reader(spark: SparkSession, kind: str, options: dict | None = None) -
         reader = spark.readStream.format(fmt).schema(options.get("schema", TRAFFIC_READING))
         if fmt == "csv":
             reader = reader.option("header", True)
-        if "max_files_per_trigger" in options:
-            reader = reader.option("maxFilesPerTrigger", options["max_files_per_trigger"])
+        for name, setting in (("glob", "pathGlobFilter"), ("max_files_per_trigger", "maxFilesPerTrigger")):
+            if name in options:
+                reader = reader.option(setting, options[name])
         return reader
     raise ValueError(f"unsupported source type {kind!r}")
 
