@@ -38,10 +38,7 @@ def _box_distance(farthest: bool) -> Column:
     total = F.lit(0.0)
     for axis in "xyz":
         p, low, high = F.col("p" + axis), F.col(f"cell.{axis}0"), F.col(f"cell.{axis}1")
-        if farthest:
-            gap = F.greatest(F.abs(p - low), F.abs(p - high))
-        else:
-            gap = F.greatest(low - p, p - high, F.lit(0.0))
+        gap = F.greatest(high - p, p - low) if farthest else F.greatest(low - p, p - high, F.lit(0.0))
         total = total + gap * gap
     return F.sqrt(total)
 
@@ -113,8 +110,11 @@ def knn_join(
     base = points.select(
         F.col(point_id).alias("pid"), F.col("latitude").alias("plat"), F.col("longitude").alias("plon")
     ).dropna()
-    start = base.withColumns({"p" + a: c for a, c in _xyz(F.col("plat"), F.col("plon")).items()})
-    columns = ["pid", "plat", "plon", "px", "py", "pz"]
+    # many points may stand at one place (fixed sensors report for years): search once per place
+    start = base.select("plat", "plon").distinct()
+    start = start.withColumns({"p" + a: c for a, c in _xyz(F.col("plat"), F.col("plon")).items()})
+    place = ["plat", "plon"]
+    columns = [*place, "px", "py", "pz"]
     levels, packed, sizes = _divide(located)
     if not levels:
         return _rename(
@@ -146,19 +146,17 @@ def knn_join(
         spread = spread.select(
             *columns,
             F.when(child, F.lit(level)).otherwise(F.col("level")).alias("level"),
-            *[F.when(child, F.col("cell." + c)).otherwise(F.col(c)).alias(c) for c in _CELL],
-            F.when(child, F.col("cell.n")).otherwise(F.col("n")).alias("n"),
+            *[F.when(child, F.col("cell." + c)).otherwise(F.col(c)).alias(c) for c in (*_CELL, "n", "divided")],
             F.when(child, _box_distance(False)).otherwise(F.col("near")).alias("near"),
             F.when(child, _box_distance(True)).otherwise(F.col("far")).alias("far"),
-            F.when(child, F.col("cell.divided")).otherwise(F.col("divided")).alias("divided"),
         )
         if radius_m is not None:
             spread = spread.filter(F.col("near") <= F.lit(reach + _SLACK))
         # the nearest cells that together hold enough nodes bound the search radius
-        by_far = W.partitionBy("pid").orderBy("far", "level", *_CELL)
+        by_far = W.partitionBy(*place).orderBy("far", "level", *_CELL)
         upto = F.sum("n").over(by_far.rowsBetween(W.unboundedPreceding, 0))
         bounded = spread.withColumn("_upto", upto)
-        limit = F.min(F.when(F.col("_upto") >= wanted, F.col("far"))).over(W.partitionBy("pid"))
+        limit = F.min(F.when(F.col("_upto") >= wanted, F.col("far"))).over(W.partitionBy(*place))
         bounded = bounded.withColumn("_limit", limit)
         state = bounded.filter(
             F.col("_limit").isNull() | (F.col("near") <= F.col("_limit") + F.lit(_SLACK))
@@ -169,18 +167,23 @@ def knn_join(
         matched = state.join(F.broadcast(packed), on)
     else:
         matched = lookup_join(state, packed, on)
-    candidates = matched.select("pid", "plat", "plon", F.explode("nodes").alias("node")).select(
-        "pid",
+    candidates = matched.select(*place, F.explode("nodes").alias("node")).select(
+        *place,
         F.col("node.id").alias("id"),
         haversine("plat", "plon", "node.lat", "node.lon", EARTH_RADIUS_M).alias("distance_m"),
     )
-    if exclude_same_id:
-        candidates = candidates.filter(F.col("pid") != F.col("id"))
     if radius_m is not None:
         candidates = candidates.filter(F.col("distance_m") <= radius_m)
-    nearest = W.partitionBy("pid").orderBy(F.round("distance_m", 3), "id")
-    ranked = candidates.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
-    return _rename(ranked, point_id, node_id)
+    nearest = W.partitionBy(*place).orderBy(F.round("distance_m", 3), "id")
+    ranked = candidates.withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= wanted)
+    found = ranked.groupBy(*place).agg(F.collect_list(F.struct(F.round("distance_m", 3).alias("mm"), "id", "distance_m")).alias("near"))
+    joined = lookup_join(base, found, place).select("pid", "near")
+    near = F.array_sort("near")
+    if exclude_same_id:
+        near = F.filter(near, lambda c: c["id"] != F.col("pid"))
+    result = joined.select("pid", F.posexplode(F.slice(near, 1, k)).alias("_p", "n"))
+    result = result.select("pid", F.col("n.id").alias("id"), F.col("n.distance_m").alias("distance_m"), (F.col("_p") + 1).alias("rank"))
+    return _rename(result, point_id, node_id)
 
 
 def _rename(df: DataFrame, point_id: str, node_id: str) -> DataFrame:
