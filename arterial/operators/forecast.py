@@ -19,6 +19,7 @@ from arterial.operators.metrics import error_metrics
 from arterial.operators.normalize import apply_normalizer, fit_normalizer
 from arterial.operators.ordering import ROWS_PER_TASK
 from arterial.operators.sequences import rows_at
+from arterial.session import pin
 
 HORIZONS = (15, 30, 60)
 ENSEMBLE_WEIGHTS = {"lstm": 0.3, "cnn_lstm": 0.5, "gnn": 0.2}  # fixed values
@@ -61,7 +62,8 @@ def training_set(
 
     ``leaky`` columns are computed from the target of the same row and are left out.
     """
-    table = feature_table(df, by, ts, tiebreak, target, lags, exclude_current, rows_per_task)
+    # both the statistics and the scaling read the features: compute the windows once
+    table = pin(feature_table(df, by, ts, tiebreak, target, lags, exclude_current, rows_per_task))
     names = feature_columns(table, target, exclude=[tiebreak, *leaky])
     stats = fit_normalizer(table, names, method)
     scaled = apply_normalizer(table, stats)

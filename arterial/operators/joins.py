@@ -16,14 +16,17 @@ def lookup_join(
     on: Sequence[str] | str,
     how: str = "inner",
     rows_per_task: int | None = ROWS_PER_TASK,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of any table with one that has at most one row per key.
 
     ``how`` is inner, left, left_semi or left_anti. Rows of hot left keys are joined with the few
     right rows that have those keys by broadcast; all other rows take Spark's own choice of join.
+    Callers that join one table repeatedly pass its ``hot`` keys and no ``rows_per_task``.
     """
     on = [on] if isinstance(on, str) else list(on)
-    hot = hot_keys(left, on, rows_per_task) if rows_per_task else None
+    if rows_per_task:
+        hot = hot_keys(left, on, rows_per_task)
     if hot is None:
         return left.join(right, on, how)
     keys = F.broadcast(keyed(hot.drop("_rows"), on))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from arterial.functions.geo import EARTH_RADIUS_KM, haversine
 from arterial.functions.traffic import travel_time_minutes
 from arterial.operators.joins import lookup_join, salted_join
-from arterial.operators.ordering import ROWS_PER_TASK
+from arterial.operators.ordering import ROWS_PER_TASK, hot_keys
 from arterial.operators.spatial import nearest_node
 from arterial.session import pin, scratch_path
 
@@ -221,14 +221,15 @@ def propagate(
     """
     loops = features.select(F.col("id").alias("src"), F.col("id").alias("dst"))
     arcs = known_edges(edges.select("src", "dst").filter(F.col("src") != F.col("dst")), features)
-    arcs = arcs.unionByName(loops)
+    arcs = pin(arcs.unionByName(loops))
     degree = arcs.groupBy("dst").agg(F.count("*").alias("_deg"))
     weighted = lookup_join(arcs, degree.select(F.col("dst").alias("src"), F.col("_deg").alias("_out")), "src")
     weighted = lookup_join(weighted, degree, "dst")
     weighted = pin(weighted.select("src", "dst", (1 / F.sqrt(F.col("_out") * F.col("_deg"))).alias("_w")))
     state = features.select(F.col("id").alias("src"), *[F.col(c).cast("double").alias(c) for c in columns])
+    busy = hot_keys(weighted, ["src"], ROWS_PER_TASK)
     for _ in range(hops):
-        sent = lookup_join(weighted, state, "src")
+        sent = lookup_join(weighted, state, "src", rows_per_task=None, hot=busy)
         sums = sent.groupBy("dst").agg(*[F.sum(F.col(c) * F.col("_w")).alias(c) for c in columns])
         state = sums.withColumnRenamed("dst", "src")
     return state.withColumnRenamed("src", "id")

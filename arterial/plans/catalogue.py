@@ -1037,3 +1037,22 @@ def cng1_stream(spark, sf):
     out = rated.select("event_id", "is_congested", "congestion_severity")
     stream_sinks.write_sink(out, "parquet", {"path": path}, trigger=NOW).awaitTermination()
     return spark.read.parquet(path)
+
+
+@query
+def stm9_live_stops(spark, sf):
+    """Stops found by the stateful stream, with the watermark ten minutes behind the last fix."""
+    fixes = views.readings_of(_event_stream(spark, sf)).select(
+        F.col("sensor_id").alias("vehicle_id"), "timestamp", F.col("speed").alias("speed_kmh")
+    )
+    before = {name: spark.conf.get(name) for name in stream_queries.STATE_STORE}
+    for name, value in stream_queries.STATE_STORE.items():
+        spark.conf.set(name, value)
+    try:
+        path = scratch_path(spark, "stm9")
+        stops = stream_queries.live_stops(fixes, speed_threshold=12.0, max_gap=864_000)
+        stream_sinks.write_sink(stops, "parquet", {"path": path}, trigger=NOW).awaitTermination()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    return rounded(spark.read.parquet(path))

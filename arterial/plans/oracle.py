@@ -617,3 +617,18 @@ SQL["stm8_alert_feed"] = with_views("readings", more="""w as (
 select location_id, window_end, severity, replace({_text('severity', 0)}, '%s', location_id) as message, {_text('severity', 1)} as recommendation
 from s where severity in ('high', 'severe')"""
 SQL["cng1_stream"] = with_views("readings", more=FLAGS) + "select event_id, is_congested, congestion_severity from flags"
+
+SQL["stm9_live_stops"] = with_views("readings", more="""mark as (select epoch_us(max(timestamp)) // 1000 - 600000 as ms from readings),
+due as (
+  select sensor_id, event_id, epoch_us(timestamp) as us, speed < 12 as slow, ms from readings, mark where epoch_us(timestamp) // 1000 <= ms),
+steps as (
+  select *, cast(slow is distinct from lag(slow) over p or us - lag(us) over p > 864000e6 as int) as changed
+  from due window p as (partition by sensor_id order by us, event_id)),
+runs as (select *, sum(changed) over (partition by sensor_id order by us, event_id) as run, max(us) over (partition by sensor_id) as final from steps),
+ended as (
+  select sensor_id, min(us) as a, max(us) as b, count(*) as fixes, any_value(final) as final, any_value(ms) as ms
+  from runs where slow group by sensor_id, run)""") + """
+select sensor_id as vehicle_id, make_timestamp(a) as stop_start, make_timestamp(b) as stop_end, fixes,
+  round((b - a) / 1e6, 6) as stop_duration, (b - a) / 1e6 >= 60 as is_significant_stop
+from ended where b < final or (b + 864000e6 <= ms * 1000
+  and not exists (select 1 from readings r, mark where r.sensor_id = ended.sensor_id and epoch_us(r.timestamp) // 1000 > mark.ms))"""

@@ -17,6 +17,10 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Can only be set when a session starts. Call sites are recorded for every column expression otherwise,
+# which slows the building of wide plans.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(
     app_name: str = "arterial", master: str | None = None, conf: dict[str, str] | None = None
@@ -25,7 +29,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_SETTINGS, **(conf or {})}.items():
+    for key, value in {**START_SETTINGS, **SQL_SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

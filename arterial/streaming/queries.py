@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,69 +50,104 @@ def alert_feed(
     )
 
 
-# -- live stops (STM-9) ----------------------------------------------------------------------------
+# -- live stops (STM-9)
 
 STOP_SCHEMA = (
     "vehicle_id STRING, stop_start TIMESTAMP, stop_end TIMESTAMP, fixes BIGINT, stop_duration DOUBLE, "
     "is_significant_stop BOOLEAN"
 )
-_STATE_SCHEMA = "has_stop BOOLEAN, first_us BIGINT, last_us BIGINT, fixes BIGINT"
+
+
+def slow_runs(
+    open_run: tuple[int, int, int] | None, us: np.ndarray, slow: np.ndarray, max_gap_us: float
+) -> tuple[list[tuple[int, int, int]], tuple[int, int, int] | None]:
+    """Runs of slow fixes, each (first, last, fixes), that ended, and the run still open.
+
+    ``us`` are ascending times that follow the open run.
+    """
+    if len(us) == 0:
+        return [], open_run
+    cut = np.flatnonzero((slow[1:] != slow[:-1]) | (np.diff(us) > max_gap_us)) + 1
+    starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(us)])) - 1
+    keep = slow[starts]
+    starts, ends = starts[keep], ends[keep]
+    runs = list(zip(us[starts].tolist(), us[ends].tolist(), (ends - starts + 1).tolist()))
+    if open_run is not None:
+        if slow[0] and us[0] - open_run[1] <= max_gap_us:
+            runs[0] = (open_run[0], runs[0][1], open_run[2] + runs[0][2])
+        else:
+            runs.insert(0, open_run)
+    still_open = runs.pop() if slow[-1] else None
+    return runs, still_open
 
 
 class StopProcessor(StatefulProcessor):
-    """Runs of slow fixes of one vehicle, in event-time order.
+    """Stops of one vehicle in event-time order.
 
-    The state of a vehicle is its open run: four numbers, however long the run. A run is emitted when
-    a faster fix ends it, or when no fix has come for ``max_gap`` seconds of event time.
+    Fixes wait in the state until the watermark passes them, so the order of arrival does not matter;
+    beside them the state holds the open run, three numbers however long it lasts. A run is emitted
+    when a faster fix ends it, or after ``max_gap`` seconds of event time without a fix. What one
+    micro-batch brings for a vehicle is held in memory (9 bytes a fix): limit the input per trigger.
     """
 
     def __init__(self, speed_threshold: float, min_duration: float, max_gap: float):
-        self.speed_threshold, self.min_duration, self.max_gap = speed_threshold, min_duration, max_gap
+        self.speed_threshold, self.min_duration, self.max_gap_us = speed_threshold, min_duration, max_gap * 1e6
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.run = handle.getValueState("run", _STATE_SCHEMA)
-
-    def _rows(self, key, runs: list[tuple[int, int, int]]) -> pd.DataFrame:
-        rows = pd.DataFrame(runs, columns=["first", "last", "fixes"]).astype("int64")
-        seconds = (rows["last"] - rows["first"]) / 1e6
-        return pd.DataFrame(
-            {
-                "vehicle_id": [key[0]] * len(rows),
-                "stop_start": pd.to_datetime(rows["first"], unit="us"),
-                "stop_end": pd.to_datetime(rows["last"], unit="us"),
-                "fixes": rows["fixes"],
-                "stop_duration": seconds,
-                "is_significant_stop": seconds >= self.min_duration,
-            }
-        )
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        state = self.run.get() if self.run.exists() else (False, 0, 0, 0)
-        run = (state[1], state[2], state[3]) if state[0] else None
-        for batch in rows:  # the input is sorted within the micro-batch
-            done = []
-            for us, slow in zip(batch["us"].tolist(), (batch["speed_kmh"] < self.speed_threshold).tolist()):
-                if run is not None and (not slow or us - run[1] > self.max_gap * 1e6):
-                    done.append(run)
-                    run = None
-                if slow:
-                    run = (us, us, 1) if run is None else (min(run[0], us), max(run[1], us), run[2] + 1)
-            if done:
-                yield self._rows(key, done)
+        self.run = handle.getValueState("run", "first_us BIGINT, last_us BIGINT, fixes BIGINT")
+        self.pending = handle.getListState("pending", "us BIGINT, slow BOOLEAN")
+
+    def _advance(self, key, us: np.ndarray, slow: np.ndarray, watermark_ms: int) -> Iterator[pd.DataFrame]:
+        """Take in waiting and new fixes up to the watermark and keep the others waiting."""
+        order = np.argsort(us, kind="stable")
+        us, slow = us[order], slow[order]
+        due = int(np.searchsorted(us // 1000, watermark_ms, side="right"))
+        run = self.run.get() if self.run.exists() else None
+        done, run = slow_runs(run, us[:due], slow[:due], self.max_gap_us)
+        if run is not None and run[1] + self.max_gap_us <= watermark_ms * 1000 and due == len(us):
+            done, run = [*done, run], None
+        waiting = list(zip(us[due:].tolist(), slow[due:].tolist()))
         for timer in self.handle.listTimers():
             self.handle.deleteTimer(timer)
+        if waiting:
+            self.pending.put(waiting)
+            self.handle.registerTimer(waiting[0][0] // 1000)
+        else:
+            self.pending.clear()
         if run is None:
             self.run.clear()
         else:
-            self.run.update((True, *run))
-            self.handle.registerTimer(int(run[1] // 1000 + self.max_gap * 1000))
-
-    def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[pd.DataFrame]:
-        if self.run.exists():
-            state = self.run.get()
-            self.run.clear()
-            yield self._rows(key, [(state[1], state[2], state[3])])
+            self.run.update(run)
+            if not waiting:
+                self.handle.registerTimer(int(run[1] + self.max_gap_us) // 1000 + 1)
+        if done:
+            first, last, fixes = (np.array(v, dtype="int64") for v in zip(*done))
+            seconds = (last - first) / 1e6
+            yield pd.DataFrame(
+                {
+                    "vehicle_id": key[0],
+                    "stop_start": pd.to_datetime(first, unit="us"),
+                    "stop_end": pd.to_datetime(last, unit="us"),
+                    "fixes": fixes,
+                    "stop_duration": seconds,
+                    "is_significant_stop": seconds >= self.min_duration,
+                }
+            )
+
+    def _waiting(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = list(self.pending.get()) if self.pending.exists() else []
+        return np.array([r[0] for r in rows], dtype="int64"), np.array([r[1] for r in rows], dtype=bool)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        times, flags = ([part] for part in self._waiting())
+        for batch in rows:
+            times.append(batch["us"].to_numpy("int64"))
+            flags.append((batch["speed_kmh"] < self.speed_threshold).to_numpy(bool))
+        yield from self._advance(key, np.concatenate(times), np.concatenate(flags), timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._advance(key, *self._waiting(), timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
