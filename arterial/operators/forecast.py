@@ -11,6 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arterial.functions.temporal import temporal_features
 from arterial.operators.clean import feature_columns, fill_missing
@@ -102,7 +103,7 @@ def score_with(
     """ML-5 for outside models: ``load()`` runs once per task and returns a function that maps a
     pandas frame of features to a sequence of numbers."""
     features = list(features)
-    schema = df.schema.add(name, "double")
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
 
     def score(batches: Iterator) -> Iterator:
         model = load()

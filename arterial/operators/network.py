@@ -141,23 +141,23 @@ def with_paths(routes: DataFrame, state: DataFrame) -> DataFrame:
     routes = pin(routes)
     count, longest = routes.agg(F.count("*"), F.max("num_segments")).first()
     back = state.select("source", "node", F.col("pred"))
-    walk = routes.select(
-        "*", F.col("src").alias("source"), F.col("dst").alias("node"),
-        F.when(F.col("success"), F.array("dst")).alias("path"),
+    path = F.array("dst")
+    walk = routes.filter("success").select(
+        "*", F.col("src").alias("source"), F.col("dst").alias("node"), path.alias("path")
     )
     for step in range(longest or 0):
         side = F.broadcast(walk) if count <= BROADCAST_PAIRS else walk
-        # routes at their source find the source itself as predecessor and stop growing
-        joined = back.join(side, ["source", "node"], "right")
-        moving = F.col("success") & (F.col("node") != F.col("src"))
-        walk = joined.select(
+        # a source is its own predecessor: routes that have reached it stop growing
+        moving = F.col("node") != F.col("src")
+        walk = back.join(side, ["source", "node"]).select(
             *routes.columns, "source",
-            F.when(moving, F.col("pred")).otherwise(F.col("node")).alias("node"),
+            F.col("pred").alias("node"),
             F.when(moving, F.concat(F.array("pred"), F.col("path"))).otherwise(F.col("path")).alias("path"),
         )
         if step % 8 == 7:
             walk = pin(walk)
-    return walk.drop("source", "node")
+    failed = routes.filter("not success").withColumn("path", F.lit(None).cast(walk.schema["path"].dataType))
+    return walk.drop("source", "node").unionByName(failed)
 
 
 def route_geometry(

@@ -30,8 +30,11 @@ def resample(
     columns = numeric_columns(df, exclude=by) if columns is None else list(columns)
     bucket = F.window(ts, freq)["start"]
     means = df.groupBy(*by, bucket.alias(ts)).agg(*[F.avg(c).alias(c) for c in columns])
-    ends = means.groupBy(*by).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
     step = F.expr(f"interval {freq}")
+    width = F.unix_micros(F.timestamp_micros(F.lit(0)) + step)
+    start = lambda c: F.timestamp_micros(F.unix_micros(c) - F.pmod(F.unix_micros(c), width))
+    # the extent of a key comes from its raw times: two columns, combined before the shuffle
+    ends = df.groupBy(*by).agg(start(F.min(ts)).alias("_first"), start(F.max(ts)).alias("_last"))
     # blocks first, points second, so that a long history is never one array
     block = F.expr(f"interval {freq} * {_POINTS}")
     blocks = ends.select(*by, "_last", F.explode(F.sequence("_first", "_last", block)).alias("_start"))
@@ -48,6 +51,7 @@ def fill_gaps(
     method: str = "interpolate",
     by: Sequence[str] | str | None = "vehicle_id",
     ts: str = "timestamp",
+    tiebreak: Sequence[str] | str = (),
     rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """RSM-2: fill missing values along time.
@@ -60,7 +64,8 @@ def fill_gaps(
     columns = list(columns)
     if method == "drop":
         return df.dropna(subset=columns)
-    ordered = OrderedRows(df, by, ts, rows_per_task)
+    ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
+    ordered = OrderedRows(df, by, [ts, *ties], rows_per_task)
     if method != "interpolate":
         backward = method == "backward_fill"
         return ordered.carry({c: F.col(c) for c in columns}, backward).result()

@@ -28,16 +28,17 @@ def signal_timing(
 ) -> DataFrame:
     """SIG-1 to SIG-3: one row per intersection with ``timing`` (approach to phase).
 
-    Input is ``(intersection_id, approach, flow)``, one row per approach, and optionally
-    ``has_timing`` (the intersection runs a timing already). An intersection has a handful of
-    approaches, so its map is small. Intersections without flow get the default timing.
+    Input is ``(intersection_id, approach, flow)`` and optionally ``has_timing`` (the intersection
+    runs a timing already). Flows of an approach are added up first, so that what is gathered per
+    intersection is its handful of approaches. Intersections without flow get the default timing.
     """
-    timed = F.max(F.col("has_timing").cast("int")) if "has_timing" in flows.columns else F.lit(0)
-    per = flows.groupBy("intersection_id").agg(
+    timed = F.max(F.col("has_timing").cast("int")) if "has_timing" in flows.columns else F.max(F.lit(0))
+    summed = flows.groupBy("intersection_id", "approach").agg(F.sum("flow").alias("flow"), timed.alias("_timed"))
+    per = summed.groupBy("intersection_id").agg(
         F.sum("flow").alias("total_flow"),
         F.count("*").alias("_n"),
         F.sort_array(F.collect_list(F.struct("approach", "flow"))).alias("_flows"),
-        timed.alias("_timed"),
+        F.max("_timed").alias("_timed"),
     )
 
     def with_green(entry):

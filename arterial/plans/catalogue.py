@@ -432,13 +432,13 @@ def rsm2_fill(spark, sf):
 @query
 def rsm2_forward(spark, sf):
     r = views.readings(spark, sf).select("event_id", "sensor_id", "timestamp", "occupancy")
-    return resample.fill_gaps(r, ["occupancy"], "forward_fill", "sensor_id").select("event_id", "occupancy")
+    return resample.fill_gaps(r, ["occupancy"], "forward_fill", "sensor_id", tiebreak="event_id").select("event_id", "occupancy")
 
 
 @query
 def rsm2_backward(spark, sf):
     r = views.readings(spark, sf).select("event_id", "sensor_id", "timestamp", "occupancy")
-    return resample.fill_gaps(r, ["occupancy"], "backward_fill", "sensor_id").select("event_id", "occupancy")
+    return resample.fill_gaps(r, ["occupancy"], "backward_fill", "sensor_id", tiebreak="event_id").select("event_id", "occupancy")
 
 
 @query
