@@ -131,6 +131,11 @@ def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, parsed.filter(F.col("_corrupt").isNotNull()).select("_corrupt")
 
 
+def in_time_order(df: DataFrame, ts: str = "timestamp", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """SRT-1: for output; a range-partitioned sort. Operators order their rows themselves."""
+    return df.orderBy(ts, *tiebreak)
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 

@@ -20,6 +20,7 @@ from arterial.operators import (
     alerts, clean, congestion, features, forecast, joins, metrics, network, normalize, quality, resample,
     sequences, signals, spatial, trajectory, windows,
 )
+from arterial.operators.ordering import OrderedRows
 from arterial.plans import views
 from arterial.session import pin, scratch_path
 from arterial.sources import files, sinks
@@ -410,6 +411,13 @@ def win12_split(spark, sf):
     return sequences.chronological_split(views.readings(spark, sf)).select("event_id", "split")
 
 
+@query
+def srt1_index(spark, sf):
+    """Position of each reading in time over the whole table."""
+    out = OrderedRows(views.readings(spark, sf).select("event_id", "timestamp"), None, ["timestamp", "event_id"]).index().result()
+    return clean.in_time_order(out, tiebreak=["event_id"]).select("event_id", "row_index")
+
+
 @query
 def win12_by_key(spark, sf):
     return sequences.split_by_key(views.readings(spark, sf), tiebreak="event_id").select("event_id", "split")

@@ -321,6 +321,8 @@ from n group by 1, 2 having count(*) = 10"""
 SQL["win12_split"] = with_views("readings") + """
 select event_id, case when row_number() over (order by timestamp, event_id) <= count(*) over () - ceil(0.2 * count(*) over ())
   then 'train' else 'validation' end as split from readings"""
+SQL["srt1_index"] = with_views("readings") + """
+select event_id, row_number() over (order by timestamp, event_id) as row_index from readings"""
 SQL["win12_by_key"] = with_views("readings") + f"""
 select event_id, case when row_number() over ({SERIES})
   <= count(*) over (partition by sensor_id) - ceil(0.2 * count(*) over (partition by sensor_id))

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arterial.functions.temporal import batch_features
 
 
-def write_batch(df: DataFrame, path: str, ts: str = "timestamp") -> DataFrame:
+def write_batch(df: DataFrame | pd.DataFrame, path: str | None, ts: str = "timestamp") -> DataFrame:
     """SNK-6 with DT-9: add the batch features, overwrite ``path`` partitioned by day, return them.
 
-    Rows of a day meet in as many tasks as the day needs: AQE splits large partitions of a rebalance.
+    A pandas frame is taken in as a table first; without a path nothing is written. Rows of a day meet
+    in as many tasks as the day needs: AQE splits large partitions of a rebalance.
     """
+    if isinstance(df, pd.DataFrame):
+        df = SparkSession.active().createDataFrame(df)
     processed = batch_features(df, ts)
+    if path is None:
+        return processed
     dated = processed.withColumn("date", F.to_date(ts))
     dated.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(path)
     return processed

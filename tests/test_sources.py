@@ -110,3 +110,17 @@ def test_batch_sink_overwrites(spark, tmp_path):
     for _ in range(2):
         sinks.write_batch(rows, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_batch_features_of_a_pandas_frame(spark):
+    import pandas as pd
+
+    row = sinks.write_batch(pd.DataFrame({"timestamp": ["2024-01-07 18:00:00"], "x": [1]}), None).first()
+    assert (row["hour"], row["day_of_week_sun1"], row["is_weekend"]) == (18, 1, 1)
+
+
+def test_tables_without_time_get_one(spark):
+    from arterial.operators.clean import ensure_timestamp
+
+    row = ensure_timestamp(spark.range(1)).select((F.current_timestamp() - F.col("timestamp")).cast("long").alias("age")).first()
+    assert 0 <= row["age"] < 600
