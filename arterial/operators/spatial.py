@@ -22,7 +22,7 @@ from arterial.session import pin
 LEAF_NODES = 64  # nodes a cell may hold undivided
 MAX_LEVEL = 8  # 2 ** 24 cells along the bounding cube: millimetres within a city
 _BITS = 3  # each level divides a cell by 8 along each axis
-# Cells up to this number are broadcast (about 100 bytes each).
+# Up to this number of cells, or of nodes, they are broadcast (about 100 bytes each).
 BROADCAST_CELLS = 200_000
 _SLACK = 5e-10  # 3 mm in units of the earth's radius: more than the rounding of ranked distances
 _CELL = ["cx", "cy", "cz"]
@@ -33,22 +33,22 @@ def _xyz(lat: Column, lon: Column) -> dict[str, Column]:
     return {"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)}
 
 
-def _box_distance(farthest: bool) -> Column:
+def _box_distance(cell: Column, farthest: bool) -> Column:
     """Least or greatest straight-line distance from (px, py, pz) to the cell's bounding box."""
     total = F.lit(0.0)
     for axis in "xyz":
-        p, low, high = F.col("p" + axis), F.col(f"cell.{axis}0"), F.col(f"cell.{axis}1")
+        p, low, high = F.col("p" + axis), cell[axis + "0"], cell[axis + "1"]
         gap = F.greatest(high - p, p - low) if farthest else F.greatest(low - p, p - high, F.lit(0.0))
         total = total + gap * gap
     return F.sqrt(total)
 
 
-def _divide(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame, list[int]]:
-    """Cells per level (below their parents), nodes packed per undivided cell, cells per level."""
+def _divide(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame, list[int], int]:
+    """Cells of each level, nodes packed per undivided cell, number of cells per level and of nodes."""
     low = nodes.agg(*[F.min(a).alias(a) for a in "xyz"], *[F.max(a).alias(a + "1") for a in "xyz"]).first()
-    levels, sizes, leaves = [], [], []
+    levels, sizes, leaves, total = [], [], [], 0
     if low["x"] is None:
-        return levels, None, sizes
+        return levels, None, sizes, total
     extent = max(low[a + "1"] - low[a] for a in "xyz") * (1 + 1e-9) + 1e-15
     scale = 2 ** (_BITS * MAX_LEVEL)
     grid = nodes.withColumns(
@@ -63,7 +63,8 @@ def _divide(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame, list[int]]:
         cells = pin(active.groupBy(*_CELL).agg(F.count("*").alias("n"), *bounds))
         full = (F.col("n") > LEAF_NODES) if level < MAX_LEVEL else F.lit(False)
         cells = cells.withColumn("divided", full)
-        count, divided = cells.agg(F.count("*"), F.count_if("divided")).first()
+        count, divided, inside = cells.agg(F.count("*"), F.count_if("divided"), F.sum("n")).first()
+        total = inside if level == 1 else total
         levels.append(cells)
         sizes.append(count)
         flags = cells.select(*_CELL, "divided")
@@ -81,7 +82,7 @@ def _divide(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame, list[int]]:
     for leaf in leaves[1:]:
         stacked = stacked.unionByName(leaf)
     packed = stacked.groupBy("level", *_CELL).agg(F.collect_list(F.struct("id", "lat", "lon")).alias("nodes"))
-    return levels, packed, sizes
+    return levels, packed, sizes, total
 
 
 def knn_join(
@@ -111,18 +112,20 @@ def knn_join(
         F.col(point_id).alias("pid"), F.col("latitude").alias("plat"), F.col("longitude").alias("plon")
     ).dropna()
     # many points may stand at one place (fixed sensors report for years): search once per place
-    start = base.select("plat", "plon").distinct()
+    places = base.select("plat", "plon").distinct().withColumn("place", F.monotonically_increasing_id())
+    # each place meets many cells, so it takes more tasks than the bytes of the places suggest
+    tasks = 2 * int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    start = pin(places).repartition(tasks, "place")
     start = start.withColumns({"p" + a: c for a, c in _xyz(F.col("plat"), F.col("plon")).items()})
-    place = ["plat", "plon"]
-    columns = [*place, "px", "py", "pz"]
-    levels, packed, sizes = _divide(located)
+    columns = ["place", "plat", "plon", "px", "py", "pz"]
+    levels, packed, sizes, total = _divide(located)
     if not levels:
         return _rename(
             base.limit(0).select("pid", F.lit(None).cast(located.schema["id"].dataType).alias("id"),
                                  F.lit(0.0).alias("distance_m"), F.lit(0).alias("rank")), point_id, node_id)
     reach = math.inf if radius_m is None else 2 * math.sin(min(radius_m / EARTH_RADIUS_M, math.pi) / 2)
 
-    # the first level has at most 512 cells; deeper ones hang below their parent cell
+    # the root is one row; the first level has at most 512 cells, deeper ones hang below their parents
     state = start.withColumns(
         {"level": F.lit(0), **{c: F.lit(0).cast("long") for c in _CELL}, "n": F.lit(0).cast("long"),
          "near": F.lit(0.0), "far": F.lit(0.0), "divided": F.lit(True)}
@@ -140,44 +143,50 @@ def knn_join(
             joined = state.join(F.broadcast(parents), on, "left")
         else:
             joined = lookup_join(state, parents, on, "left")
+        # a cell with enough nodes of its own bounds the search before all its siblings are sorted
+        enough = F.filter("cells", lambda c: c["n"] >= wanted)
+        bound = F.array_min(F.transform(enough, lambda c: _box_distance(c, True)))
+        bound = F.least(F.coalesce(bound, F.lit(4.0)), F.lit(min(reach, 4.0))) + F.lit(_SLACK)
         # undivided cells have no children and stay as they are
-        spread = joined.withColumn("cell", F.explode_outer("cells"))
-        child = F.col("cell").isNotNull()
+        own = ["level", *_CELL, "n", "near", "far", "divided"]
+        spread = joined.select(*columns, *own, "cells", bound.alias("_bound")).withColumn("cell", F.explode_outer("cells"))
+        cell, child = F.col("cell"), F.col("cell").isNotNull()
         spread = spread.select(
             *columns,
+            "_bound",
+            child.alias("_child"),
             F.when(child, F.lit(level)).otherwise(F.col("level")).alias("level"),
-            *[F.when(child, F.col("cell." + c)).otherwise(F.col(c)).alias(c) for c in (*_CELL, "n", "divided")],
-            F.when(child, _box_distance(False)).otherwise(F.col("near")).alias("near"),
-            F.when(child, _box_distance(True)).otherwise(F.col("far")).alias("far"),
+            *[F.when(child, cell[c]).otherwise(F.col(c)).alias(c) for c in (*_CELL, "n", "divided")],
+            F.when(child, _box_distance(cell, False)).otherwise(F.col("near")).alias("near"),
+            F.when(child, _box_distance(cell, True)).otherwise(F.col("far")).alias("far"),
         )
-        if radius_m is not None:
-            spread = spread.filter(F.col("near") <= F.lit(reach + _SLACK))
+        spread = spread.filter(~F.col("_child") | (F.col("near") <= F.col("_bound"))).drop("_bound", "_child")
         # the nearest cells that together hold enough nodes bound the search radius
-        by_far = W.partitionBy(*place).orderBy("far", "level", *_CELL)
+        by_far = W.partitionBy("place").orderBy("far", "level", *_CELL)
         upto = F.sum("n").over(by_far.rowsBetween(W.unboundedPreceding, 0))
         bounded = spread.withColumn("_upto", upto)
-        limit = F.min(F.when(F.col("_upto") >= wanted, F.col("far"))).over(W.partitionBy(*place))
+        limit = F.min(F.when(F.col("_upto") >= wanted, F.col("far"))).over(W.partitionBy("place"))
         bounded = bounded.withColumn("_limit", limit)
         state = bounded.filter(
             F.col("_limit").isNull() | (F.col("near") <= F.col("_limit") + F.lit(_SLACK))
         ).drop("_upto", "_limit")
     on = ["level", *_CELL]
-    total_cells = sum(sizes)
-    if total_cells * LEAF_NODES <= BROADCAST_CELLS:
+    if total <= BROADCAST_CELLS:
         matched = state.join(F.broadcast(packed), on)
     else:
         matched = lookup_join(state, packed, on)
-    candidates = matched.select(*place, F.explode("nodes").alias("node")).select(
-        *place,
+    candidates = matched.select("place", "plat", "plon", F.explode("nodes").alias("node")).select(
+        "place", "plat", "plon",
         F.col("node.id").alias("id"),
         haversine("plat", "plon", "node.lat", "node.lon", EARTH_RADIUS_M).alias("distance_m"),
     )
     if radius_m is not None:
         candidates = candidates.filter(F.col("distance_m") <= radius_m)
-    nearest = W.partitionBy(*place).orderBy(F.round("distance_m", 3), "id")
+    nearest = W.partitionBy("place").orderBy(F.round("distance_m", 3), "id")
     ranked = candidates.withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= wanted)
-    found = ranked.groupBy(*place).agg(F.collect_list(F.struct(F.round("distance_m", 3).alias("mm"), "id", "distance_m")).alias("near"))
-    joined = lookup_join(base, found, place).select("pid", "near")
+    entry = F.struct(F.round("distance_m", 3).alias("mm"), "id", "distance_m")
+    found = ranked.groupBy("place").agg(F.first("plat").alias("plat"), F.first("plon").alias("plon"), F.collect_list(entry).alias("near"))
+    joined = lookup_join(base, found.drop("place"), ["plat", "plon"]).select("pid", "near")
     near = F.array_sort("near")
     if exclude_same_id:
         near = F.filter(near, lambda c: c["id"] != F.col("pid"))

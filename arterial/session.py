@@ -63,8 +63,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and read it back: cuts lineage and fixes its rows."""
-    checkpoint_root(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back: cuts lineage and fixes its rows.
+
+    A parquet table rather than a checkpointed RDD, so that later steps read only the columns they
+    need and Spark knows its true size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "pinned")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
