@@ -189,15 +189,18 @@ def find_routes(
     only reported. Unreachable requests stay, with ``success`` false.
     """
     requests = pin(requests)
-    ends = {}
-    for end, name in (("origin", "src"), ("dest", "dst")):
-        points = requests.select(
-            "request_id", F.col(end + "_lat").alias("latitude"), F.col(end + "_lon").alias("longitude")
-        )
-        found = nearest_node(points, nodes, "request_id")
-        ends[name] = found.select("request_id", F.col("node_id").alias(name))
-    snapped = requests.join(ends["src"], "request_id", "left").join(ends["dst"], "request_id", "left")
-    snapped = pin(snapped)
+    ends = [
+        F.struct(F.lit(name).alias("end"), F.col(end + "_lat").alias("latitude"), F.col(end + "_lon").alias("longitude"))
+        for end, name in (("origin", "src"), ("dest", "dst"))
+    ]
+    points = requests.select("request_id", F.explode(F.array(*ends)).alias("p")).select(
+        F.struct("request_id", "p.end").alias("point_id"), "p.latitude", "p.longitude"
+    )
+    found = nearest_node(points, nodes)
+    snapped = found.groupBy(F.col("point_id.request_id").alias("request_id")).agg(
+        *[F.max(F.when(F.col("point_id.end") == name, F.col("node_id"))).alias(name) for name in ("src", "dst")]
+    )
+    snapped = pin(requests.join(snapped, "request_id", "left"))
     paths = pin(shortest_paths(known_edges(edges, nodes), snapped, max_rounds))
     shapes = route_geometry(paths.filter("success"), nodes, ["src", "dst"])
     routes = snapped.join(paths.drop("num_segments"), ["src", "dst"], "left").join(shapes, ["src", "dst"], "left")
