@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +54,13 @@ def pick_timestamp(df: DataFrame, candidates: Sequence[str] = CITY_TIMESTAMPS) -
     return df
 
 
+def moment(value: datetime | Column | None) -> Column:
+    """A point in time, the current one by default. Naive datetimes are in the session's time zone."""
+    if value is None:
+        return F.current_timestamp()
+    return value if isinstance(value, Column) else F.lit(value.isoformat(sep=" ")).cast("timestamp")
+
+
 def parsed_timestamp(df: DataFrame, name: str):
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampType):

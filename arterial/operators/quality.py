@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arterial.functions.temporal import flag
-from arterial.operators.clean import numeric_columns, parsed_timestamp
+from arterial.operators.clean import moment, numeric_columns, parsed_timestamp
 from arterial.operators.features import seconds_between
 from arterial.operators.quantiles import exact_quantiles
 
@@ -76,13 +76,12 @@ def _time_checks(
     df: DataFrame, min_ts: datetime | None, max_ts: datetime | None, now: datetime | None
 ) -> dict[str, Column]:
     stamp = parsed_timestamp(df, "timestamp")
-    current = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
     rules = {}
     if min_ts is not None:
-        rules["before_minimum"] = stamp < F.lit(min_ts).cast("timestamp")
+        rules["before_minimum"] = stamp < moment(min_ts)
     if max_ts is not None:
-        rules["after_maximum"] = stamp > F.lit(max_ts).cast("timestamp")
-    rules["in_future"] = stamp > current + F.expr("interval 1 hour")
+        rules["after_maximum"] = stamp > moment(max_ts)
+    rules["in_future"] = stamp > moment(now) + F.expr("interval 1 hour")
     return rules
 
 

@@ -113,6 +113,11 @@ def knn_join(
     ).dropna()
     # many points may stand at one place (fixed sensors report for years): search once per place
     places = base.select("plat", "plon").distinct().withColumn("place", F.monotonically_increasing_id())
+    # every place starts at the root cell
+    places = places.withColumns(
+        {"level": F.lit(0), **{c: F.lit(0).cast("long") for c in _CELL}, "n": F.lit(0).cast("long"),
+         "near": F.lit(0.0), "far": F.lit(0.0), "divided": F.lit(True)}
+    )
     # each place meets many cells, so it takes more tasks than the bytes of the places suggest
     tasks = 2 * int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     start = pin(places).repartition(tasks, "place")
@@ -126,10 +131,7 @@ def knn_join(
     reach = math.inf if radius_m is None else 2 * math.sin(min(radius_m / EARTH_RADIUS_M, math.pi) / 2)
 
     # the root is one row; the first level has at most 512 cells, deeper ones hang below their parents
-    state = start.withColumns(
-        {"level": F.lit(0), **{c: F.lit(0).cast("long") for c in _CELL}, "n": F.lit(0).cast("long"),
-         "near": F.lit(0.0), "far": F.lit(0.0), "divided": F.lit(True)}
-    )
+    state = start
     for level, cells in enumerate(levels, start=1):
         entry = F.struct(*_CELL, "n", "divided", *[a + b for a in "xyz" for b in "01"])
         above = {c: F.shiftright(c, _BITS) if level > 1 else F.lit(0).cast("long") for c in _CELL}

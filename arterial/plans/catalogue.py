@@ -545,7 +545,7 @@ def _rated(spark, sf) -> DataFrame:
 @query
 def alr1_alerts(spark, sf):
     rated = _rated(spark, sf)
-    out = alerts.traffic_alerts(rated.withColumn("location_id", F.concat("location_id", F.lit("/"), "event_id")), at=F.lit(datetime(2024, 2, 1)))
+    out = alerts.traffic_alerts(rated.withColumn("location_id", F.concat("location_id", F.lit("/"), "event_id")), at=clean.moment(datetime(2024, 2, 1)))
     return rounded(
         out.select("type", "severity", "location.location_id", "location.latitude", "location.longitude", "message", "timestamp", "recommendation")
     )

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arterial import schemas
 from arterial.operators.clean import (
-    canonical_names, clean_trajectory, clean_travel_times, parsed_timestamp, rename_aliases, to_numbers,
+    canonical_names, clean_trajectory, clean_travel_times, moment, parsed_timestamp, rename_aliases, to_numbers,
 )
 
 # File name prefix, schema and id column of each device type.
@@ -22,19 +22,20 @@ SENSOR_FILES = {
 }
 
 
-def time_range(df: DataFrame, start: datetime | None, end: datetime | None, ts: str = "timestamp") -> DataFrame:
+def time_range(
+    df: DataFrame, start: datetime | Column | None, end: datetime | Column | None, ts: str = "timestamp"
+) -> DataFrame:
     """FLT-1: rows with start <= ts <= end; a missing bound is open."""
     if start is not None:
-        df = df.filter(F.col(ts) >= F.lit(start).cast("timestamp"))
+        df = df.filter(F.col(ts) >= moment(start))
     if end is not None:
-        df = df.filter(F.col(ts) <= F.lit(end).cast("timestamp"))
+        df = df.filter(F.col(ts) <= moment(end))
     return df
 
 
 def recent(df: DataFrame, hours: float, ts: str = "created_date", now: datetime | None = None) -> DataFrame:
     """FLT-2: rows no older than ``hours``."""
-    current = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    return df.filter(F.col(ts) >= current - F.expr(f"interval {int(hours * 3600)} seconds"))
+    return df.filter(F.col(ts) >= moment(now) - F.expr(f"interval {int(hours * 3600)} seconds"))
 
 
 def read_sensor_files(
@@ -53,8 +54,8 @@ def read_sensor_files(
     schema, id_column = SENSOR_FILES[sensor_type]
     pattern = f"{sensor_type}_{sensor_id}*.csv" if sensor_id else f"{sensor_type}*.csv"
     df = spark.read.schema(schema).option("header", True).csv(f"{path}/{pattern}")
-    now = datetime.now()
-    df = time_range(df, start_time or now - timedelta(hours=1), end_time or now)
+    last_hour = moment(None) - F.expr("interval 1 hour")
+    df = time_range(df, last_hour if start_time is None else start_time, moment(end_time))
     return df.filter(F.col(id_column) == sensor_id) if sensor_id else df
 
 
@@ -176,8 +177,7 @@ def is_stale(df: DataFrame, ts: str = "timestamp", max_age_hours: float = 24, no
     """SRC-16: no rows, no time column, or nothing newer than ``max_age_hours``."""
     if ts not in df.columns:
         return True
-    current = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    age = (F.unix_micros(current) - F.max(F.unix_micros(parsed_timestamp(df, ts)))) / 3.6e9
+    age = (F.unix_micros(moment(now)) - F.max(F.unix_micros(parsed_timestamp(df, ts)))) / 3.6e9
     row = df.agg(age.alias("age")).first()
     return row["age"] is None or row["age"] > max_age_hours
 

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arterial.operators.clean import moment
+
 
 def _poisson(mean: float, seed: int, upto: int = 60) -> Column:
     """Inverse-transform sample: the number of cumulative probabilities below a uniform draw."""
@@ -42,7 +44,7 @@ def _choice(weights: dict[str, float], seed: int) -> Column:
 
 def _times(spark: SparkSession, start: datetime, end: datetime, step: str, ids: Sequence[str], name: str) -> DataFrame:
     moments = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"), F.expr(f"interval {step}"))).alias("timestamp")
+        F.explode(F.sequence(moment(start), moment(end), F.expr(f"interval {step}"))).alias("timestamp")
     )
     return moments.withColumn(name, F.explode(F.array(*[F.lit(i) for i in ids])))
 
