@@ -34,7 +34,7 @@ OP2 = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents
 ), m AS (
   SELECT doc_id, text, regexp_extract_all(text, '{_WORD}') AS w,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM t
 ), windows AS (
   SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win
@@ -50,7 +50,7 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
          length(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS n_letters,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
-         len(list_filter(w, x -> length(x) > 40)) AS n_long_words
+         len(list_filter(w, lambda x: length(x) > 40)) AS n_long_words
   FROM m LEFT JOIN covered USING (doc_id)
 ), bits AS (
   SELECT *, CAST(
