@@ -1,7 +1,7 @@
 """N-gram Jaccard join by grouped prefixes, and the components of its links.
 
 1. Each text becomes the set of its distinct word shingles (64-bit hashes). Equal sets are one class, wherever they are.
-2. In one order of all shingles (frequent ones last, else by hash), two sets with a Jaccard similarity of at least t share
+2. In one order of all shingles (those of rare words first, known frequent shingles last, else by hash), two sets with a Jaccard similarity of at least t share
    a shingle among the first ``size - ceil(t * size) + 1`` of each: the prefix. Classes with equal prefix and size form a
    group, and only groups that share a prefix shingle and whose sizes are close enough are paired.
 3. Group pairs are expanded to classes and verified on the whole sets.
@@ -29,21 +29,24 @@ from arterial.llm import text as tx
 from arterial.llm.graph import components
 from arterial.session import pin
 
-FREQUENT = 100_000  # shingles that are put last; which ones they are only affects speed
-LOCAL_MIN = 4  # times a shingle must occur in one slice of texts to be counted as frequent there
-LEADER_ROUNDS = 3
+# sizes of the broadcast tables behind the order of shingles; what is in them affects speed only, not results
+FREQUENT_SHINGLES = 100_000
+FREQUENT_WORDS = 200_000
+LOCAL_MIN = 4  # texts of one slice that must hold a shingle for it to be counted there
+LEADER_ROUNDS = 2
 BROADCAST_ROWS = 500_000
 
 _BASE_FIELDS = "n_shingles bigint, digest binary, group bigint, prefix array<bigint>"
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of the distinct shingles of every text, in order."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int, order: Order | None = None) -> tuple[np.ndarray, ...]:
+    """(row, hash, rank) of the distinct shingles of every text, by row and hash; ranks come from ``order``, else are 0."""
     starts, ends, row = tx.word_positions(data, offsets, tx.SPACED)
     hashes = tx.word_hashes(data, starts, ends)
     found = tx.window_hashes(hashes, words)
     own = row[: len(found)] == row[words - 1 :] if len(found) else np.zeros(0, bool)
     rows, codes = [row[: len(found)][own]], [found[own]]
+    weights = [order.weights(hashes, words)[own] if order else np.zeros(len(codes[0]), np.int32)]
     count = np.bincount(row, minlength=len(offsets) - 1)
     first = np.cumsum(count) - count
     for n in range(1, words):
@@ -54,35 +57,51 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
                 code = code * np.uint64(tx._BASE) + hashes[first[short] + k]
             rows.append(short)
             codes.append(tx.mix(code + np.uint64(n)))
-    rows, codes = np.concatenate(rows), np.concatenate(codes)
-    order = np.lexsort((codes, rows))
-    rows, codes = rows[order], codes[order]
+            weights.append(np.zeros(len(short), np.int32))
+    rows, codes, weights = np.concatenate(rows), np.concatenate(codes), np.concatenate(weights)
+    by_code = np.lexsort((codes, rows))
+    rows, codes, weights = rows[by_code], codes[by_code], weights[by_code]
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])
-    return rows[new], codes[new]
+    rows, codes, weights = rows[new], codes[new], weights[new]
+    return rows, codes, order.ranks(codes, weights) if order else weights
 
 
-def _described(batch: pa.RecordBatch, column: str, words: int, percent: int, last: np.ndarray | None) -> dict[str, pa.Array]:
-    """Size, digest and (if ``last`` is given) group and prefix of every text's set."""
+class Order:
+    """Ranks of shingles: the sum of the magnitudes of their words' counts, or beyond that for known frequent shingles."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, shingles: np.ndarray):
+        by_code = np.argsort(words)
+        self.words, self.sizes = words[by_code], (np.log2(np.maximum(counts[by_code], 1)) + 1).astype(np.int32)
+        # ``shingles`` come in the order of their frequency, most frequent last
+        self.shingles, self.place = np.sort(shingles), np.argsort(shingles).astype(np.int32)
+
+    @staticmethod
+    def _lookup(table: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(table, codes), max(0, len(table) - 1))
+        return at, table[at] == codes if len(table) else np.zeros(len(codes), bool)
+
+    def weights(self, hashes: np.ndarray, length: int) -> np.ndarray:
+        at, known = self._lookup(self.words, hashes)
+        size = np.where(known, self.sizes[at], 0) if len(self.words) else np.zeros(len(hashes), np.int32)
+        return sum(size[k : len(size) - length + 1 + k] for k in range(length))
+
+    def ranks(self, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        at, known = self._lookup(self.shingles, codes)
+        return np.where(known, self.place[at] + 100_000, weights) if len(self.shingles) else weights
+
+
+def _described(batch: pa.RecordBatch, column: str, words: int, percent: int, order: Order) -> dict[str, pa.Array]:
+    """Size, digest, group and prefix of every text's set."""
     data, offsets = tx.text_bytes(batch.column(batch.schema.get_field_index(column)))
-    row, code = shingle_sets(data, offsets, words)
+    row, code, rank = shingle_sets(data, offsets, words, order)
     size = np.bincount(row, minlength=batch.num_rows)
     stop = np.cumsum(size)
     digests = [hashlib.blake2b(code[b - n : b].tobytes(), digest_size=16).digest() for b, n in zip(stop, size)]
-    # frequent shingles come last, most frequent at the very end; the others stand in order of their hashes
-    rank = np.zeros(len(code), np.int32)
-    if len(last):
-        ordered = np.sort(last)
-        at = np.minimum(np.searchsorted(ordered, code), len(ordered) - 1)
-        hot = ordered[at] == code
-        if hot.any():
-            by_code = np.argsort(last)
-            rank[hot] = by_code[at[hot]] + 1
-            code = code[np.lexsort((code, rank, row))]
+    code = code[np.lexsort((rank, row))]  # stable: equal ranks stay in order of their hashes
     need = size - -(-size * percent // 100) + 1
     need[size == 0] = 0
-    begin = stop - size
-    inside = np.arange(len(code)) - np.repeat(begin, size) < np.repeat(need, size)
+    inside = np.arange(len(code)) - np.repeat(stop - size, size) < np.repeat(need, size)
     kept = code[inside]
     ends = np.cumsum(need)
     groups = [
@@ -99,7 +118,7 @@ def _described(batch: pa.RecordBatch, column: str, words: int, percent: int, las
 
 def _whole_sets(batch: pa.RecordBatch, column: str, words: int) -> dict[str, pa.Array]:
     data, offsets = tx.text_bytes(batch.column(batch.schema.get_field_index(column)))
-    row, code = shingle_sets(data, offsets, words)
+    row, code, _ = shingle_sets(data, offsets, words)
     stop = np.cumsum(np.bincount(row, minlength=batch.num_rows))
     bounds = np.concatenate([[0], stop])
     return {
@@ -108,20 +127,27 @@ def _whole_sets(batch: pa.RecordBatch, column: str, words: int) -> dict[str, pa.
     }
 
 
-def frequent_shingles(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
-    """The (at most ``FREQUENT``) shingles found most often by counting what repeats inside slices; most frequent last."""
+def shingle_order(docs: DataFrame, text_col: str, words: int) -> Order:
+    """Count words and shingles that repeat inside slices of the texts, over all texts, and keep the most frequent."""
 
     def run(batches):
         for batch in batches:
             for part in tx.slices(batch, [text_col], 8 << 20):
                 data, offsets = tx.text_bytes(part.column(0))
-                code, n = np.unique(shingle_sets(data, offsets, words)[1], return_counts=True)
-                often = n >= LOCAL_MIN
-                yield pa.RecordBatch.from_arrays([pa.array(tx.signed(code[often])), pa.array(n[often])], names=["code", "n"])
-
-    counted = docs.select(text_col).mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "code").limit(FREQUENT).toPandas()
-    return top["code"].to_numpy(np.int64).view(np.uint64)[::-1]
+                starts, ends, _ = tx.word_positions(data, offsets, tx.SPACED)
+                for kind, codes, least in (("w", tx.word_hashes(data, starts, ends), 2), ("s", shingle_sets(data, offsets, words)[1], LOCAL_MIN)):
+                    code, n = np.unique(codes, return_counts=True)
+                    often = n >= least
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([kind] * int(often.sum()), pa.string()), pa.array(tx.signed(code[often])), pa.array(n[often])], names=["kind", "code", "n"]
+                    )
+
+    counted = docs.select(text_col).mapInArrow(run, "kind string, code bigint, n bigint").groupBy("kind", "code").agg(F.sum("n").alias("n"))
+    counted = pin(counted)
+    top = lambda kind, n: counted.where(F.col("kind") == kind).orderBy(F.desc("n"), "code").limit(n).toPandas()
+    common, shingles = top("w", FREQUENT_WORDS), top("s", FREQUENT_SHINGLES)
+    codes = lambda frame: frame["code"].to_numpy(np.int64).view(np.uint64)
+    return Order(codes(common), common["n"].to_numpy(np.int64), codes(shingles)[::-1])
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -217,8 +243,8 @@ def link_documents(
     search kept for the document's class (enough to connect its component, not all that exist).
     """
     source = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    last = source.sparkSession.sparkContext.broadcast(frequent_shingles(source, "_text", words))
-    described = pin(tx.annotate(source, lambda b: _described(b, "_text", words, percent, last.value), _BASE_FIELDS, [id_col], ["_text"]))
+    order = source.sparkSession.sparkContext.broadcast(shingle_order(source, "_text", words))
+    described = pin(tx.annotate(source, lambda b: _described(b, "_text", words, percent, order.value), _BASE_FIELDS, [id_col], ["_text"]))
     classes = described.where("n_shingles > 0").groupBy("digest").agg(
         F.first("n_shingles").alias("n"), F.first("group").alias("group"), F.min(id_col).alias("lowest"), F.count(F.lit(1)).alias("copies")
     )

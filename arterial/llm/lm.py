@@ -32,8 +32,8 @@ from arterial.llm import text as tx
 from arterial.session import pin
 
 HOLD_OUT = 10
-BLOCK_TOKENS = 2_000_000
-PART_CODES = 2_500_000  # about how many distinct words or bigrams of blocks meet in one part
+BLOCK_TOKENS = 1_000_000
+PART_CODES = 1_500_000  # about how many distinct words or bigrams of blocks meet in one part
 ADD = 0.1
 DECAY = 0.25
 
@@ -104,12 +104,12 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 class Block:
     """A block's tokens and its distinct words and bigrams, both in order of their hashes."""
 
-    def __init__(self, row: dict):
-        self.sizes = np.asarray(row["sizes"], np.int64)
+    def __init__(self, row: dict[str, pa.Scalar]):
+        self.sizes = row["sizes"].values.to_numpy().astype(np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
-        self.train = ~np.asarray(row["held"], bool)
-        self.words = _numbers(row["words"], np.uint64)
-        self.word = _numbers(row["tokens"], np.int32)
+        self.train = ~row["held"].values.to_numpy(zero_copy_only=False)
+        self.words = _numbers(row["words"].as_buffer(), np.uint64)
+        self.word = _numbers(row["tokens"].as_buffer(), np.int32)
         code = self.words[self.word]
         before = np.empty_like(code)
         before[1:] = code[:-1]
@@ -129,20 +129,22 @@ def _borders(codes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _questions(blocks: DataFrame, parts: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_dict("records"):
+            for i in range(batch.num_rows):
+                row = {c: batch.column(k)[i] for k, c in enumerate(batch.schema.names)}
                 asked = []
                 for kind, codes, n in Block(row).counts():
                     borders = _borders(codes, parts)
                     for part, (i, j) in enumerate(zip(borders[:-1], borders[1:])):
                         if j > i:
                             steps = np.diff(codes[i:j], prepend=np.uint64(0))
-                            asked.append((kind, part, row["block"], _planes(steps), _planes(n[i:j])))
-                yield pd.DataFrame(asked, columns=["kind", "part", "block", "codes", "counts"])
+                            asked.append((kind, part, row["block"].as_py(), _planes(steps), _planes(n[i:j])))
+                columns = [pa.array(c, k) for c, k in zip(zip(*asked), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["kind", "part", "block", "codes", "counts"])
 
     plain = blocks.select("block", "held", "sizes", "words", "tokens")
-    return plain.mapInPandas(run, "kind int, part int, block bigint, codes binary, counts binary")
+    return plain.mapInArrow(run, "kind int, part int, block bigint, codes binary, counts binary")
 
 
 _STATISTICS = "distinct bigint, total bigint, once bigint, by_size array<bigint>"
@@ -221,6 +223,9 @@ class Automaton:
         return np.add.reduceat((self.count[self.block.word] > 0).astype(np.int64), self.block.first)
 
 
+_SCORES = "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probability of the text)."""
     blocks = pin(token_blocks(docs, id_col, text_col))
@@ -238,23 +243,22 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     model = Model(total, distinct, n_texts, once, np.array(by_size, float))
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def score(held: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        row = held.to_dict("records")[0]
+    def score(held: pa.Table, told: pa.Table) -> pa.Table:
+        row = {c: held.column(c)[0] for c in held.column_names}
         block = Block(row)
+        told = told.sort_by([("kind", "ascending"), ("part", "ascending")])
+        of_kind = told.column("kind").to_numpy()
         totals = [
-            np.concatenate([_numbers(t, np.int64) for t in told[told["kind"] == k].sort_values("part")["totals"]]) for k in (_WORDS, _PAIRS)
+            np.concatenate([_numbers(told.column("totals")[int(i)].as_buffer(), np.int64) for i in np.flatnonzero(of_kind == k)])
+            for k in (_WORDS, _PAIRS)
         ]
         automaton = Automaton(model, block, *totals)
-        return pd.DataFrame({
-            id_col: pd.Series(list(row["ids"]), dtype="object"),
-            "held_out": ~block.train,
-            "n_tokens": block.sizes,
-            "n_known": automaton.known(),
-            "train_tokens": model.tokens,
-            "base_score": automaton.base(),
-            "score": automaton.traverse(),
-        })
-
-    return blocks.groupBy("block").cogroup(answers.select("kind", "part", "block", "totals").groupBy("block")).applyInPandas(
-        score, f"`{id_col}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+        columns = [
+            row["ids"].values, pa.array(~block.train), pa.array(block.sizes), pa.array(automaton.known()),
+            pa.array(np.full(len(block.sizes), model.tokens)), pa.array(automaton.base()), pa.array(automaton.traverse()),
+        ]
+        return pa.table(columns, names=[id_col, *(f.split()[0] for f in _SCORES.split(", "))])
+
+    return blocks.groupBy("block").cogroup(answers.select("kind", "part", "block", "totals").groupBy("block")).applyInArrow(
+        score, f"`{id_col}` {kind}, {_SCORES}"
     )

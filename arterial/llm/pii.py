@@ -27,6 +27,10 @@ KINDS = ("email", "ip", "card", "phone")
 FIELDS = "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint"
 SAMPLE_ROWS = 3000  # documents with candidates that the weights are fitted on
 SAMPLE_CHARS = 20_000
+# what a candidate's own looks say against a label, in natural log-odds: more than its neighbours can say for it, and less
+# than an equal candidate can
+UNMATCHED = (2.5, 3.5)
+AGREE = 50  # pairs of equal candidates with equal labels that are taken as seen before any are counted
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -169,22 +173,24 @@ class SkipChainCrf:
             p[np.arange(len(y)), y] -= 1
             self.node -= 0.5 * (x.T @ p / len(y) + 1e-4 * self.node)
         share = (np.bincount(y, minlength=self.size) + 1) / (len(y) + self.size)
-        joint = {"chain": np.ones((self.size, self.size)), "skip": np.ones((self.size, self.size)) + 20 * np.eye(self.size)}
+        joint, agree, differ = np.ones((self.size, self.size)), AGREE, 1
         for d, g in zip(documents, gold):
-            for name, edges in zip(("chain", "skip"), d.edges()):
-                # similar candidates where one has no base match say nothing: that is what the field is to decide
-                for a, b in edges:
-                    if name == "chain" or (g[a] != none and g[b] != none):
-                        joint[name][g[a], g[b]] += 0.5
-                        joint[name][g[b], g[a]] += 0.5
-        self.chain = np.log(joint["chain"] / joint["chain"].sum() / np.outer(share, share)).clip(-2, 2)
-        skip = joint["skip"] / joint["skip"].sum()
-        self.skip = np.log(skip / np.outer(skip.sum(axis=1), skip.sum(axis=0))).clip(-6, 6)
+            chain, skip = d.edges()
+            np.add.at(joint, (g[chain[:, 0]], g[chain[:, 1]]), 1)
+            # similar candidates where one has no base match say nothing: that is what the field is to decide
+            both = (g[skip[:, 0]] != none) & (g[skip[:, 1]] != none)
+            same = g[skip[:, 0]] == g[skip[:, 1]]
+            agree, differ = agree + int((both & same).sum()), differ + int((both & ~same).sum())
+        self.chain = np.log(joint / joint.sum() / np.outer(share, share)).clip(-1, 1)
+        self.skip = np.eye(self.size) * np.clip(np.log(agree / differ), 0, 6)
         return self
 
     def infer(self, d: Candidates, sweeps: int = 12) -> np.ndarray:
         """Label probabilities of every candidate by damped loopy sum-product; base matches are observed."""
-        potential = np.exp(np.clip(d.features @ self.node, -12, 12))
+        potential = d.features @ self.node
+        against = np.clip(potential[:, -1:] - potential, *UNMATCHED)
+        against[:, -1] = 0
+        potential = np.exp(-against)
         seen = d.labels >= 0
         potential[seen] = np.eye(self.size)[d.labels[seen]] + 1e-9
         chain, skip = d.edges()

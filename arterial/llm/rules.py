@@ -66,15 +66,16 @@ def ledger(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (*MEASURES, "failed_bits")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     # every white-space character becomes a space; words are what stands between spaces
-    step = docs.select(*keep, text.alias("_text"))
+    # other columns travel in one struct, so that their names can be anything
+    step = docs.select(F.struct(*keep).alias("_row"), text.alias("_text"))
     step = step.select(
-        *keep, "_text",
+        "_row", "_text",
         F.array_remove(F.split(F.translate("_text", _SPACE, " " * len(_SPACE)), " "), "").alias("_words"),
         F.filter(F.split("_text", "\n"), lambda line: F.length(F.trim(F.translate(line, _SPACE, " " * len(_SPACE)))) > 0).alias("_lines"),
     )
     long = lambda value: value.cast("bigint")
     step = step.select(
-        *keep, "_words",
+        "_row", "_words",
         long(F.size("_words")).alias("n_words"),
         long(F.length(F.translate("_text", _SPACE + " ", ""))).alias("word_chars"),
         long(F.length("_text") - F.length(F.translate("_text", _SYMBOLS, ""))).alias("n_symbols"),
@@ -103,7 +104,7 @@ def ledger(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text
         F.transform("_places", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("_places", k + 1) - p, F.lit(3)))),
         F.lit(0), lambda a, b: a + b,
     )
-    step = step.withColumn("n_repeat_words", long(covered)).select(*keep, *MEASURES)
+    step = step.withColumn("n_repeat_words", long(covered)).select("_row.*", *MEASURES)
     bits = F.lit(0).cast("bigint")
     for i, (_, failed) in enumerate(_rules().items()):
         bits = bits.bitwiseOR(F.when(failed, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")))

@@ -119,7 +119,7 @@ class Lexicon:
         self.curve[0] = math.log((toxic + 1e-6) / (1 - toxic + 1e-6))
         if len({label for _, label in texts}) < 2:
             return self.build()
-        folded = [(fold(body), label) for body, label in texts]
+        folded = sorted(((fold(body), label) for body, label in texts), key=lambda x: x[1])
         chosen = folded[::2]
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         pairs: dict[str, list[int]] = defaultdict(lambda: [0, 0])

@@ -99,7 +99,8 @@ def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, keep: list[
     links = pin(links.distinct())
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     own = rule_verdict(F.col("host"), F.col("path"), rules)
-    judged = pages.select(*dict.fromkeys([*keep, "url"]), host.alias("host"), path.alias("path")).withColumn("own", own)
+    # other columns travel in one struct, so that their names can be anything
+    judged = pages.select(F.struct(*keep).alias("row"), "url", host.alias("host"), path.alias("path")).withColumn("own", own)
     judged = judged.withColumn("spelling", F.when(F.col("host") != "", spelling(F.col("url"))))
     # decisions per spelling: urls of pages, and link targets that are no page here
     targets = links.select(host_of(F.col("target")).alias("host"), path_of(F.col("target")).alias("path"), spelling(F.col("target")).alias("spelling"))
@@ -121,5 +122,5 @@ def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, keep: list[
         F.when(F.col("allowed"), "allow").when(F.col("blocked"), "block").otherwise("allow"),
     )
     return judged.join(classes, "spelling", "left").select(
-        *keep, "host", "path", F.col("own.rule").alias("rule"), verdict.alias("verdict"), "alias_class"
+        "row.*", "host", "path", F.col("own.rule").alias("rule"), verdict.alias("verdict"), "alias_class"
     )
