@@ -4,7 +4,8 @@
 2. In one order of all shingles (those of rare words first, known frequent shingles last, else by hash), two sets with a Jaccard similarity of at least t share
    a shingle among the first ``size - ceil(t * size) + 1`` of each: the prefix. Classes with equal prefix and size form a
    group, and only groups that share a prefix shingle and whose sizes are close enough are paired.
-3. Group pairs are expanded to classes and verified on the whole sets.
+3. Group pairs are expanded to classes, those whose parity sketches prove them too different go, and the others are
+   verified on their whole sets. Sets are kept for classes only that have a close enough size in a shared list.
 
 Only components are wanted, so pairs inside a component need no check. A few rounds compare every class of a posting
 list with one leader of the list and merge what links (linear in the list, however many near copies are in it); then all
@@ -19,6 +20,7 @@ component's id is its smallest document id; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,8 @@ LOCAL_MIN = 4  # texts of one slice that must hold a shingle for it to be counte
 LEADER_ROUNDS = 2
 BROADCAST_ROWS = 500_000
 
-_BASE_FIELDS = "n_shingles bigint, digest binary, group bigint, prefix array<bigint>"
+SKETCH_BITS = 1024
+_BASE_FIELDS = "n_shingles bigint, digest binary, sketch array<bigint>, group bigint, prefix array<bigint>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int, order: Order | None = None) -> tuple[np.ndarray, ...]:
@@ -98,6 +101,10 @@ def _described(batch: pa.RecordBatch, column: str, words: int, percent: int, ord
     size = np.bincount(row, minlength=batch.num_rows)
     stop = np.cumsum(size)
     digests = [hashlib.blake2b(code[b - n : b].tobytes(), digest_size=16).digest() for b, n in zip(stop, size)]
+    # one parity bit per hash bucket: sets that differ in d elements differ in at most d bits
+    bit = code >> np.uint64(54)
+    sketch = np.zeros(batch.num_rows * (SKETCH_BITS // 64), np.uint64)
+    np.bitwise_xor.at(sketch, row * (SKETCH_BITS // 64) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
     code = code[np.lexsort((rank, row))]  # stable: equal ranks stay in order of their hashes
     need = size - -(-size * percent // 100) + 1
     need[size == 0] = 0
@@ -111,6 +118,9 @@ def _described(batch: pa.RecordBatch, column: str, words: int, percent: int, ord
     return {
         "n_shingles": pa.array(size, pa.int64()),
         "digest": pa.array(digests, pa.binary()),
+        "sketch": pa.ListArray.from_arrays(
+            pa.array(np.arange(batch.num_rows + 1) * (SKETCH_BITS // 64), pa.int32()), pa.array(tx.signed(sketch))
+        ),
         "group": pa.array(groups, pa.int64()),
         "prefix": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(tx.signed(kept))),
     }
@@ -164,7 +174,8 @@ class _State:
     """Classes in shared posting lists, their sets, and the component of each as far as it is known."""
 
     def __init__(self, classes: DataFrame, lists: DataFrame, sets: DataFrame, percent: int):
-        self.classes, self.lists, self.sets, self.percent = classes, lists, sets, percent
+        self.classes, self.lists, self.sets, self.percent = classes.drop("sketch"), lists, sets, percent
+        self.sketches = classes.select("digest", "n", "sketch")
         self.links: DataFrame | None = None
         self.component: DataFrame | None = None
 
@@ -177,8 +188,16 @@ class _State:
 
     def verify(self, pairs: DataFrame) -> bool:
         """Keep the pairs (a, b) whose sets are similar enough as links; whether there were any."""
-        left = self.sets.select(F.col("digest").alias("a"), F.col("shingles").alias("set_a"))
-        right = self.sets.select(F.col("digest").alias("b"), F.col("shingles").alias("set_b"))
+        a = self.sketches.select(F.col("digest").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+        b = self.sketches.select(F.col("digest").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+        bits = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        # |union| - |intersection| >= bits, and similar sets have (100 + percent) * that <= (100 - percent) * (n_a + n_b)
+        likely = bits * (100 + self.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.percent)
+        pairs = pin(pairs.join(b, "b").join(a, "a").where(likely).select("a", "b"))
+        wanted = _small(pin(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()))
+        sets = self.sets.join(wanted, "digest", "left_semi")
+        left = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("set_a"))
+        right = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("set_b"))
         common = F.size(F.array_intersect("set_a", "set_b"))
         both = F.size("set_a") + F.size("set_b") - common
         links = pin(pairs.join(right, "b").join(left, "a").where(common * 100 >= both * self.percent).select("a", "b"))
@@ -245,25 +264,33 @@ def link_documents(
     source = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
     order = source.sparkSession.sparkContext.broadcast(shingle_order(source, "_text", words))
     described = pin(tx.annotate(source, lambda b: _described(b, "_text", words, percent, order.value), _BASE_FIELDS, [id_col], ["_text"]))
-    classes = described.where("n_shingles > 0").groupBy("digest").agg(
-        F.first("n_shingles").alias("n"), F.first("group").alias("group"), F.min(id_col).alias("lowest"), F.count(F.lit(1)).alias("copies")
-    )
-    classes = pin(classes)
-    groups = described.where("n_shingles > 0").select("group", F.col("n_shingles").alias("n"), "prefix").dropDuplicates(["group", "n"])
-    postings = groups.select("group", "n", F.explode("prefix").alias("token"))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1").select("token")
-    lists = pin(postings.join(shared, "token"))
-    # classes that can link: in a shared list, or in a group with others
-    listed = lists.select("group", "n").distinct()
+    classes = pin(described.where("n_shingles > 0").groupBy("digest").agg(
+        F.first("n_shingles").alias("n"), F.first("group").alias("group"), F.min(id_col).alias("lowest"), F.count(F.lit(1)).alias("copies"),
+        F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"),
+    ))
+    postings = classes.select(F.explode("prefix").alias("token"), "group", "n")
+    # lists with at least two groups whose sizes are close: equal or neighbouring classes of the size's logarithm
+    magnitude = F.floor(F.log(F.col("n").cast("double")) / (-1.0001 * math.log(percent / 100)) if percent < 100 else F.col("n")).cast("int")
+    shared = postings.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("token")
+    listed = pin(postings.join(shared, "token").distinct().withColumn("size", magnitude))
+    sizes = listed.groupBy("token", "size").agg(F.count(F.lit(1)).alias("own"))
+    near = sizes.select("token", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"), "own")
+    near = near.groupBy("token", "size").agg(F.sum("own").alias("groups")).where("groups > 1").select("token", "size")
+    lists = pin(listed.join(near, ["token", "size"]).select("token", "group", "n"))
+    # classes that can link: in such a list, or in a group with others
     crowded = classes.groupBy("group", "n").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("group", "n")
-    active = pin(classes.join(listed.unionByName(crowded).distinct(), ["group", "n"]).select("digest", "group", "n"))
+    able = lists.select("group", "n").unionByName(crowded).distinct()
+    active = pin(classes.join(able, ["group", "n"]).select("digest", "group", "n", "sketch", "lowest"))
     component = None
     links = None
     if not active.isEmpty():
-        wanted = _small(active.select("digest"))
-        sets = tx.annotate(source, lambda b: _whole_sets(b, "_text", words), "digest binary, shingles array<bigint>", [], ["_text"])
-        sets = pin(sets.join(wanted, "digest", "left_semi").dropDuplicates(["digest"]))
-        state = _State(active, lists, sets, percent)
+        # one row per class, or as many as repeat its smallest id: more rows of a set do no harm
+        wanted = active.select(F.col("digest").alias("of"), F.col("lowest").alias("at"))
+        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+        sets = tx.annotate(source, lambda b: _whole_sets(b, "_text", words), "digest binary, shingles array<bigint>", [id_col], ["_text"])
+        same = (F.col("digest") == F.col("of")) & F.col(id_col).eqNullSafe(F.col("at"))
+        sets = pin(sets.join(wanted, same, "left_semi").select("digest", "shingles"))
+        state = _State(active.drop("lowest"), lists, sets, percent)
         for salt in range(LEADER_ROUNDS):
             if not state.leader_round(salt):
                 break
