@@ -63,7 +63,9 @@ def temporal_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 def batch_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     """DT-9: typed timestamp, hour, Sunday = 1 weekday and weekend flag."""
-    stamp = F.to_timestamp(F.col(ts))
+    kind = dict(df.dtypes)[ts]
+    # text that is no time becomes null instead of failing the job
+    stamp = F.try_to_timestamp(F.col(ts)) if kind == "string" else F.col(ts).cast("timestamp")
     return df.withColumns(
         {
             ts: stamp,

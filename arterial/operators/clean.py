@@ -47,11 +47,16 @@ def canonical_names(df: DataFrame) -> DataFrame:
 
 
 def pick_timestamp(df: DataFrame, candidates: Sequence[str] = CITY_TIMESTAMPS) -> DataFrame:
-    """PRJ-2/3 + TYP-2: ``timestamp`` from the first candidate present; unreadable values are null."""
-    for name in candidates:
-        if name in df.columns:
-            return df.withColumn("timestamp", parsed_timestamp(df, name))
-    return df
+    """PRJ-2/3 + TYP-2: ``timestamp`` from a row's first candidate with a value; unreadable values are null."""
+    present = [name for name in candidates if name in df.columns]
+    if not present:
+        return df
+    if len(present) == 1:
+        return df.withColumn("timestamp", parsed_timestamp(df, present[0]))
+    first = F.lit(None).cast("timestamp")
+    for name in reversed(present):
+        first = F.when(F.col(name).isNotNull(), parsed_timestamp(df, name)).otherwise(first)
+    return df.withColumn("timestamp", first)
 
 
 def moment(value: datetime | Column | None) -> Column:
@@ -73,7 +78,7 @@ def parsed_timestamp(df: DataFrame, name: str):
 def ensure_timestamp(df: DataFrame) -> DataFrame:
     """PRJ-4: a table without ``timestamp`` gets the current (processing) time."""
     if "timestamp" in df.columns:
-        return df.withColumn("timestamp", F.to_timestamp("timestamp"))
+        return df.withColumn("timestamp", parsed_timestamp(df, "timestamp"))
     return df.withColumn("timestamp", F.current_timestamp())
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from arterial.functions import traffic
 from arterial.functions.temporal import flag
 from arterial.operators.joins import lookup_join
-from arterial.operators.ordering import ROWS_PER_TASK
 
 
 def detect_congestion(
@@ -49,7 +48,7 @@ def predicted_congestion(
     current: DataFrame,
     predictions: DataFrame,
     speed_threshold: float = 0.5,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """CNG-2/JON-1: join ``predictions(location_id, predicted_speed)`` to current rows and rate them.
 

@@ -19,7 +19,7 @@ from arterial.operators.features import lag_features, spatial_features, traffic_
 from arterial.operators.metrics import error_metrics
 from arterial.operators.normalize import apply_normalizer, fit_normalizer
 from arterial.operators.ordering import ROWS_PER_TASK
-from arterial.operators.sequences import rows_at
+from arterial.operators.sequences import at_or_after, chronological_split, rows_at
 from arterial.session import pin
 
 HORIZONS = (15, 30, 60)
@@ -58,43 +58,51 @@ def training_set(
     leaky: Sequence[str] = ("speed_ratio", "density", "is_congested"),
     exclude_current: bool = True,
     rows_per_task: int | None = ROWS_PER_TASK,
+    holdout: float = 0.0,
 ) -> tuple[DataFrame, list[str], DataFrame]:
     """ML-1: (rows with filled and scaled features and the target, feature names, statistics).
 
-    ``leaky`` columns are computed from the target of the same row and are left out.
+    ``leaky`` columns are computed from the target of the same row and are left out. With a ``holdout`` the rows are split
+    in time first (column ``split``) and the statistics come from the training part only.
     """
     # both the statistics and the scaling read the features: compute the windows once
     table = pin(feature_table(df, by, ts, tiebreak, target, lags, exclude_current, rows_per_task))
     names = feature_columns(table, target, exclude=[tiebreak, *leaky])
-    stats = fit_normalizer(table, names, method)
+    if holdout:
+        table = chronological_split(table, holdout, ts, tiebreak)
+    stats = fit_normalizer(table.filter("split = 'train'") if holdout else table, names, method)
     scaled = apply_normalizer(table, stats)
     return fill_missing(scaled, [*names, target]), names, stats
 
 
+# columns of the models; a table's own columns keep their names
+_COLUMNS = {"featuresCol": "_features", "labelCol": "_label", "predictionCol": "_prediction"}
+
+
 def assemble(df: DataFrame, features: Sequence[str], target: str = "speed") -> DataFrame:
-    ready = df.withColumn("label", F.col(target).cast("double"))
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(ready)
+    ready = df.withColumn("_label", F.col(target).cast("double"))
+    return VectorAssembler(inputCols=list(features), outputCol="_features").transform(ready)
 
 
-def train(df: DataFrame, features: Sequence[str], target: str = "speed", kind: str = "linear") -> Model:
+def train(
+    df: DataFrame, features: Sequence[str], target: str = "speed", kind: str = "linear", regularization: float = 1e-4
+) -> Model:
     """ML-2: fit on the rows of ``df`` (take the 'train' part of a chronological split)."""
     if kind == "linear":
-        estimator = LinearRegression(featuresCol="features", labelCol="label", regParam=1e-4, solver="auto")
+        estimator = LinearRegression(**_COLUMNS, regParam=regularization, solver="auto")
     elif kind == "gbt":
-        estimator = GBTRegressor(featuresCol="features", labelCol="label", maxIter=20, maxDepth=5, seed=42)
+        estimator = GBTRegressor(**_COLUMNS, maxIter=20, maxDepth=5, seed=42)
     else:
         raise ValueError(f"unknown kind {kind!r}")
     return estimator.fit(assemble(df, features, target))
 
 
 def predict(
-    model: Model, df: DataFrame, features: Sequence[str], target: str = "speed", name: str = "prediction"
+    model: Model, df: DataFrame, features: Sequence[str], name: str = "prediction"
 ) -> DataFrame:
     """ML-5: batch prediction as a column."""
-    ready = df.withColumn("label", F.col(target).cast("double")) if target in df.columns else df
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(ready)
-    predicted = model.transform(vectors)
-    return predicted.withColumnRenamed("prediction", name).drop("features", "label")
+    vectors = VectorAssembler(inputCols=list(features), outputCol="_features").transform(df)
+    return model.transform(vectors).drop(name, "_features").withColumnRenamed("_prediction", name)
 
 
 def score_with(
@@ -163,6 +171,10 @@ def horizon_targets(
     One row per key and occupied bucket. Buckets meet their later selves in a single aggregation:
     each contributes its value to its own bucket and, shifted back, to those it is the target of.
     """
+    step = df.sparkSession.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {grid}"))).first()[0]
+    off = [h for h in horizons if h * 60_000_000 % step]
+    if off:
+        raise ValueError(f"horizons {off} are no multiples of the grid of {grid}")
     means = df.groupBy(by, F.window(ts, grid)["start"].alias(ts)).agg(F.avg(value).alias(value))
     shifts = F.array(*[F.lit(h) for h in (0, *horizons)])
     spread = means.select(by, value, ts, F.explode(shifts).alias("_h")).withColumn(
@@ -175,11 +187,12 @@ def horizon_targets(
 
 
 def train_horizons(
-    df: DataFrame, features: Sequence[str], horizons: Sequence[int] = HORIZONS, value: str = "speed", kind: str = "linear"
+    df: DataFrame, features: Sequence[str], horizons: Sequence[int] = HORIZONS, value: str = "speed", kind: str = "linear",
+    regularization: float = 1e-4,
 ) -> dict[int, Model]:
     """ML-6: one model per horizon, each on the rows that have its target."""
     return {
-        h: train(df.dropna(subset=[f"{value}_in_{h}"]), features, f"{value}_in_{h}", kind) for h in horizons
+        h: train(df.dropna(subset=[f"{value}_in_{h}"]), features, f"{value}_in_{h}", kind, regularization) for h in horizons
     }
 
 
@@ -188,7 +201,7 @@ def predict_horizons(
 ) -> DataFrame:
     """ML-6: a prediction column per horizon."""
     for h, model in models.items():
-        df = predict(model, df, features, f"{value}_in_{h}", f"predicted_in_{h}")
+        df = predict(model, df, features, f"predicted_in_{h}")
     return df
 
 
@@ -208,23 +221,23 @@ def time_folds(
     total = df.filter(F.col(ts).isNotNull()).count()
     ranks = sorted({i * total // folds for i in range(1, folds)} - {0})
     borders = rows_at(df, ranks, ts, tiebreak) if ranks else {}
-    key = F.struct(F.unix_micros(ts), F.col(tiebreak).cast("long"))
     fold = F.lit(0)
     for i in range(1, folds):
         if i * total // folds in borders:
             moment, tie = borders[i * total // folds]
-            later = key >= F.struct(F.lit(moment), F.lit(tie).cast("long"))
+            later = at_or_after([("_micros", moment), (tiebreak, tie)])
             fold = fold + F.coalesce(later.cast("int"), F.lit(0))
-    return df.withColumn(name, fold)
+    return df.withColumn("_micros", F.unix_micros(ts)).withColumn(name, fold).drop("_micros")
 
 
 def cross_validate(
-    df: DataFrame, features: Sequence[str], target: str = "speed", folds: int = 5, fold: str = "fold"
+    df: DataFrame, features: Sequence[str], target: str = "speed", folds: int = 5, fold: str = "fold",
+    regularizations: Sequence[float] = (1e-4, 1e-2),
 ) -> CrossValidatorModel:
     """ML-8: k-fold cross validation of the linear forecaster over given folds."""
-    estimator = LinearRegression(featuresCol="features", labelCol="label")
-    grid = ParamGridBuilder().addGrid(estimator.regParam, [1e-4, 1e-2]).build()
-    evaluator = RegressionEvaluator(labelCol="label", metricName="rmse")
+    estimator = LinearRegression(**_COLUMNS)
+    grid = ParamGridBuilder().addGrid(estimator.regParam, list(regularizations)).build()
+    evaluator = RegressionEvaluator(labelCol="_label", predictionCol="_prediction", metricName="rmse")
     validator = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol=fold
     )

@@ -15,14 +15,14 @@ def lookup_join(
     right: DataFrame,
     on: Sequence[str] | str,
     how: str = "inner",
-    rows_per_task: int | None = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of any table with one that has at most one row per key.
 
-    ``how`` is inner, left, left_semi or left_anti. Rows of hot left keys are joined with the few
-    right rows that have those keys by broadcast; all other rows take Spark's own choice of join.
-    Callers that join one table repeatedly pass its ``hot`` keys and no ``rows_per_task``.
+    ``how`` is inner, left, left_semi or left_anti. Adaptive execution splits hot left keys while the join runs, so by
+    default nothing is counted beforehand. Where it is off, ``rows_per_task`` counts the left keys first (or ``hot`` names
+    the hot ones): their rows are joined with the few right rows that have those keys by broadcast, all others as usual.
     """
     on = [on] if isinstance(on, str) else list(on)
     if rows_per_task:
@@ -77,7 +77,8 @@ def asof_join(
     """Attach to each left row the latest right row with the same key and ``right.ts <= left.ts``.
 
     Both sides are stacked and ordered once; right rows come first at equal times. ``tiebreak``
-    (a column of both sides) orders rows of equal time. ``values`` are the right columns to attach,
+    (a column of both sides) orders rows of equal time; without it, the right side must not repeat a time within a key.
+    Rows without a time match nothing. ``values`` are the right columns to attach,
     by default all but keys, time and tiebreak; the matching right time becomes ``<ts>_right``.
     """
     by = [by] if isinstance(by, str) else list(by or [])
@@ -89,12 +90,13 @@ def asof_join(
         *by, ts, *([tiebreak] if tiebreak else []), F.lit(1).alias("_side"),
         F.struct(*left.columns).alias("_left"),
     )
-    known = right.select(
+    known = right.filter(F.col(ts).isNotNull()).select(
         *by, ts, *([tiebreak] if tiebreak else []), F.lit(0).alias("_side"), attached.alias("_right")
     )
     stacked = rows.unionByName(known, allowMissingColumns=True)
     filled = OrderedRows(stacked, by, order, rows_per_task).carry({"_match": F.col("_right")}).result()
-    return filled.filter(F.col("_side") == 1).select("_left.*", "_match.*")
+    match = F.when(F.col(ts).isNotNull(), F.col("_match")).alias("_match")
+    return filled.filter(F.col("_side") == 1).select("_left", match).select("_left.*", "_match.*")
 
 
 def holiday_flag(df: DataFrame, holidays: DataFrame, ts: str = "timestamp") -> DataFrame:

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from arterial.functions.geo import EARTH_RADIUS_KM, haversine
 from arterial.functions.traffic import travel_time_minutes
 from arterial.operators.joins import lookup_join, salted_join
-from arterial.operators.ordering import ROWS_PER_TASK, hot_keys
+from arterial.operators.ordering import ROWS_PER_TASK
 from arterial.operators.spatial import nearest_node
 from arterial.session import pin, scratch_path
 
 # Requested routes up to this number are broadcast while their paths are read back.
 BROADCAST_PAIRS = 100_000
+ALGORITHMS = ("astar", "dijkstra")
 
 
 def known_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -68,8 +69,10 @@ def shortest_paths(
     """
     spark = edges.sparkSession
     pairs = pin(pairs.select("src", "dst").dropna().distinct())
+    # a segment without a usable weight is no way
+    weight = F.col("weight").cast("double")
     edges = pin(
-        edges.filter(F.col("src") != F.col("dst"))
+        edges.filter((F.col("src") != F.col("dst")) & weight.isNotNull() & ~F.isnan(weight))
         .groupBy("src", "dst")
         .agg(F.min(F.col("weight").cast("double")).alias("weight"))
     )
@@ -161,7 +164,7 @@ def with_paths(routes: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def route_geometry(
-    paths: DataFrame, nodes: DataFrame, key: list[str], rows_per_task: int | None = ROWS_PER_TASK
+    paths: DataFrame, nodes: DataFrame, key: list[str], rows_per_task: int | None = None
 ) -> DataFrame:
     """AGG-9/JON-6/ARR-1: ``(key, coordinates, distance_km, num_segments)`` of node paths."""
     stops = paths.select(*key, F.posexplode("path").alias("pos", "id"))
@@ -185,9 +188,11 @@ def find_routes(
 ) -> DataFrame:
     """GRF-4: routes for ``(request_id, origin_lat, origin_lon, dest_lat, dest_lon)`` rows.
 
-    Ends snap to their nearest nodes. Both named algorithms find cheapest ways, so ``algorithm`` is
-    only reported. Unreachable requests stay, with ``success`` false.
+    Ends snap to their nearest nodes. The accepted algorithms all find cheapest ways, and one batch search serves them,
+    so the name is reported and nothing else; other names are refused. Unreachable requests stay, with ``success`` false.
     """
+    if algorithm not in ALGORITHMS:
+        raise ValueError(f"unknown algorithm {algorithm!r}, expected one of {ALGORITHMS}")
     requests = pin(requests)
     ends = [
         F.struct(F.lit(name).alias("end"), F.col(end + "_lat").alias("latitude"), F.col(end + "_lon").alias("longitude"))
@@ -230,9 +235,8 @@ def propagate(
     weighted = lookup_join(weighted, degree, "dst")
     weighted = pin(weighted.select("src", "dst", (1 / F.sqrt(F.col("_out") * F.col("_deg"))).alias("_w")))
     state = features.select(F.col("id").alias("src"), *[F.col(c).cast("double").alias(c) for c in columns])
-    busy = hot_keys(weighted, ["src"], ROWS_PER_TASK)
     for _ in range(hops):
-        sent = lookup_join(weighted, state, "src", rows_per_task=None, hot=busy)
+        sent = lookup_join(weighted, state, "src")
         sums = sent.groupBy("dst").agg(*[F.sum(F.col(c) * F.col("_w")).alias(c) for c in columns])
         state = sums.withColumnRenamed("dst", "src")
     return state.withColumnRenamed("src", "id")

@@ -38,11 +38,13 @@ def resample(
     # blocks first, points second, so that a long history is never one array
     block = F.expr(f"interval {freq} * {_POINTS}")
     blocks = ends.select(*by, "_last", F.explode(F.sequence("_first", "_last", block)).alias("_start"))
+    blocks = blocks.repartition(*by, "_start")  # the points of one key are made by many tasks
     last = F.least(F.col("_last"), F.col("_start") + block - step)
     grid = blocks.select(*by, F.explode(F.sequence("_start", last, step)).alias(ts))
-    if by:
-        return grid.join(means, [*by, ts], "left").select(*by, ts, *columns)
-    return grid.join(means, ts, "left").select(ts, *columns)
+    # one grouping of grid and means: a missing key is a key here, which an equi-join would not meet
+    empty = [F.lit(None).cast(means.schema[c].dataType).alias(c) for c in columns]
+    both = grid.select(*by, ts, *empty).unionByName(means.select(*by, ts, *columns))
+    return both.groupBy(*by, ts).agg(*[F.max(c).alias(c) for c in columns])
 
 
 def fill_gaps(

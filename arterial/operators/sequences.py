@@ -6,11 +6,10 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arterial.operators.ordering import ROWS_PER_TASK, OrderedRows
-from arterial.operators.quantiles import MAX_VALUES, order_statistics
+from arterial.session import pin
 
 
 def with_sequences(
@@ -64,13 +63,13 @@ def block_sequences(
     )
 
 
-def _at_or_after(cut: Sequence[tuple[str, object]]) -> Column:
+def at_or_after(cut: Sequence[tuple[str, object]]) -> Column:
     """Lexicographic comparison of the order columns with fixed values."""
     (name, value), rest = cut[0], cut[1:]
     c = F.col(name)
-    if not rest:
-        return c >= F.lit(value)
-    return (c > F.lit(value)) | ((c == F.lit(value)) & _at_or_after(rest))
+    if not rest:  # missing values come first
+        return F.lit(True) if value is None else F.coalesce(c >= F.lit(value), F.lit(False))
+    return (c > F.lit(value)) | ((c == F.lit(value)) & at_or_after(rest))
 
 
 def chronological_split(
@@ -79,19 +78,18 @@ def chronological_split(
     ts: str = "timestamp",
     tiebreak: str = "event_id",
     name: str = "split",
-    max_values: int = MAX_VALUES,
 ) -> DataFrame:
     """WIN-12: 'train' for the first rows in time, 'validation' for the last ceil(fraction * n).
 
-    The border row is found by its rank, time first and ``tiebreak`` (a unique integer column)
-    within equal times, so the table is neither sorted nor shuffled.
+    The border row is found by its rank, time first and ``tiebreak`` (any orderable column, missing values first) within
+    equal times; only those two columns are sorted. Rows that are equal in both fall on the same side.
     """
     total = df.filter(F.col(ts).isNotNull()).count()
     first = total - math.ceil(fraction * total)
     if total == 0 or first >= total:
         return df.withColumn(name, F.lit("train"))
-    border = rows_at(df, [first], ts, tiebreak, max_values)[first]
-    later = _at_or_after([("_micros", border[0]), (tiebreak, border[1])])
+    border = rows_at(df, [first], ts, tiebreak)[first]
+    later = at_or_after([("_micros", border[0]), (tiebreak, border[1])])
     return (
         df.withColumn("_micros", F.unix_micros(ts))
         .withColumn(name, F.when(later, F.lit("validation")).otherwise(F.lit("train")))
@@ -99,21 +97,22 @@ def chronological_split(
     )
 
 
-def rows_at(
-    df: DataFrame, ranks: Sequence[int], ts: str, tiebreak: str, max_values: int = MAX_VALUES
-) -> dict[int, tuple[int, int]]:
-    """(microseconds, tiebreak) of the rows with 0-based ``ranks`` in (ts, tiebreak) order."""
+def rows_at(df: DataFrame, ranks: Sequence[int], ts: str, tiebreak: str) -> dict[int, tuple[int, object]]:
+    """(microseconds, tiebreak) of the rows with 0-based ``ranks`` in (ts, tiebreak) order; missing tiebreaks come first.
+
+    The two columns are range-sorted and written once. A row's id counts up within its partition, and partitions are in
+    order, so counts per partition tell where a rank is.
+    """
     times = df.select(F.unix_micros(ts).alias("t"), F.col(tiebreak).alias("k")).filter(F.col("t").isNotNull())
-    if times.count() <= max_values:
-        numbered = times.withColumn("i", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("t", "k")) - 1)
-        return {r["i"]: (r["t"], r["k"]) for r in numbered.filter(F.col("i").isin(list(ranks))).collect()}
-    found = {}
-    for rank, moment in order_statistics(times, "t", ranks, max_values).items():
-        before = times.filter(F.col("t") < moment).count()
-        same = times.filter(F.col("t") == moment)
-        tie = rank - before
-        found[rank] = (moment, order_statistics(same, "k", [tie], max_values)[tie])
-    return found
+    placed = pin(times.orderBy("t", "k").select("t", "k", F.monotonically_increasing_id().alias("i")))
+    part = F.shiftright("i", 33)
+    parts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("i").alias("first")).orderBy("part").collect()
+    wanted, before = {}, 0
+    for row in parts:
+        wanted.update({row["first"] + rank - before: rank for rank in ranks if before <= rank < before + row["n"]})
+        before += row["n"]
+    found = placed.filter(F.col("i").isin(list(wanted))).collect() if wanted else []
+    return {wanted[row["i"]]: (row["t"], row["k"]) for row in found}
 
 
 def split_by_key(

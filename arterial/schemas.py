@@ -1,36 +1,65 @@
 """Schemas of the input and output tables."""
 
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
-
-_TYPES = {"STRING": T.StringType(), "TIMESTAMP": T.TimestampType(), "DOUBLE": T.DoubleType(), "INT": T.IntegerType()}
-
-
-def _struct(text: str) -> T.StructType:
-    """Fields as ``name TYPE``; needs no session, unlike the DDL parser."""
-    fields = [field.split() for field in text.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
-
-
-TRAFFIC_READING = _struct(
-    "sensor_id STRING, timestamp TIMESTAMP, latitude DOUBLE, longitude DOUBLE, speed DOUBLE, "
-    "vehicle_count INT, occupancy DOUBLE, flow_rate DOUBLE"
+# Field names and types of the tables.
+TRAFFIC_READING = (
+    StructType()
+    .add("sensor_id", "string")
+    .add("timestamp", "timestamp")
+    .add("latitude", "double")
+    .add("longitude", "double")
+    .add("speed", "double")
+    .add("vehicle_count", "integer")
+    .add("occupancy", "double")
+    .add("flow_rate", "double")
+)
+LOOP_DETECTOR = (
+    StructType()
+    .add("timestamp", "timestamp")
+    .add("sensor_id", "string")
+    .add("vehicle_count", "integer")
+    .add("average_speed", "double")
+    .add("occupancy", "double")
+    .add("lane", "integer")
 )
-LOOP_DETECTOR = _struct(
-    "timestamp TIMESTAMP, sensor_id STRING, vehicle_count INT, average_speed DOUBLE, "
-    "occupancy DOUBLE, lane INT"
+CAMERA = (
+    StructType()
+    .add("timestamp", "timestamp")
+    .add("camera_id", "string")
+    .add("vehicle_count", "integer")
+    .add("congestion_level", "string")
+    .add("latitude", "double")
+    .add("longitude", "double")
 )
-CAMERA = _struct(
-    "timestamp TIMESTAMP, camera_id STRING, vehicle_count INT, congestion_level STRING, "
-    "latitude DOUBLE, longitude DOUBLE"
+RADAR = (
+    StructType()
+    .add("timestamp", "timestamp")
+    .add("radar_id", "string")
+    .add("speed", "double")
+    .add("direction", "string")
+    .add("vehicle_type", "string")
 )
-RADAR = _struct(
-    "timestamp TIMESTAMP, radar_id STRING, speed DOUBLE, direction STRING, vehicle_type STRING"
+# Landed feeds carry text: values are coerced when they are cleaned. The time columns are candidates, in order of
+# preference; a record has one of them.
+TRAVEL_TIME_RAW = (
+    StructType()
+    .add("datetime", "string")
+    .add("timestamp", "string")
+    .add("travel_time", "string")
+    .add("distance", "string")
+    .add("speed", "string")
 )
-# Landed feeds carry text: values are coerced when they are cleaned.
-TRAVEL_TIME_RAW = _struct("datetime STRING, travel_time STRING, distance STRING, speed STRING")
-CITY_SENSOR_RAW = _struct(
-    "created_date STRING, speed STRING, volume STRING, occupancy STRING, latitude STRING, "
-    "longitude STRING"
+CITY_SENSOR_RAW = (
+    StructType()
+    .add("timestamp", "string")
+    .add("datetime", "string")
+    .add("created_date", "string")
+    .add("date", "string")
+    .add("speed", "string")
+    .add("volume", "string")
+    .add("occupancy", "string")
+    .add("latitude", "string")
+    .add("longitude", "string")
 )
-GPX_POINT = _struct("_lat DOUBLE, _lon DOUBLE, ele DOUBLE, time STRING")
+GPX_POINT = StructType().add("_lat", "double").add("_lon", "double").add("ele", "double").add("time", "string")

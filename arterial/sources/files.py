@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -38,6 +40,41 @@ def recent(df: DataFrame, hours: float, ts: str = "created_date", now: datetime
     return df.filter(F.col(ts) >= moment(now) - F.expr(f"interval {int(hours * 3600)} seconds"))
 
 
+def read_by_name(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+    """CSV files with a header each, read by column name whatever the order.
+
+    Columns of ``schema`` that a file lacks are null, as are values that do not fit their type; all other columns are
+    kept as text. Files are grouped by header, so files of one export are one scan. Only the distinct headers and the
+    names of files with other headers than the first reach the driver.
+    """
+    # the first line of a file has the lowest row id of its first block
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("row"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    heads = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("head"))
+    by_head = defaultdict(list)
+    for row in heads.groupBy("head").agg(F.collect_list("file").alias("files")).toLocalIterator():
+        by_head[tuple(next(csv.reader([row["head"].lstrip("\ufeff")]), ()))].extend(row["files"])
+    frames = []
+    for head, names in sorted(by_head.items()):
+        fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(head))])
+        raw = spark.read.schema(fields).option("header", True).csv(paths if len(by_head) == 1 else names)
+        place = {name.strip(): f"_c{i}" for i, name in reversed(list(enumerate(head)))}
+        known = [_typed(place.get(f.name), f).alias(f.name) for f in schema]
+        others = [F.col(c).alias(name) for name, c in place.items() if name not in schema.names]
+        frames.append(raw.select(*known, *others))
+    return union_all(frames) if frames else spark.createDataFrame([], schema)
+
+
+def _typed(column: str | None, field: T.StructField) -> Column:
+    if column is None:
+        return F.lit(None).cast(field.dataType)
+    if isinstance(field.dataType, T.TimestampType):
+        return F.try_to_timestamp(F.col(column))
+    return F.col(column).try_cast(field.dataType)
+
+
 def read_sensor_files(
     spark: SparkSession,
     path: str,
@@ -53,7 +90,7 @@ def read_sensor_files(
     """
     schema, id_column = SENSOR_FILES[sensor_type]
     pattern = f"{sensor_type}_{sensor_id}*.csv" if sensor_id else f"{sensor_type}*.csv"
-    df = spark.read.schema(schema).option("header", True).csv(f"{path}/{pattern}")
+    df = read_by_name(spark, f"{path}/{pattern}", schema)
     last_hour = moment(None) - F.expr("interval 1 hour")
     df = time_range(df, last_hour if start_time is None else start_time, moment(end_time))
     return df.filter(F.col(id_column) == sensor_id) if sensor_id else df
@@ -99,17 +136,19 @@ def read_all_sensors(
 
 
 def read_travel_times(
-    spark: SparkSession, path: str, city: str, days: int = 30, schema: T.StructType = schemas.TRAVEL_TIME_RAW
+    spark: SparkSession, path: str, city: str, days: int | None = None, schema: T.StructType = schemas.TRAVEL_TIME_RAW
 ) -> DataFrame:
-    """SRC-9/TOP-3: the last ``days`` exports ``<city>_*.csv`` by name.
+    """SRC-9/TOP-3: the exports ``<city>_*.csv``, or the last ``days`` of them by name.
 
     The name list has one entry per file and is found before the rows are read.
     """
+    if days is None:
+        return read_by_name(spark, f"{path}/{city}_*.csv", schema)
     listing = spark.read.format("binaryFile").load(f"{path}/{city}_*.csv").select("path")
     export = F.regexp_extract("path", f"/({city}_[^/]*[.]csv)(/[^/]*)?$", 1).alias("name")
     last = listing.select(export).distinct().orderBy(F.col("name").desc()).limit(days)
     names = [f"{path}/{row['name']}" for row in last.collect()]
-    return spark.read.schema(schema).option("header", True).csv(names)
+    return read_by_name(spark, names, schema)
 
 
 def read_gpx(spark: SparkSession, path: str) -> DataFrame:
@@ -135,8 +174,8 @@ def read_landed(spark: SparkSession, path: str, fmt: str = "json", schema: T.Str
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def read_city_sensors(spark, path, fmt="json", limit: int | None = 1000, schema=schemas.CITY_SENSOR_RAW) -> DataFrame:
-    """SRC-12/TOP-2: landed city sensor records, at most ``limit`` of them (None: all)."""
+def read_city_sensors(spark, path, fmt="json", limit: int | None = None, schema=schemas.CITY_SENSOR_RAW) -> DataFrame:
+    """SRC-12/TOP-2: landed city sensor records, all of them unless a ``limit`` is asked for."""
     df = read_landed(spark, path, fmt, schema)
     return df if limit is None else df.limit(limit)
 
@@ -156,6 +195,7 @@ def read_road_network(spark, path, fmt="json", limit: int | None = None, schema=
     """
     records = read_landed(spark, path, fmt, schema)
     records = records if limit is None else records.limit(limit)
+    # a missing or unreadable weight stays null here: a segment of unknown length is no way (shortest_paths)
     records = to_numbers(records, ["from_lat", "from_lon", "to_lat", "to_lon", "weight"])
     ends = [
         records.select(F.col(e + "_id").alias("id"), F.col(e + "_lat").alias("latitude"), F.col(e + "_lon").alias("longitude"))

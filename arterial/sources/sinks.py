@@ -26,6 +26,10 @@ def write_batch(df: DataFrame | pd.DataFrame, path: str | None, ts: str = "times
 
 
 def write_landed(df: DataFrame, path: str, city: str, ts: str = "timestamp") -> None:
-    """SNK-7: append a fetch to the landing folder, partitioned by city and day."""
+    """SNK-7: land a fetch, partitioned by city and day.
+
+    A fetch holds whole days: its days replace what was landed for them before, so fetching a range twice does no harm.
+    """
     landed = df.withColumns({"city": F.lit(city), "date": F.to_date(ts)})
-    landed.hint("rebalance", "city", "date").write.mode("append").partitionBy("city", "date").parquet(path)
+    writer = landed.hint("rebalance", "city", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("city", "date").parquet(path)

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 from arterial.operators.clean import moment
 
 
-def _poisson(mean: float, seed: int, upto: int = 60) -> Column:
-    """Inverse-transform sample: the number of cumulative probabilities below a uniform draw."""
+def _poisson(mean: float, seed: int) -> Column:
+    """Inverse-transform sample: the number of cumulative probabilities below a uniform draw.
+
+    The steps end where what is left of the distribution is below the resolution of the draw.
+    """
+    upto = int(mean + 12 * mean**0.5 + 30)
     probability, cumulative = 2.718281828459045 ** -mean, []
     total = 0.0
     for k in range(upto):

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from arterial.session import scratch_path
+from arterial.session import checkpoint_root
 
 # Defaults of each sink.
 KAFKA = {"bootstrap_servers": "localhost:9092", "topic": "processed_traffic"}
@@ -21,6 +24,14 @@ def kafka_records(df: DataFrame, key: str = "location_id") -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
+def stable_checkpoint(spark: SparkSession, kind: str, target: str) -> str:
+    """The checkpoint folder of a sink below the shared root: the same for every start, so a restart goes on where the
+    last run ended and no batch number is used twice."""
+    name = re.sub("[^A-Za-z0-9._-]+", "_", target).strip("_")[-80:]
+    code = hashlib.sha256(target.encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark).rstrip('/')}/streams/{kind}-{name}-{code}"
+
+
 def _triggered(writer: DataStreamWriter, trigger: dict | None) -> DataStreamWriter:
     """STM-7: ``{"processingTime": "10 seconds"}`` or ``{"availableNow": True}``."""
     return writer.trigger(**trigger) if trigger else writer
@@ -35,13 +46,21 @@ def write_sink(
 ) -> StreamingQuery:
     """Start a query into a console, kafka, parquet or memory sink.
 
-    Files can only be appended to; the other sinks get updated rows. Each query has a checkpoint
-    folder of its own (SNK-5).
+    Files can only be appended to; the other sinks get updated rows. Each sink has a checkpoint folder of its own
+    (SNK-5), by default one derived from its path, topic or table, which a restart finds again. The console keeps
+    nothing and a memory table ends with its session, so theirs are derived from the session too.
     """
     options = options or {}
     if kind not in ("console", "kafka", "parquet", "memory"):
         raise ValueError(f"unsupported sink type {kind!r}")
-    checkpoint = checkpoint or scratch_path(df.sparkSession, f"stream-{kind}")
+    if checkpoint is None:
+        target = {
+            "parquet": options.get("path", PARQUET_PATH),
+            "kafka": f"{options.get('bootstrap_servers', KAFKA['bootstrap_servers'])}/{options.get('topic', KAFKA['topic'])}",
+            "memory": f"{df.sparkSession.sparkContext.applicationId}/{options.get('table_name', TABLE_NAME)}",
+            "console": f"{df.sparkSession.sparkContext.applicationId}/{options.get('name', uuid.uuid4().hex)}",
+        }[kind]
+        checkpoint = stable_checkpoint(df.sparkSession, kind, target)
     if kind == "kafka":
         df = kafka_records(df, options.get("key", "location_id"))
     mode = options.get("mode", "append" if kind == "parquet" else "update")
@@ -65,7 +84,7 @@ def write_updates(
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    checkpoint = checkpoint or scratch_path(df.sparkSession, "stream-updates")
+    checkpoint = checkpoint or stable_checkpoint(df.sparkSession, "updates", path)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(save)
     return _triggered(writer, trigger).start()
 

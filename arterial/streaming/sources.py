@@ -35,7 +35,8 @@ def stream_reader(spark: SparkSession, kind: str, options: dict | None = None) -
             raise ValueError(f"unsupported file format {fmt!r}")
         reader = spark.readStream.format(fmt).schema(options.get("schema", TRAFFIC_READING))
         if fmt == "csv":
-            reader = reader.option("header", True)
+            # a file whose header has another order fails instead of filling the wrong columns
+            reader = reader.option("header", True).option("enforceSchema", False)
         for name, setting in (("glob", "pathGlobFilter"), ("max_files_per_trigger", "maxFilesPerTrigger")):
             if name in options:
                 reader = reader.option(setting, options[name])

@@ -118,5 +118,10 @@ def test_order_statistics_by_narrowing(spark, kind):
 
 def test_split_at_rank_without_sorting(hot):
     tied = hot.withColumn("timestamp", F.date_trunc("day", "timestamp"))
-    run = lambda n: sequences.chronological_split(tied, max_values=n)
-    same(run(10**6), run(20), ["event_id", "split"])
+    by_text = tied.withColumn("event_id", F.when(F.col("event_id") % 50 > 0, F.format_string("%09d", "event_id")))
+    for df in (tied, by_text):
+        rows = sorted((r.timestamp, r.event_id is not None, r.event_id) for r in df.filter("timestamp is not null").select("timestamp", "event_id").collect())
+        first = rows[len(rows) - math.ceil(0.2 * len(rows))]
+        got = sequences.chronological_split(df).filter("timestamp is not null").collect()
+        assert {r.split for r in got} == {"train", "validation"}
+        assert all((r.split == "validation") == ((r.timestamp, r.event_id is not None, r.event_id) >= first) for r in got)
