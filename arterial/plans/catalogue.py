@@ -874,17 +874,22 @@ EVER = (datetime(2000, 1, 1), datetime(2100, 1, 1))
 
 
 def _sensor_folder(spark, sf) -> str:
-    """The readings as CSV files named like device exports."""
+    """The readings as CSV files named like device exports: odd rows in another column order, with a column more and, for
+    radars, one less."""
     r = views.readings(spark, sf)
     path = scratch_path(spark, "sensors")
     shapes = {
-        "loop_detector": r.select("timestamp", "sensor_id", "vehicle_count", F.col("speed").alias("average_speed"), "occupancy", "lane"),
-        "camera": r.select("timestamp", F.col("sensor_id").alias("camera_id"), "vehicle_count", F.lit("low").alias("congestion_level"), "latitude", "longitude"),
-        "radar": r.select("timestamp", F.col("sensor_id").alias("radar_id"), "speed", F.lit("N").alias("direction"), F.lit("car").alias("vehicle_type")),
+        "loop_detector": r.select("event_id", "timestamp", "sensor_id", "vehicle_count", F.col("speed").alias("average_speed"), "occupancy", "lane"),
+        "camera": r.select("event_id", "timestamp", F.col("sensor_id").alias("camera_id"), "vehicle_count", F.lit("low").alias("congestion_level"), "latitude", "longitude"),
+        "radar": r.select("event_id", "timestamp", F.col("sensor_id").alias("radar_id"), "speed", F.lit("N").alias("direction"), F.lit("car").alias("vehicle_type")),
     }
     for kind, rows in shapes.items():
-        writer = rows.write.option("header", True).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        writer.csv(f"{path}/{kind}_export.csv")
+        even = F.col("event_id") % 2 == 0
+        other = [c for c in reversed(rows.columns) if c not in ("event_id", "vehicle_type")]
+        parts = {"even": rows.filter(even).drop("event_id"), "odd": rows.filter(~even).select("*", F.lit("a, b").alias("note")).select("note", *other)}
+        for name, part in parts.items():
+            writer = part.write.option("header", True).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            writer.csv(f"{path}/{kind}_{name}.csv")
     return path
 
 
@@ -918,10 +923,13 @@ def src9_travel_files(spark, sf):
     raw = views.travel_times_raw(spark, sf).filter("datetime is not null")
     path = scratch_path(spark, "travel")
     fields = raw.select("datetime", "travel_time", "distance", "speed")
-    for name, part in (("nyc_1995.csv", "datetime < '1996'"), ("nyc_1996.csv", "datetime >= '1996'"), ("la_1999.csv", "true")):
-        fields.filter(part).write.option("header", True).csv(f"{path}/{name}")
+    turned = raw.select("speed", "distance", F.lit("7").alias("origin_id"), "travel_time", F.col("datetime").alias("timestamp"))
+    for name, rows, part in (
+        ("nyc_1995.csv", fields, "datetime < '1996'"), ("nyc_1996.csv", turned, "timestamp >= '1996'"), ("la_1999.csv", fields, "true"),
+    ):
+        rows.filter(part).write.option("header", True).csv(f"{path}/{name}")
     latest = clean.clean_travel_times(files.read_travel_times(spark, path, "nyc", days=1))
-    by_day = latest.groupBy(F.to_date("timestamp").alias("day"))
+    by_day = latest.filter("origin_id = '7'").groupBy(F.to_date("timestamp").alias("day"))
     return rounded(by_day.agg(F.count("*").alias("n"), F.sum("travel_time").alias("travel_time")), 2)
 
 

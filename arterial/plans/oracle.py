@@ -611,13 +611,15 @@ select cast((select count(*) from f) as bigint) as n, cast(count(*) as int) as f
 # -- sources and sinks -----------------------------------------------------------------------------
 
 SQL["src5_loop_detector"] = with_views("readings") + """
-select timestamp, sensor_id, vehicle_count, round(speed, 6) as average_speed, occupancy, lane from readings
+select timestamp, sensor_id, vehicle_count, round(speed, 6) as average_speed, occupancy, lane,
+  case when event_id % 2 <> 0 then 'a, b' end as note from readings
 where sensor_type is not null and timestamp between timestamp '2024-01-10' and timestamp '2024-01-12'"""
 SQL["src6_camera"] = with_views("readings") + """
 select timestamp, sensor_id as camera_id, vehicle_count, 'low' as congestion_level, round(latitude, 6) as latitude,
-  round(longitude, 6) as longitude from readings"""
+  round(longitude, 6) as longitude, case when event_id % 2 <> 0 then 'a, b' end as note from readings"""
 SQL["src7_radar"] = with_views("readings") + """
-select timestamp, sensor_id as radar_id, round(speed, 6) as speed, 'N' as direction, 'car' as vehicle_type from readings"""
+select timestamp, sensor_id as radar_id, round(speed, 6) as speed, 'N' as direction, case when event_id % 2 = 0 then 'car' end as vehicle_type,
+  case when event_id % 2 <> 0 then 'a, b' end as note from readings"""
 SQL["src8_all_sensors"] = with_views("readings") + """
 select t.sensor_type, sensor_id, count(*) as n, case when t.sensor_type <> 'camera' then round(sum(speed), 2) end as speed,
   case when t.sensor_type <> 'radar' then cast(sum(vehicle_count) as bigint) end as vehicles
