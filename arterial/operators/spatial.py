@@ -43,7 +43,7 @@ def _box_distance(cell: Column, farthest: bool) -> Column:
     return F.sqrt(total)
 
 
-def _divide(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame, list[int], int]:
+def _divide(nodes: DataFrame, broadcast_cells: int) -> tuple[list[DataFrame], DataFrame, list[int], int]:
     """Cells of each level, nodes packed per undivided cell, number of cells per level and of nodes."""
     low = nodes.agg(*[F.min(a).alias(a) for a in "xyz"], *[F.max(a).alias(a + "1") for a in "xyz"]).first()
     levels, sizes, leaves, total = [], [], [], 0
@@ -68,7 +68,7 @@ def _divide(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame, list[int], in
         levels.append(cells)
         sizes.append(count)
         flags = cells.select(*_CELL, "divided")
-        if count <= BROADCAST_CELLS:
+        if count <= broadcast_cells:
             marked = active.join(F.broadcast(flags), _CELL)
         else:
             marked = lookup_join(active, flags, _CELL)
@@ -93,6 +93,7 @@ def knn_join(
     point_id: str = "point_id",
     node_id: str = "id",
     exclude_same_id: bool = False,
+    broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """``(point_id, node_id, distance_m, rank)``: the k nearest nodes of each point.
 
@@ -123,7 +124,7 @@ def knn_join(
     start = pin(places).repartition(tasks, "place")
     start = start.withColumns({"p" + a: c for a, c in _xyz(F.col("plat"), F.col("plon")).items()})
     columns = ["place", "plat", "plon", "px", "py", "pz"]
-    levels, packed, sizes, total = _divide(located)
+    levels, packed, sizes, total = _divide(located, broadcast_cells)
     if not levels:
         return _rename(
             base.limit(0).select("pid", F.lit(None).cast(located.schema["id"].dataType).alias("id"),
@@ -141,7 +142,7 @@ def knn_join(
             .withColumns({"level": F.lit(level - 1), "divided": F.lit(True)})
         )
         on = ["level", "divided", *_CELL]
-        if sizes[level - 1] <= BROADCAST_CELLS:
+        if sizes[level - 1] <= broadcast_cells:
             joined = state.join(F.broadcast(parents), on, "left")
         else:
             joined = lookup_join(state, parents, on, "left")
@@ -173,7 +174,7 @@ def knn_join(
             F.col("_limit").isNull() | (F.col("near") <= F.col("_limit") + F.lit(_SLACK))
         ).drop("_upto", "_limit")
     on = ["level", *_CELL]
-    if total <= BROADCAST_CELLS:
+    if total <= broadcast_cells:
         matched = state.join(F.broadcast(packed), on)
     else:
         matched = lookup_join(state, packed, on)
@@ -208,8 +209,10 @@ def nearest_node(points: DataFrame, nodes: DataFrame, point_id: str = "point_id"
     return found.drop("rank")
 
 
-def knn_graph(nodes: DataFrame, k: int = 5, radius_m: float = 1000.0) -> DataFrame:
+def knn_graph(
+    nodes: DataFrame, k: int = 5, radius_m: float = 1000.0, broadcast_cells: int = BROADCAST_CELLS
+) -> DataFrame:
     """JON-4: directed edges ``(src, dst, distance_m, connection_type)`` to the k nearest within reach."""
     sides = nodes.withColumnRenamed("id", "src"), nodes.withColumnRenamed("id", "dst")
-    found = knn_join(*sides, k, radius_m, "src", "dst", exclude_same_id=True)
+    found = knn_join(*sides, k, radius_m, "src", "dst", exclude_same_id=True, broadcast_cells=broadcast_cells)
     return found.select("src", "dst", "distance_m", F.lit(1.0).alias("connection_type"))

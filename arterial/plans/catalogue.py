@@ -17,7 +17,7 @@ from arterial.functions import traffic
 from arterial.functions.geo import EARTH_RADIUS_M, distance_from, haversine, select_locations, within_bounds
 from arterial.functions.temporal import batch_features, temporal_features
 from arterial.operators import (
-    alerts, clean, congestion, features, forecast, joins, metrics, network, normalize, quality, resample,
+    alerts, clean, congestion, features, forecast, joins, metrics, network, normalize, quality, quantiles, resample,
     sequences, signals, spatial, trajectory, windows,
 )
 from arterial.operators.ordering import OrderedRows
@@ -868,6 +868,88 @@ def ml8_cross_validation(spark, sf):
     return n.withColumn("rmse", F.round(F.lit(float(model.avgMetrics[0])), 4))
 
 
+# -- large keys and tables: the same results with limits so low that the test tables exceed them ------
+
+FEW_ROWS = 500
+
+
+@query
+def far_traffic(spark, sf):
+    out = features.traffic_features(views.crowded_readings(spark, sf), tiebreak="event_id", rows_per_task=FEW_ROWS)
+    return rounded(
+        out.select(
+            "event_id", "flow_rate", "density", "speed_ratio", "is_congested", "congestion_level", "occupancy_normalized",
+            "is_high_occupancy", "speed_rolling_mean_5", "vehicle_count_rolling_mean_10", "flow_rate_rolling_mean_5",
+            "occupancy_rolling_std_5",
+        ),
+        flow_rate=3, density=3, flow_rate_rolling_mean_5=3,
+    )
+
+
+@query
+def far_lags(spark, sf):
+    readings = views.crowded_readings(spark, sf)
+    out = features.lag_features(readings, ["speed", "vehicle_count"], tiebreak="event_id", rows_per_task=FEW_ROWS)
+    return out.select("event_id", *[f"{c}_lag_{k}" for c in ("speed", "vehicle_count") for k in features.LAGS])
+
+
+@query
+def far_global(spark, sf):
+    out = features.traffic_features(views.readings(spark, sf), by=None, tiebreak="event_id", rows_per_task=FEW_ROWS)
+    return rounded(out.select("event_id", "flow_rate", "speed_rolling_mean_5", "speed_rolling_mean_10"), flow_rate=3)
+
+
+@query
+def far_index(spark, sf):
+    rows = views.readings(spark, sf).select("event_id", "timestamp")
+    return OrderedRows(rows, None, ["timestamp", "event_id"], FEW_ROWS).index().result().select("event_id", "row_index")
+
+
+@query
+def far_asof(spark, sf):
+    r = views.readings(spark, sf).select("event_id", "timestamp", "sensor_id")
+    out = joins.asof_join(
+        r, views.weather(spark, sf), None, values=["precipitation", "visibility"], tiebreak="event_id", rows_per_task=FEW_ROWS
+    )
+    return rounded(out.select("event_id", "timestamp_right", "precipitation", "visibility"))
+
+
+@query
+def far_sequences(spark, sf):
+    readings = views.crowded_readings(spark, sf)
+    out = sequences.with_sequences(readings, ["speed"], "speed", 10, tiebreak="event_id", rows_per_task=FEW_ROWS)
+    return out.withColumn("x", F.flatten("x")).select("event_id", "y", hundredths("x").alias("x"))
+
+
+@query
+def far_fill(spark, sf):
+    hourly = resample.resample(views.crowded_readings(spark, sf), "1 hour", "sensor_id", columns=["speed"])
+    return rounded(resample.fill_gaps(hourly, ["speed"], "interpolate", "sensor_id", rows_per_task=FEW_ROWS), 9)
+
+
+@query
+def far_quartiles(spark, sf):
+    """QLT-3's and OUT-1's quartiles by narrowing brackets."""
+    r = views.readings(spark, sf)
+    found = quantiles.exact_quantiles(r, ["speed", "occupancy", "vehicle_count"], (0.25, 0.5, 0.75), max_values=50)
+    rows = [(name, *values) for name, values in found.items()]
+    return rounded(spark.createDataFrame(rows, "name STRING, q1 DOUBLE, q2 DOUBLE, q3 DOUBLE"))
+
+
+@query
+def far_knn(spark, sf):
+    return rounded(spatial.knn_graph(views.road_nodes(spark, sf), broadcast_cells=0), 3)
+
+
+@query
+def far_salted(spark, sf):
+    """Readings of a sensor against its readings of the first two days, a third of all at one sensor."""
+    r = views.crowded_readings(spark, sf)
+    early = r.filter("timestamp < '2024-01-03'").select("sensor_id", F.col("speed").alias("early_speed"))
+    met = joins.salted_join(r.select("sensor_id", "event_id", "speed"), early, "sensor_id", ["event_id"], FEW_ROWS)
+    return met.groupBy("sensor_id").agg(F.count("*").alias("n"), F.round(F.sum(F.col("speed") - F.col("early_speed")), 2).alias("gap"))
+
+
 # -- sources and sinks over data derived from the tables ---------------------------------------------
 
 EVER = (datetime(2000, 1, 1), datetime(2100, 1, 1))

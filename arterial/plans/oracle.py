@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from arterial.operators.alerts import TEXTS
-from arterial.plans.views import with_views
+from arterial.plans.views import CTE, with_views
 
 SQL: dict[str, str] = {}
 
@@ -608,6 +608,35 @@ errors as (
   select fold, sqrt(avg((speed - a - b * occupancy) ** 2)) as rmse from f join models using (fold) group by fold)""") + """
 select cast((select count(*) from f) as bigint) as n, cast(count(*) as int) as folds, round(avg(rmse), 4) as rmse from errors"""
 
+# -- large keys and tables ---------------------------------------------------------------------------
+
+_CROWDED = "select * replace (case when event_id % 3 = 0 then 'HOT' when event_id % 101 <> 0 then sensor_id end as sensor_id) from all_readings"
+
+
+def _crowded(sql: str) -> str:
+    """The same query with a third of the readings at one sensor and some without a sensor."""
+    plain = f"readings as ({CTE['readings']})"
+    sql = sql.replace(plain, f"all_{plain},\nreadings as ({_CROWDED})")
+    return sql.replace(
+        "grid left join means using (sensor_id, timestamp)",
+        "grid left join means on grid.sensor_id is not distinct from means.sensor_id and grid.timestamp = means.timestamp",
+    )
+
+
+SQL |= {f"far_{name}": _crowded(SQL[near]) for name, near in (
+    ("traffic", "win4_traffic"), ("lags", "win5_lags"), ("sequences", "win10_sequences"), ("fill", "rsm2_fill"),
+)}
+SQL |= {f"far_{name}": SQL[near] for name, near in (
+    ("global", "win4_global"), ("index", "srt1_index"), ("asof", "jon9_asof"), ("knn", "jon4_knn"),
+)}
+SQL["far_quartiles"] = with_views("readings") + "\nunion all\n".join(
+    f"select '{c}' as name, round(quantile_cont({c}, 0.25), 6) as q1, round(quantile_cont({c}, 0.5), 6) as q2, round(quantile_cont({c}, 0.75), 6) as q3 from readings"
+    for c in ("speed", "occupancy", "vehicle_count")
+)
+SQL["far_salted"] = _crowded(with_views("readings")) + """
+select a.sensor_id, count(*) as n, round(sum(a.speed - b.speed), 2) as gap
+from readings a join readings b on a.sensor_id = b.sensor_id and b.timestamp < timestamp '2024-01-03' group by 1"""
+
 # -- sources and sinks -----------------------------------------------------------------------------
 
 SQL["src5_loop_detector"] = with_views("readings") + """

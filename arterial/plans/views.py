@@ -79,6 +79,14 @@ def readings(spark, sf_dir) -> DataFrame:
     return readings_of(table(spark, sf_dir, "events"))
 
 
+def crowded_readings(spark, sf_dir) -> DataFrame:
+    """The readings with a third of the rows at one sensor and some without a sensor."""
+    return readings(spark, sf_dir).withColumn(
+        "sensor_id",
+        F.when(F.col("event_id") % 3 == 0, "HOT").when(F.col("event_id") % 101 == 0, F.lit(None)).otherwise(F.col("sensor_id")),
+    )
+
+
 def city_sensor_raw(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(*_columns(CITY_SENSOR_RAW))
 
