@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from arterial.functions.geo import EARTH_RADIUS_KM, haversine
 from arterial.functions.traffic import travel_time_minutes
+from arterial.operators.components import components
 from arterial.operators.joins import lookup_join, salted_join
 from arterial.operators.ordering import ROWS_PER_TASK
 from arterial.operators.spatial import nearest_node
 from arterial.session import pin, scratch_path
 
-# Requested routes up to this number are broadcast while their paths are read back.
+# Requested routes up to this number (of four numbers each) are broadcast while their paths are read back.
 BROADCAST_PAIRS = 100_000
 ALGORITHMS = ("astar", "dijkstra")
 
@@ -64,8 +65,9 @@ def shortest_paths(
     ``edges`` is ``(src, dst, weight)`` with weights of at least 0. All sources advance together, one
     hop per round: the rows improved in the last round meet the edges, and the cheapest way to each
     (source, node) is kept, fewest segments first among equals. A source stops spreading beyond the
-    cost at which it has reached all its targets. Rounds are written to the shared folder, so
-    lineage stays short. Pairs without a way stay, with ``success`` false.
+    cost at which it has reached all its targets. A round writes only what it improved to the shared folder, so what is
+    written grows with the improvements and not with rounds times state. Pairs whose ends are not connected at all are
+    found first and not searched for. Pairs without a way stay, with ``success`` false.
     """
     spark = edges.sparkSession
     pairs = pin(pairs.select("src", "dst").dropna().distinct())
@@ -79,33 +81,35 @@ def shortest_paths(
     lowest = edges.agg(F.min("weight")).first()[0]
     if lowest is not None and lowest < 0:
         raise ValueError("edge weights must not be negative")
-    # a target no edge leads to is out of reach, so it need not be searched for
-    entered = lookup_join(pairs, edges.select("dst").distinct(), "dst", "left_semi")
+    # ends in different parts of the network are out of reach, and so is a target no edge leads to
+    part = components(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    of_src = part.select(F.col("node").alias("src"), F.col("component").alias("_from"))
+    of_dst = part.select(F.col("node").alias("dst"), F.col("component").alias("_to"))
+    near = lookup_join(lookup_join(pairs, of_src, "src"), of_dst, "dst").filter("_from = _to").select("src", "dst")
+    entered = lookup_join(near, edges.select("dst").distinct(), "dst", "left_semi")
     targets = entered.filter(F.col("src") != F.col("dst")).unionByName(pairs.filter(F.col("src") == F.col("dst")))
     targets = pin(targets.select(F.col("src").alias("source"), F.col("dst").alias("node")))
     wanted = targets.groupBy("source").agg(F.count("*").alias("_wanted"))
     steps = edges.select(F.col("src").alias("node"), F.col("dst").alias("_to"), "weight")
-    state = wanted.select(
-        "source", F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.lit(0).alias("hops"),
-        F.lit(0).alias("round"), F.col("source").alias("pred"),
+    start = wanted.select(
+        "source", F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.lit(0).alias("hops"), F.col("source").alias("pred")
     )
     root = scratch_path(spark, "paths")
-    path = f"{root}/0"
-    state.write.parquet(path)
+    start.write.parquet(f"{root}/round=0")
     number = 0
     while True:
-        state = spark.read.parquet(path)
+        # all improvements so far: a place may have several, the cheapest counts
+        state = spark.read.schema(start.schema).parquet(*[f"{root}/round={i}" for i in range(number + 1)])
         if max_rounds is not None and number >= max_rounds:
             break
-        frontier = state.filter(F.col("round") == number)
+        frontier = spark.read.schema(start.schema).parquet(f"{root}/round={number}")
         size = frontier.count()
         if size == 0:
             break
         if number:
             # once all targets of a source are reached, dearer rows cannot improve any of them
-            reached = state.join(targets, ["source", "node"], "left_semi").groupBy("source").agg(
-                F.count("*").alias("_reached"), F.max("cost").alias("_limit")
-            )
+            cheapest = state.join(targets, ["source", "node"], "left_semi").groupBy("source", "node").agg(F.min("cost").alias("cost"))
+            reached = cheapest.groupBy("source").agg(F.count("*").alias("_reached"), F.max("cost").alias("_limit"))
             done = reached.join(wanted, "source").filter(F.col("_reached") == F.col("_wanted"))
             frontier = lookup_join(frontier, done.select("source", "_limit"), "source", "left").filter(
                 F.col("_limit").isNull() | (F.col("cost") < F.col("_limit"))
@@ -115,20 +119,17 @@ def shortest_paths(
             met = salted_join(frontier, steps, "node", ["source"])
         else:
             met = frontier.join(steps, "node")
-        moved = met.select(
-            "source",
-            F.col("_to").alias("node"),
-            (F.col("cost") + F.col("weight")).alias("cost"),
-            (F.col("hops") + 1).alias("hops"),
-            F.lit(number + 1).alias("round"),
-            F.col("node").alias("pred"),
-        )
-        # an old row wins over an equal new one because its round is lower
-        way = F.min(F.struct("cost", "hops", "round", "pred")).alias("way")
-        best = state.unionByName(moved).groupBy("source", "node").agg(way)
+        way = F.min(F.struct((F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + 1).alias("hops"), F.col("node").alias("pred")))
+        moved = pin(met.groupBy("source", F.col("_to").alias("node")).agg(way.alias("way")).select("source", "node", "way.*"))
+        # what is as good already stays; a small frontier is broadcast, so the state is read but not shuffled
+        known = state.select("source", "node", F.col("cost").alias("_cost"), F.col("hops").alias("_hops"))
+        on = (moved["source"] == known["source"]) & (moved["node"] == known["node"])
+        better = (known["_cost"] < moved["cost"]) | ((known["_cost"] == moved["cost"]) & (known["_hops"] <= moved["hops"]))
+        same = known.join(moved, on, "inner").where(better).select(known["source"].alias("source"), known["node"].alias("node")).distinct()
         number += 1
-        path = f"{root}/{number}"
-        best.select("source", "node", "way.*").write.parquet(path)
+        moved.join(same, ["source", "node"], "left_anti").write.parquet(f"{root}/round={number}")
+    best = F.min(F.struct("cost", "hops", "pred")).alias("way")
+    state = pin(state.groupBy("source", "node").agg(best).select("source", "node", "way.*"))
     found = pairs.join(
         state.select(F.col("source").alias("src"), F.col("node").alias("dst"), "cost", "hops"),
         ["src", "dst"], "left",
@@ -140,27 +141,29 @@ def shortest_paths(
 
 
 def with_paths(routes: DataFrame, state: DataFrame) -> DataFrame:
-    """Add ``path`` by following predecessors back from the targets, one segment per join."""
+    """Add ``path`` by following predecessors back from the targets, one segment per join.
+
+    Only (source, target, node) moves along; each step's nodes are written as rows and gathered into paths at the end.
+    """
     routes = pin(routes)
     count, longest = routes.agg(F.count("*"), F.max("num_segments")).first()
-    back = state.select("source", "node", F.col("pred"))
-    path = F.array("dst")
-    walk = routes.filter("success").select(
-        "*", F.col("src").alias("source"), F.col("dst").alias("node"), path.alias("path")
-    )
+    back = state.select("source", "node", "pred")
+    walk = routes.filter("success").select("src", "dst", F.col("num_segments").alias("left"), F.col("dst").alias("node"))
+    steps = [walk]
     for step in range(longest or 0):
-        side = F.broadcast(walk) if count <= BROADCAST_PAIRS else walk
-        # a source is its own predecessor: routes that have reached it stop growing
-        moving = F.col("node") != F.col("src")
+        moving = walk.filter("left > 0").withColumnRenamed("src", "source")
+        side = F.broadcast(moving) if count <= BROADCAST_PAIRS else moving
         walk = back.join(side, ["source", "node"]).select(
-            *routes.columns, "source",
-            F.col("pred").alias("node"),
-            F.when(moving, F.concat(F.array("pred"), F.col("path"))).otherwise(F.col("path")).alias("path"),
+            F.col("source").alias("src"), "dst", (F.col("left") - 1).alias("left"), F.col("pred").alias("node")
         )
-        if step % 8 == 7:
-            walk = pin(walk)
-    failed = routes.filter("not success").withColumn("path", F.lit(None).cast(walk.schema["path"].dataType))
-    return walk.drop("source", "node").unionByName(failed)
+        walk = pin(walk)
+        steps.append(walk)
+    nodes = steps[0]
+    for more in steps[1:]:
+        nodes = nodes.unionByName(more)
+    place = F.struct("left", "node")
+    paths = nodes.groupBy("src", "dst").agg(F.transform(F.array_sort(F.collect_list(place)), lambda p: p["node"]).alias("path"))
+    return routes.join(paths, ["src", "dst"], "left")
 
 
 def route_geometry(

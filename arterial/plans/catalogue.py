@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -1170,3 +1170,50 @@ def stm9_live_stops(spark, sf):
         for name, value in before.items():
             spark.conf.set(name, value)
     return rounded(spark.read.parquet(path))
+
+
+def _arriving(spark, sf, label: str, parts: list[Column]):
+    """A growing folder of events: after each part lands, a new stream over the whole folder, as after a restart."""
+    events = views.table(spark, sf, "events")
+    folder = scratch_path(spark, label)
+    for part in parts:
+        events.filter(part).write.mode("append").parquet(folder)
+        yield views.readings_of(spark.readStream.schema(events.schema).parquet(folder))
+
+
+@query
+def stm6_restart(spark, sf):
+    """SNK-3, SNK-5: a file sink that is stopped and started again with default arguments while files keep arriving."""
+    path = scratch_path(spark, "stm6")
+    for stream in _arriving(spark, sf, "stm6-in", [F.col("event_id") % 3 == part for part in range(3)]):
+        stream_sinks.write_sink(stream.select("event_id", "speed"), "parquet", {"path": path}, trigger=NOW).awaitTermination()
+    return spark.read.parquet(path)
+
+
+@query
+def stm6_updates(spark, sf):
+    """STM-6: updated windows go on from the last run's state and batch number."""
+    path = scratch_path(spark, "stm6u")
+    cut = F.to_date("ts") < F.lit("2024-01-15").cast("date")
+    for stream in _arriving(spark, sf, "stm6u-in", [cut, ~cut]):
+        stream_sinks.write_updates(stream_queries.process_stream(stream, "1 hour", None), path, trigger=NOW).awaitTermination()
+    return rounded(stream_sinks.read_updates(spark, path, ["window_start", "window_end", "location_id"]))
+
+
+@query
+def stm5_late(spark, sf):
+    """STM-5: rows that arrive behind the watermark change no window."""
+    path = scratch_path(spark, "stm5")
+    late = (F.col("event_id") % 50 == 0) & (F.to_date("ts") < F.lit("2024-01-10").cast("date"))
+    early = F.to_date("ts") < F.lit("2024-01-20").cast("date")
+    for stream in _arriving(spark, sf, "stm5-in", [early & ~late, ~early | late]):
+        stream_sinks.write_updates(stream_queries.process_stream(stream, "1 hour", None), path, trigger=NOW).awaitTermination()
+    return rounded(stream_sinks.read_updates(spark, path, ["window_start", "window_end", "location_id"]))
+
+
+@query
+def snk2_records(spark, sf):
+    """SNK-2: records as a Kafka sink gets them, read back from their JSON."""
+    rows = views.readings(spark, sf).select(F.col("sensor_id").alias("location_id"), "event_id", "speed", "timestamp")
+    records = stream_sinks.kafka_records(rows)
+    return records.select("key", F.from_json("value", rows.schema).alias("v")).select("key", "v.event_id", "v.speed", "v.timestamp")

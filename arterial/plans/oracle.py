@@ -701,3 +701,9 @@ select sensor_id as vehicle_id, make_timestamp(a) as stop_start, make_timestamp(
   round((b - a) / 1e6, 6) as stop_duration, (b - a) / 1e6 >= 60 as is_significant_stop
 from ended where b < final or (b + 864000e6 <= ms * 1000
   and not exists (select 1 from readings r, mark where r.sensor_id = ended.sensor_id and epoch_us(r.timestamp) // 1000 > mark.ms))"""
+SQL["stm6_restart"] = with_views("readings") + "select event_id, speed from readings"
+SQL["stm6_updates"] = SQL["agg1_tumbling"]
+SQL["stm5_late"] = SQL["agg1_tumbling"].replace(
+    "from readings", "from readings where not (event_id % 50 = 0 and timestamp < timestamp '2024-01-10')"
+)
+SQL["snk2_records"] = with_views("readings") + "select sensor_id as key, event_id, speed, timestamp from readings"

@@ -20,8 +20,9 @@ TABLE_NAME = "traffic_stream"
 
 
 def kafka_records(df: DataFrame, key: str = "location_id") -> DataFrame:
-    """SNK-2/JSON-1: ``key`` and the row as JSON ``value``."""
-    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    """SNK-2/JSON-1: ``key`` and the row as JSON ``value``, times with all their digits."""
+    value = F.to_json(F.struct("*"), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
 def stable_checkpoint(spark: SparkSession, kind: str, target: str) -> str:
