@@ -24,11 +24,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arterial.llm import text as tx
-from arterial.llm.graph import components
+from arterial.operators.components import components
 from arterial.session import pin
 
 # sizes of the broadcast tables behind the order of shingles; what is in them affects speed only, not results
@@ -38,7 +38,7 @@ LOCAL_MIN = 4  # texts of one slice that must hold a shingle for it to be counte
 LEADER_ROUNDS = 2
 BROADCAST_ROWS = 500_000
 
-SKETCH_BITS = 1024
+SKETCH_BITS = (1024, 1 << 17)  # fewest and most parity bits of a set; in between, as many as it has elements or more
 _BASE_FIELDS = "n_shingles bigint, digest binary, sketch array<bigint>, group bigint, prefix array<bigint>"
 
 
@@ -102,9 +102,11 @@ def _described(batch: pa.RecordBatch, column: str, words: int, percent: int, ord
     stop = np.cumsum(size)
     digests = [hashlib.blake2b(code[b - n : b].tobytes(), digest_size=16).digest() for b, n in zip(stop, size)]
     # one parity bit per hash bucket: sets that differ in d elements differ in at most d bits
-    bit = code >> np.uint64(54)
-    sketch = np.zeros(batch.num_rows * (SKETCH_BITS // 64), np.uint64)
-    np.bitwise_xor.at(sketch, row * (SKETCH_BITS // 64) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    bits = np.clip(2 ** np.ceil(np.log2(np.maximum(size, 1))), *SKETCH_BITS).astype(np.int64)
+    begin = np.cumsum(bits // 64) - bits // 64
+    bit = code.view(np.int64) & (bits[row] - 1)
+    sketch = np.zeros(int((bits // 64).sum()), np.uint64)
+    np.bitwise_xor.at(sketch, begin[row] + (bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
     code = code[np.lexsort((rank, row))]  # stable: equal ranks stay in order of their hashes
     need = size - -(-size * percent // 100) + 1
     need[size == 0] = 0
@@ -119,7 +121,7 @@ def _described(batch: pa.RecordBatch, column: str, words: int, percent: int, ord
         "n_shingles": pa.array(size, pa.int64()),
         "digest": pa.array(digests, pa.binary()),
         "sketch": pa.ListArray.from_arrays(
-            pa.array(np.arange(batch.num_rows + 1) * (SKETCH_BITS // 64), pa.int32()), pa.array(tx.signed(sketch))
+            pa.array(np.concatenate([[0], np.cumsum(bits // 64)]), pa.int32()), pa.array(tx.signed(sketch))
         ),
         "group": pa.array(groups, pa.int64()),
         "prefix": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(tx.signed(kept))),
@@ -165,6 +167,13 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _folded(sketch: str, words: Column) -> Column:
+    """A sketch as one of half as many buckets, if the other one is shorter (close sizes are at most one step apart)."""
+    half = F.floor(F.size(sketch) / 2).cast("int")
+    both = F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(sketch) > words, both).otherwise(F.col(sketch))
+
+
 def _close(a: str, b: str, percent: int):
     """Sizes whose sets can be similar enough."""
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
@@ -190,7 +199,8 @@ class _State:
         """Keep the pairs (a, b) whose sets are similar enough as links; whether there were any."""
         a = self.sketches.select(F.col("digest").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
         b = self.sketches.select(F.col("digest").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-        bits = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        a_words, b_words = F.size("sketch_a"), F.size("sketch_b")
+        bits = F.aggregate(F.zip_with(_folded("sketch_a", b_words), _folded("sketch_b", a_words), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
         # |union| - |intersection| >= bits, and similar sets have (100 + percent) * that <= (100 - percent) * (n_a + n_b)
         likely = bits * (100 + self.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.percent)
         pairs = pin(pairs.join(b, "b").join(a, "a").where(likely).select("a", "b"))

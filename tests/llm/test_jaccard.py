@@ -3,7 +3,8 @@ import re
 
 import pytest
 
-from arterial.llm import graph, jaccard
+from arterial.llm import jaccard
+from arterial.operators import components as graph
 
 
 def shingles(text, n):
@@ -84,3 +85,20 @@ def test_components(spark):
             lowest[a] = lowest[b] = min(lowest[a], lowest[b])
     alone = {a for a, b in loose if a == b} - {x for a, b in loose if a != b for x in (a, b)}
     assert got == {k: v for k, v in lowest.items() if k not in alone}
+
+
+def test_sketches_never_hide_a_link(spark):
+    """Long texts of sizes around the steps of the sketch, near and far from the threshold."""
+    rnd = random.Random(12)
+    docs = []
+    for i, n in enumerate((1020, 1030, 2040, 2060, 4090, 4110, 9000)):
+        base = [f"x{i}y{k}" for k in range(n)]
+        for changes in (0, n // 200, n // 70, n // 55, n // 30):
+            copy = list(base)
+            for k in rnd.sample(range(n), changes):
+                copy[k] = f"z{rnd.random()}"
+            docs.append(" ".join(copy + [f"w{k}" for k in range(rnd.choice([0, n // 40]))]))
+    docs = list(enumerate(docs))
+    got = jaccard.link_documents(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4), words=3, percent=90)
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect())
+    assert found == brute(docs, 3, 90) and len({c for _, _, c in found}) < len(docs)
