@@ -18,10 +18,20 @@ MIN_LANGUAGE_SHARE = 0.4  # of a text's words, by the most likely language
 ORACLE_SQL = None
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns in one struct, so that their names can be anything."""
+    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_other"), "text")
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col("text") if c == "text" else F.col("_other")[c].alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, or without a language that holds ``MIN_LANGUAGE_SHARE`` of the words, go."""
-    found = langid.identify(docs, langid.fit_languages(docs))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)).select(docs.columns)
+    found = langid.identify(_packed(docs), langid.fit_languages(docs))
+    accepted = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE))
+    return _unpacked(accepted, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +48,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which benchmark windows hold at least one word in twenty go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.remove_contamination(decontaminate.mark_contamination(docs, benchmark)).select(docs.columns)
+    return _unpacked(decontaminate.remove_contamination(decontaminate.mark_contamination(_packed(docs), benchmark)), docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by ``<EMAIL>``, ``<IP>``, ``<CARD>`` and ``<PHONE>``; n_chars follows the text."""
-    keep = [c for c in docs.columns if c != "text"]
-    masked = pii.find_pii(docs, pii.fit_pii(docs), keep=keep, masked_col="masked").withColumnRenamed("masked", "text")
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    masked = pii.find_pii(_packed(docs), pii.fit_pii(docs), keep=["_other"], masked_col="text")
+    return _unpacked(masked, docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
