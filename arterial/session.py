@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,9 +59,37 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+# Paths this process has handed out and not yet released.
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; :func:`release` deletes what was written there."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Delete all pinned tables and scratch folders of this process but the first ``keep``.
+
+    Call it when the results that read them have been written or collected.
+    """
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_made) > keep:
+        path = files.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Release at the end what operators pin inside the block."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        release(spark, before)
 
 
 def pin(df: DataFrame) -> DataFrame:

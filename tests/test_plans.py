@@ -91,3 +91,27 @@ def test_paths_are_read_back_without_shuffling_the_search_state(spark):
     pairs = nodes.selectExpr("id as src", "id + 50 as dst").limit(3)
     found = network.shortest_paths(views.road_edges(spark, SF_DIR), pairs)
     assert "SortMergeJoin" not in plan_of(found)
+
+
+def test_what_a_run_pins_can_be_released(spark, readings):
+    from pathlib import Path
+
+    from arterial.session import pin, scratch
+
+    root = Path(checkpoint_root(spark))
+    before = set(root.iterdir())
+    with scratch(spark):
+        assert pin(readings).count() == readings.count()
+        ordering.OrderedRows(readings, None, ["timestamp", "event_id"], rows_per_task=300)
+        assert set(root.iterdir()) > before
+    assert set(root.iterdir()) == before
+
+
+def test_quantiles_take_few_jobs(spark, readings):
+    from arterial.operators.quantiles import exact_quantiles
+
+    spark.sparkContext.setJobGroup("quantiles", "quantiles")
+    exact_quantiles(readings, ["speed", "occupancy", "vehicle_count", "latitude"], (0.25, 0.5, 0.75), max_values=100)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 16  # a scan is one or two jobs under adaptive execution
