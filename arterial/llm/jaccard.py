@@ -162,7 +162,7 @@ def shingle_order(docs: DataFrame, text_col: str, words: int) -> Order:
     return Order(codes(common), common["n"].to_numpy(np.int64), codes(shingles)[::-1])
 
 
-def _small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame) -> DataFrame:
     """Broadcast a pinned table whose counted rows prove it small."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
@@ -204,7 +204,7 @@ class _State:
         # |union| - |intersection| >= bits, and similar sets have (100 + percent) * that <= (100 - percent) * (n_a + n_b)
         likely = bits * (100 + self.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - self.percent)
         pairs = pin(pairs.join(b, "b").join(a, "a").where(likely).select("a", "b"))
-        wanted = _small(pin(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()))
+        wanted = small(pin(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()))
         sets = self.sets.join(wanted, "digest", "left_semi")
         left = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("set_a"))
         right = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("set_b"))

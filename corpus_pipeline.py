@@ -37,12 +37,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by Jaccard similarity of 0.8 or more on five-word shingles, the smallest id stays.
 
-    Of repeated rows with that id one stays; rows without id stay.
+    Of repeated rows with that id one stays; rows without id stay. Texts are not shuffled as long as the ids that go are
+    few enough to be broadcast (``jaccard.small`` counts them).
     """
-    linked = jaccard.link_documents(docs, words=5, percent=80)
-    keep = linked.where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    linked = pin(jaccard.link_documents(docs, words=5, percent=80).select("doc_id", "component_id"))
+    gone = linked.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = linked.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    repeated = pin(repeated.join(gone, "doc_id", "left_anti"))
+    kept = docs.join(jaccard.small(pin(gone.unionByName(repeated))), "doc_id", "left_anti")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(docs.join(jaccard.small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return kept.select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
