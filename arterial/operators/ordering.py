@@ -22,6 +22,8 @@ from arterial.session import pin
 
 # Rows of one key that a single task may sort; larger keys are split.
 ROWS_PER_TASK = 4_000_000
+# Rows of a whole table, without keys, that a single task may sort; a key's rows share their tasks with other keys'.
+WHOLE_TABLE_ROWS = 100_000
 
 _CHUNK, _HALO = "_chunk", "_halo"
 
@@ -69,8 +71,9 @@ class OrderedRows:
             return
         if not self.by:
             total = df.count()
-            if total > rows_per_task:
-                self.plain, self.chunked = None, self._chunk(df, total, rows_per_task)
+            limit = min(rows_per_task, WHOLE_TABLE_ROWS)
+            if total > limit:
+                self.plain, self.chunked = None, self._chunk(df, total, limit)
             return
         hot = hot_keys(df, self.by, rows_per_task)
         if hot is None:
@@ -157,13 +160,13 @@ class OrderedRows:
     def _with_chunk_values(self, per_chunk: list[Column], across: dict[str, Column]) -> DataFrame:
         """Join values derived from the (key, chunk) summary back to the rows.
 
-        The summary has one row per (key, chunk): a few per ``rows_per_task`` rows, so it is
-        broadcast.
+        The summary has one row per (key, chunk), a few per ``rows_per_task`` rows. Spark broadcasts it if its size at run
+        time allows; else both sides meet by (key, chunk), as the window afterwards needs them.
         """
         summary = self.chunked.groupBy(*self.by, _CHUNK).agg(*per_chunk)
         summary = summary.select(*self.by, _CHUNK, *[c.alias(n) for n, c in across.items()])
         on = [*self.by, _CHUNK]
-        side = F.broadcast(keyed(summary, on))
+        side = keyed(summary, on)
         joined = self.chunked.join(side, same_key(self.chunked, side, on), "inner")
         return joined.drop(*["_k_" + c for c in on])
 
