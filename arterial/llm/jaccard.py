@@ -57,7 +57,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int, order: Order
         if len(short):
             code = np.zeros(len(short), np.uint64)
             for k in range(n):
-                code = code * np.uint64(tx._BASE) + hashes[first[short] + k]
+                code = code * np.uint64(tx.BASE) + hashes[first[short] + k]
             rows.append(short)
             codes.append(tx.mix(code + np.uint64(n)))
             weights.append(np.zeros(len(short), np.int32))

@@ -26,7 +26,7 @@ SAMPLE_CHARS = 20_000  # longer texts are not used for fitting
 FIELDS = "lang_pred string, score double"
 
 _ROWS = 1 << 16
-_LETTERS = tx._byte_set(lambda b: b >= 0x80 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
+_LETTERS = tx.byte_set(lambda b: b >= 0x80 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
 _GROUP = 1 << 20
 
 

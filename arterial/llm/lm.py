@@ -114,7 +114,7 @@ class Block:
         before = np.empty_like(code)
         before[1:] = code[:-1]
         before[self.first] = START
-        self.pairs, self.pair = np.unique(tx.mix(before * np.uint64(tx._BASE) + code), return_inverse=True)
+        self.pairs, self.pair = np.unique(tx.mix(before * np.uint64(tx.BASE) + code), return_inverse=True)
 
     def counts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(kind, codes, occurrences in training texts)."""

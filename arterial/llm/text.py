@@ -19,19 +19,19 @@ SLICE_BYTES = 2 << 20
 BLOCK = 1 << 20
 
 _MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15
+BASE_INVERSE = pow(BASE, -1, 1 << 64)
 _byte_codes = np.random.default_rng(20).integers(1, _MASK, 256, dtype=np.uint64)
 _byte_codes[65:91] = _byte_codes[97:123]  # A-Z count as a-z
 _powers: dict[str, np.ndarray] = {}
 
 
-def _byte_set(test: Callable[[int], bool]) -> np.ndarray:
+def byte_set(test: Callable[[int], bool]) -> np.ndarray:
     return np.array([test(b) for b in range(256)])
 
 
-SPACED = _byte_set(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D)
-ALPHANUMERIC = _byte_set(lambda b: b >= 0x80 or 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
+SPACED = byte_set(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D)
+ALPHANUMERIC = byte_set(lambda b: b >= 0x80 or 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
 
 
 def crc_remainder(column, modulus: int):
@@ -151,18 +151,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """
     at_start, at_end = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
     back = np.zeros(len(starts), np.uint64)
-    up, down = powers(_BASE, BLOCK), powers(_BASE_INVERSE, BLOCK)
+    up, down = powers(BASE, BLOCK), powers(BASE_INVERSE, BLOCK)
     carry = np.uint64(0)
     for a in range(0, len(data), BLOCK):
         b = min(a + BLOCK, len(data))
         sums = np.empty(b - a + 1, np.uint64)
         sums[0] = 0
         np.cumsum(_byte_codes[data[a:b]] * up[: b - a], out=sums[1:])
-        sums *= np.uint64(pow(_BASE, a, 1 << 64))
+        sums *= np.uint64(pow(BASE, a, 1 << 64))
         sums += carry
         i, j = np.searchsorted(starts, [a, b])
         at_start[i:j] = sums[starts[i:j] - a]
-        back[i:j] = down[starts[i:j] - a] * np.uint64(pow(_BASE_INVERSE, a, 1 << 64))
+        back[i:j] = down[starts[i:j] - a] * np.uint64(pow(BASE_INVERSE, a, 1 << 64))
         i, j = np.searchsorted(ends, [a, b], side="right")
         at_end[i:j] = sums[ends[i:j] - a]
         carry = sums[-1]
@@ -175,7 +175,7 @@ def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out = np.zeros(len(words) - length + 1, np.uint64)
     for k in range(length):
-        out *= np.uint64(_BASE)
+        out *= np.uint64(BASE)
         out += words[k : k + len(out)]
     return mix(out + np.uint64(length))
 
