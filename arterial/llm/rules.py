@@ -86,7 +86,7 @@ def ledger(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text
         long(F.size(F.filter("_words", lambda w: F.length(w) > 40))).alias("n_long_words"),
         # windows with their place, in order of their text
         F.when(F.size("_words") < 3, F.array().cast("array<struct<w:string,i:int>>")).otherwise(
-            F.array_sort(F.transform(
+            F.sort_array(F.transform(
                 F.slice("_words", 1, F.greatest(F.size("_words") - 2, F.lit(0))),
                 lambda w, i: F.struct(F.concat_ws(" ", w, F.get("_words", i + 1), F.get("_words", i + 2)).alias("w"), i.alias("i")),
             ))
@@ -95,7 +95,7 @@ def ledger(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text
     same = lambda a, b: F.coalesce(a["w"] == b["w"], F.lit(False))
     step = step.withColumn(
         "_places",
-        F.array_sort(F.transform(
+        F.sort_array(F.transform(
             F.filter("_windows", lambda x, i: same(x, F.get("_windows", i - 1)) | same(x, F.get("_windows", i + 1))), lambda x: x["i"]
         )),
     )
