@@ -35,7 +35,7 @@ from arterial.session import pin
 FREQUENT_SHINGLES = 100_000
 FREQUENT_WORDS = 200_000
 LOCAL_MIN = 4  # texts of one slice that must hold a shingle for it to be counted there
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 3
 BROADCAST_ROWS = 500_000
 
 SKETCH_BITS = (1024, 1 << 17)  # fewest and most parity bits of a set; in between, as many as it has elements or more
@@ -224,13 +224,16 @@ class _State:
         ).select("group", "n", "low", "high", "lead.digest")
 
     def leader_round(self, salt: int) -> bool:
-        """Compare the classes of every list that spans components with one leader; False if no list does."""
+        """Compare the classes of every list that spans components with one leader; False if no list does.
+
+        Lists choose their leaders independently, so near copies, which share many lists, meet many leaders in a round.
+        """
         placed = pin(self.placed())
         groups = pin(self.groups(placed, salt))
         listed = self.lists.join(groups, ["group", "n"])
         leaders = listed.groupBy("token").agg(
             F.min("low").alias("low"), F.max("high").alias("high"),
-            F.min(F.struct(F.xxhash64(F.lit(salt), "group").alias("h"), "digest", "n")).alias("lead"),
+            F.min(F.struct(F.xxhash64(F.lit(salt), "token", "group").alias("h"), "digest", "n")).alias("lead"),
         ).where("low <> high").select("token", F.col("lead.digest").alias("a"), F.col("lead.n").alias("n_a"))
         met = self.lists.join(leaders, "token").where(_close("n", "n_a", self.percent)).select("group", "n", "a")
         inner = groups.where("low <> high").select("group", "n", F.col("digest").alias("a"))
