@@ -224,8 +224,9 @@ class _State:
         ).select("group", "n", "low", "high", "lead.digest")
 
     def leader_round(self, salt: int) -> bool:
-        """Compare the classes of every list that spans components with one leader; False if no list does.
+        """Compare the classes of every list that spans components with one leader; False if no list and no group does.
 
+        That there is nothing to compare does not end the search: the leaders may only be of other sizes than what is left.
         Lists choose their leaders independently, so near copies, which share many lists, meet many leaders in a round.
         """
         placed = pin(self.placed())
@@ -235,13 +236,18 @@ class _State:
             F.min("low").alias("low"), F.max("high").alias("high"),
             F.min(F.struct(F.xxhash64(F.lit(salt), "token", "group").alias("h"), "digest", "n")).alias("lead"),
         ).where("low <> high").select("token", F.col("lead.digest").alias("a"), F.col("lead.n").alias("n_a"))
+        leaders = pin(leaders)
         met = self.lists.join(leaders, "token").where(_close("n", "n_a", self.percent)).select("group", "n", "a")
         inner = groups.where("low <> high").select("group", "n", F.col("digest").alias("a"))
+        if leaders.isEmpty() and inner.isEmpty():
+            return False
         met = met.unionByName(inner).distinct()
         of_a = placed.select(F.col("digest").alias("a"), F.col("comp").alias("comp_a"))
         pairs = met.join(placed, ["group", "n"]).join(of_a, "a").where("comp <> comp_a").select("a", F.col("digest").alias("b"))
         pairs = pin(pairs.distinct())
-        return not pairs.isEmpty() and (self.verify(pairs) or True)
+        if not pairs.isEmpty():
+            self.verify(pairs)
+        return True
 
     def last_round(self) -> None:
         """Expand and verify every pair of groups (or of classes in a group) that spans components."""
@@ -307,8 +313,7 @@ def link_documents(
         for salt in range(LEADER_ROUNDS):
             if not state.leader_round(salt):
                 break
-        else:
-            state.last_round()
+        state.last_round()
         component, links = state.component, state.links
     if component is None:
         labelled = classes.select("digest", F.col("lowest").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"), "copies")

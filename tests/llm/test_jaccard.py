@@ -102,3 +102,17 @@ def test_sketches_never_hide_a_link(spark):
     got = jaccard.link_documents(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4), words=3, percent=90)
     found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect())
     assert found == brute(docs, 3, 90) and len({c for _, _, c in found}) < len(docs)
+
+
+def test_sizes_apart_in_one_list(spark, monkeypatch):
+    """The leaders of the passage's lists are of the many short texts; only the last round pairs the two long ones."""
+    monkeypatch.setattr(jaccard, "LOCAL_MIN", 10**9)  # the order then follows the counts of words alone
+    rnd = random.Random(5)
+    common = [f"c{i}" for i in range(20)]
+    passage = "q1 q2 q3 q4 q5 "
+    short = passage + " ".join(rnd.choice(common) for _ in range(95))
+    long = passage + " ".join(rnd.choice(common) for _ in range(197))
+    docs = [(i, f"{short} last{i}") for i in range(100)] + [(100, long), (101, f"{long} " + " ".join(f"u{i}" for i in range(19)))]
+    got = jaccard.link_documents(spark.createDataFrame(docs, "doc_id bigint, text string"), words=3, percent=90)
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect())
+    assert found == brute(docs, 3, 90) and {c for _, _, c in found} == {0, 100}
