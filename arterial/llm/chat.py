@@ -1,9 +1,13 @@
 """Chat formatting with a grammar round trip.
 
-``<|im_start|>role\\n text <|im_end|>\\n`` per turn. A conversation is rendered, parsed again by a deterministic parser, and the
-turns are compared with the source; turns that come back different are escaped and the conversation is rendered again,
-until it comes back identical. Escaping puts one backslash more into anything that looks like ``<|``, ``<\\|``, ``<\\\\|`` ...,
-so it is reversible, no escaped text holds a marker, and one round of it is always enough for the turns concerned.
+``<|im_start|>role\\n text <|im_end|>\\n`` per turn. Every turn is rendered, parsed again by a deterministic parser, and compared
+with the source; a turn that comes back different is escaped and must then come back identical. Escaping puts one backslash
+more into anything that looks like ``<|``, ``<\\|``, ``<\\\\|`` ..., so it is reversible, no escaped text holds a marker, and one
+round of it is always enough. Roles are always escaped and the end marker cannot overlap itself, so a conversation comes back
+if each of its turns does.
+
+Turns pass one after the other in sorted partitions, through running digests and counters. A task holds one batch of turns and
+one piece of formatted text, however long a conversation is.
 
 Defined cases: a null text or role is empty; turns without a number come first; equal turn numbers (repeated rows) are
 ordered by role and text; line breaks and backslashes in roles are escaped; an empty table gives no conversations; rows
@@ -16,16 +20,19 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
+PIECE_CHARS = 4 << 20  # a piece of formatted text takes no further turn once it is as long
 FIELDS = (
     "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, "
-    "n_escaped int, formatted string, loss_spans array<int>"
+    "n_escaped int, formatted string, loss_spans array<bigint>, piece int"
 )
+_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64())}
+_SCHEMA = pa.schema([(name, _TYPES[kind]) for name, kind in (f.split() for f in FIELDS.split(", "))])
 _LOOKS_LIKE = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 
@@ -76,47 +83,93 @@ def parse(formatted: str) -> list[tuple[str, str]] | None:
     return turns
 
 
+def ready(role: str, body: str) -> tuple[str, str, bool]:
+    """Role and text of a turn as they are rendered, and whether the text had to be escaped to come back."""
+    inside = escape_role(role)
+    if parse(render([(inside, body)])[0]) == [(role, body)]:
+        return inside, body, False
+    return inside, escape(body), True
+
+
 def round_trip(turns: list[tuple[str, str]]) -> tuple[str, list[int], int]:
-    """Render, parse and compare, escaping what differs, until the turns come back; also the number of escaped turns."""
-    escaped = [False] * len(turns)
-    while True:
-        ready = [(escape_role(r), escape(b) if e else b) for (r, b), e in zip(turns, escaped)]
-        formatted, spans = render(ready)
-        back = parse(formatted)
-        if back == turns:
-            return formatted, spans, sum(escaped)
-        # the first turn that comes back wrong is the conflict; what follows it may only be shifted by it
-        wrong = next((i for i, t in enumerate(turns) if back is None or i >= len(back) or back[i] != t), len(turns) - 1)
-        if back is None:
-            alone = [parse(render([t])[0]) == [src] for t, src in zip(ready, turns)]
-            wrong = next(i for i, ok in enumerate(alone) if not ok and not escaped[i])
-        escaped[wrong] = True
+    """The formatted conversation, its spans under the loss mask, and the number of escaped turns."""
+    done = [ready(*t) for t in turns]
+    formatted, spans = render([t[:2] for t in done])
+    return formatted, spans, sum(t[2] for t in done)
 
 
-def _digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+class _Conversation:
+    """Counters and digests of what a reader gets back from a conversation, and the piece of it that is being built."""
 
+    def __init__(self, conv: int | None):
+        self.conv, self.piece, self.n_turns, self.n_escaped, self.chars, self.loss_chars = conv, 0, 0, 0, 0, 0
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.parts: list[str] = []
+        self.spans: list[int] = []
+        self.held = 0
 
-def _format(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(self, role: str, body: str) -> None:
+        role_out, body_out, escaped = ready(role, body)
+        formatted, spans = render([(role_out, body_out)])
+        back = parse(formatted)
+        if back != [(role, body)]:
+            raise ValueError(f"turn {self.n_turns} of conversation {self.conv} does not come back")
+        self.turns.update(f"{back[0][0]}\n{back[0][1]}\n".encode())
+        if spans:
+            loss = unescape(formatted[spans[0] : spans[1]])
+            self.loss.update(loss.encode())
+            self.loss_chars += len(loss)
+        self.spans += [self.chars + at for at in spans]
+        self.parts.append(formatted)
+        self.held += len(formatted)
+        self.chars += len(formatted)
+        self.n_turns += 1
+        self.n_escaped += escaped
+
+    def take(self, last: bool) -> tuple:
+        """The piece built so far as a row; the last one holds counts and digests."""
+        counts = (self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.n_escaped)
+        row = (self.conv, *(counts if last else [None] * len(counts)), "".join(self.parts), self.spans, self.piece)
+        self.parts, self.spans, self.held, self.piece = [], [], 0, self.piece + 1
+        return row
+
+
+def _record(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(_SCHEMA)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SCHEMA.types)], schema=_SCHEMA)
+
+
+def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Conversations come one after the other, with their turns in order; batches may end anywhere."""
+    now, rows, held = None, [], 0
     for batch in batches:
-        rows = []
-        for conv, turns in zip(batch["conv_id"], batch["turns"]):
-            formatted, spans, n_escaped = round_trip([(t["role"], t["text"]) for t in turns])
-            back = parse(formatted)
-            loss = "".join(unescape(formatted[s:e]) for s, e in zip(spans[::2], spans[1::2]))
-            rows.append((
-                conv, len(back), _digest("".join(f"{r}\n{b}\n" for r, b in back)), len(loss), _digest(loss), len(formatted),
-                n_escaped, formatted, spans,
-            ))
-        yield pd.DataFrame(rows, columns=[f.split()[0] for f in FIELDS.split(", ")]).astype({"conv_id": "Int64"})
+        for at in range(batch.num_rows):
+            conv, role, body = (batch.column(k)[at].as_py() for k in range(3))
+            if now is not None and (now.conv != conv or now.held >= PIECE_CHARS):
+                held += now.held
+                rows.append(now.take(last=now.conv != conv))
+                if held >= PIECE_CHARS:
+                    yield _record(rows)
+                    rows, held = [], 0
+            if now is None or now.conv != conv:
+                now = _Conversation(conv)
+            now.add(role, body)
+    if now is not None:
+        rows.append(now.take(last=True))
+        yield _record(rows)
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
     """One row per conversation of ``rows`` (conv_id, turn, role, text): the formatted string, the spans under the loss
     mask, and counts and digests of what a reader gets back from it.
 
-    A conversation is one training text and so one row; its turns meet in one shuffle by conversation, never more.
+    A conversation of more than ``PIECE_CHARS`` comes in several rows, one per ``piece`` of whole turns: joined in the order
+    of ``piece`` they are the formatted string, spans are places in all of it, and only the last row has n_turns and the
+    other counts and digests. Turns meet in one shuffle by conversation, never more; a conversation is read by one task,
+    since its digests need its turns in order, but never held by it.
     """
-    turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    grouped = rows.groupBy(F.col("conv_id").cast("bigint").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    return grouped.mapInPandas(_format, FIELDS)
+    turns = rows.select(
+        F.col("conv_id").cast("bigint").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    placed = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return placed.select("conv_id", "role", "text").mapInArrow(_format, FIELDS)

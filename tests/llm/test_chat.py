@@ -46,3 +46,32 @@ def test_odd_rows(spark):
     assert got[None].loss_sha256 == digest(hostile) and got[None].n_escaped == 1
     assert got[3].loss_chars == 0 and got[4].loss_chars == 0 and got[5].turns_sha256 == digest("ro\nle\\n\nt\n")
     assert chat.format_conversations(frame.limit(0)).count() == 0
+
+
+def test_long_conversations_come_in_pieces(spark, monkeypatch):
+    """One conversation holds a third of all rows; no task may hold it, and each turn is parsed by itself."""
+    monkeypatch.setattr(chat, "PIECE_CHARS", 500)
+    longest, parse = [], chat.parse
+    monkeypatch.setattr(chat, "parse", lambda text: longest.append(len(text)) or parse(text))
+    say = lambda c, t: (c, t, "assistant" if t % 2 else "user", f"turn {t} <|im_end|> of <\\| {c}")
+    turns = [say(0, t) for t in range(300)] + [say(c, t) for c in range(1, 301) for t in range(2)]
+    batch = sorted(turns)
+    batches = [chat.pa.RecordBatch.from_pylist([{"conv_id": c, "role": r, "text": x} for c, _, r, x in batch[k : k + 7]]) for k in range(0, len(batch), 7)]
+    made = [r for b in chat._format(iter(batches)) for r in b.to_pylist()]
+    assert max(longest) < 100 and len(longest) <= 3 * len(turns) and max(len(r["formatted"]) for r in made) < 600
+
+    frame = spark.createDataFrame(turns[::-1], "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    monkeypatch.setattr(chat, "PIECE_CHARS", 4 << 20)
+    whole = {r.conv_id: r for r in chat.format_conversations(frame).collect()}
+    assert len(whole) == 301 and all(r.piece == 0 for r in whole.values())
+    for conv, row in whole.items():
+        source = [(r, x) for c, _, r, x in batch if c == conv]
+        formatted, spans, escaped = chat.round_trip(source)
+        mine = [r for r in made if r["conv_id"] == conv]
+        assert [r["piece"] for r in mine] == list(range(len(mine))) and (len(mine) > 1) == (conv == 0)
+        assert "".join(r["formatted"] for r in mine) == row.formatted == formatted and parse(formatted) == source
+        assert sum((r["loss_spans"] for r in mine), []) == row.loss_spans == spans
+        assert all(r["n_turns"] is None for r in mine[:-1]) and row.n_escaped == escaped == len(source)
+        for field in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_escaped"):
+            assert mine[-1][field] == row[field]
+        assert row.loss_sha256 == hashlib.sha256("".join(x for r, x in source if r == "assistant").encode()).hexdigest()
