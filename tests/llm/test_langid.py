@@ -55,3 +55,13 @@ def test_odd_rows(odd_docs, no_docs):
     assert by_id[8].lang_pred == "en" and by_id[10].lang_pred == "en"
     assert langid.identify(no_docs, langid.fit_languages(no_docs)).count() == 0
     assert {r.lang_pred for r in langid.identify(odd_docs, langid.fit_languages(no_docs)).collect()} == {"und"}
+
+
+def test_language_of_long_texts_only(spark):
+    """All texts of one language are longer than the sample takes of a text, and start with many numbers."""
+    plain = "the quiet house stands near an old river and they walk there often "
+    other = "zyk ovrum taqi jelno wexu pilgrath ubnor skedi vomqa drizul "
+    rows = [(i, plain * 50, "en") for i in range(40)] + [(100 + i, "1 2 3 " * 4000 + other * 600, "zz") for i in range(40)]
+    model = langid.fit_languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    fresh = spark.createDataFrame([(1, other), (2, plain)], "doc_id bigint, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.identify(fresh, model).collect()} == {1: "zz", 2: "en"}
