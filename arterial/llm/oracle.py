@@ -126,10 +126,32 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP11 = rf"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS t FROM documents
+), p AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY doc_id, t
+), n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY doc_id
+), c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n
+), w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, c GROUP BY t, docs
+), q AS (
+  SELECT item_id, t, count(*) AS r
+  FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) AS t FROM benchmark) GROUP BY item_id, t
+), s AS (
+  SELECT item_id, doc_id, CAST(sum(r * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN p USING (t) JOIN w USING (t) JOIN n USING (doc_id), c GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op1_decontamination": OP1,
     "op2_quality_rules": OP2,
     "op3_ngram_jaccard": OP3,
     "op7_url_filters": OP7,
     "op8_chat_formatting": OP8,
+    "op11_ranked_search": OP11,
 }

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arterial.llm import chat, decontaminate, jaccard, langid, lm, packing, pii, rules, toxicity, urls
+from arterial.llm import chat, decontaminate, jaccard, langid, lexical, lm, packing, pii, rules, toxicity, urls
 from arterial.llm.text import crc_remainder
-from arterial.session import configure
+from arterial.session import configure, pin
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,10 +76,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = pin(lexical.index_documents(_table(spark, sf_dir, "documents")))
+    return lexical.search(index, _table(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality_rules, op3_ngram_jaccard, op4_lm_scoring, op5_language_id, op6_pii, op7_url_filters,
-        op8_chat_formatting, op9_toxicity, op10_best_fit_packing,
+        op8_chat_formatting, op9_toxicity, op10_best_fit_packing, op11_ranked_search,
     )
 }
