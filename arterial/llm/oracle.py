@@ -147,6 +147,51 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM s WHERE score > 0 QUALIFY rank <= 10
 """
 
+
+def _lloyd(rounds: int) -> str:
+    """Assignments by the nearest of all centroids, ``rounds`` moves of the centroids, and one more assignment."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+  SELECT vec_id, cluster, d AS distance
+  FROM (SELECT vec_id, cluster, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN c{i} AS c USING (dim) GROUP BY vec_id, cluster)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1
+)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT cluster, dim, sum(x) AS s, count(*) AS n FROM v JOIN a{i} USING (vec_id) GROUP BY cluster, dim
+), c{i + 1} AS (
+  SELECT c.cluster, c.dim, CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS x
+  FROM c{i} AS c LEFT JOIN m{i} AS m ON m.cluster = c.cluster AND m.dim = c.dim
+)""")
+    return ", ".join(steps)
+
+
+OP12 = f"""
+WITH k AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (
+  SELECT vec_id, unnest(generate_series(1, 64)) AS dim, CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM k
+), s AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM k QUALIFY cluster < 16
+), c0 AS (SELECT cluster, dim, x FROM v JOIN s USING (vec_id)
+), {_lloyd(3)}, h AS (SELECT cluster, sha256(string_agg(CAST(x AS BIGINT), ',' ORDER BY dim)) AS centroid_sha256 FROM c3 GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a3 JOIN h USING (cluster)
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op1_decontamination": OP1,
     "op2_quality_rules": OP2,
@@ -154,4 +199,6 @@ SQL: dict[str, str] = {
     "op7_url_filters": OP7,
     "op8_chat_formatting": OP8,
     "op11_ranked_search": OP11,
+    "op12_centroid_clustering": OP12,
+    "op13_exact_topk": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arterial.llm import chat, decontaminate, jaccard, langid, lexical, lm, packing, pii, rules, toxicity, urls
+from arterial.llm import chat, decontaminate, jaccard, kmeans, langid, lexical, lm, packing, pii, rules, topk, toxicity, urls
 from arterial.llm.text import crc_remainder
 from arterial.session import configure, pin
 
@@ -81,10 +81,19 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(index, _table(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.cluster_vectors(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, size=64, scale=64).drop("centroid")
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_quality_rules, op3_ngram_jaccard, op4_lm_scoring, op5_language_id, op6_pii, op7_url_filters,
-        op8_chat_formatting, op9_toxicity, op10_best_fit_packing, op11_ranked_search,
+        op8_chat_formatting, op9_toxicity, op10_best_fit_packing, op11_ranked_search, op12_centroid_clustering,
+        op13_exact_topk,
     )
 }
