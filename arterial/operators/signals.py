@@ -15,9 +15,12 @@ _PHASE = "struct<green:int,yellow:int,red:int>"
 
 
 def explode_flows(df: DataFrame) -> DataFrame:
-    """Long form ``(intersection_id, approach, flow)`` of a ``traffic_flows`` map column."""
+    """Long form ``(intersection_id, approach, flow)`` of a ``traffic_flows`` map column.
+
+    An empty or missing map gives one row without approach and flow, so that its intersection keeps a timing.
+    """
     others = [c for c in df.columns if c != "traffic_flows"]
-    return df.select(*others, F.explode("traffic_flows").alias("approach", "flow"))
+    return df.select(*others, F.explode_outer("traffic_flows").alias("approach", "flow"))
 
 
 def signal_timing(
@@ -30,14 +33,18 @@ def signal_timing(
 
     Input is ``(intersection_id, approach, flow)`` and optionally ``has_timing`` (the intersection
     runs a timing already). Flows of an approach are added up first, so that what is gathered per
-    intersection is its handful of approaches. Intersections without flow get the default timing.
+    intersection is its handful of approaches. A missing flow counts as none; rows without an approach name none, so
+    their flow is left out. Intersections without approaches or without flow get the default timing.
     """
     timed = F.max(F.col("has_timing").cast("int")) if "has_timing" in flows.columns else F.max(F.lit(0))
-    summed = flows.groupBy("intersection_id", "approach").agg(F.sum("flow").alias("flow"), timed.alias("_timed"))
+    known = F.coalesce(F.col("flow").cast("double"), F.lit(0.0))
+    known = F.when(F.isnan(known), 0.0).otherwise(known)
+    summed = flows.groupBy("intersection_id", "approach").agg(F.sum(known).alias("flow"), timed.alias("_timed"))
+    named = F.col("approach").isNotNull()
     per = summed.groupBy("intersection_id").agg(
-        F.sum("flow").alias("total_flow"),
-        F.count("*").alias("_n"),
-        F.sort_array(F.collect_list(F.struct("approach", "flow"))).alias("_flows"),
+        F.sum(F.when(named, F.col("flow"))).alias("total_flow"),
+        F.count("approach").alias("_n"),
+        F.sort_array(F.collect_list(F.when(named, F.struct("approach", "flow")))).alias("_flows"),
         F.max("_timed").alias("_timed"),
     )
 

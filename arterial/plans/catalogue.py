@@ -1026,52 +1026,103 @@ def src10_gpx(spark, sf):
     return rounded(files.read_gpx(spark, path))
 
 
+def _in_two_orders(df: DataFrame, path: str, odd: Column) -> str:
+    """CSV files with the columns as they are, and for ``odd`` rows in the opposite order after a further column."""
+    df.filter(~odd).write.option("header", True).csv(f"{path}/even.csv")
+    turned = df.filter(odd).select(F.lit("a, b").alias("note"), *reversed(df.columns))
+    turned.write.option("header", True).csv(f"{path}/odd.csv")
+    return f"{path}/*.csv"
+
+
 @query
 def src11_trajectory(spark, sf):
+    """Two exports with other names and orders of their columns."""
     path = scratch_path(spark, "trajectory")
-    views.gps_points(spark, sf).select(
+    points = views.gps_points(spark, sf).select(
         "event_id", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"),
         F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("date_time"),
-    ).write.option("header", True).csv(path)
-    out = files.read_trajectory(spark, path)
+    )
+    odd = F.col("event_id") % 2 == 1
+    points.filter(~odd).write.option("header", True).csv(f"{path}/a.csv")
+    points.filter(odd).select(F.col("date_time").alias("time"), "lat", F.col("lon").alias("lng"), "event_id").write.option("header", True).csv(f"{path}/b.csv")
+    out = files.read_trajectory(spark, f"{path}/*.csv")
     return rounded(out.withColumn("event_id", F.col("event_id").cast("long")))
 
 
+CITY_RECORD = "event_id BIGINT, created_date STRING, speed STRING, occupancy STRING"
+
+
 @query
 def src12_city(spark, sf):
     path = scratch_path(spark, "city")
     views.city_sensor_raw(spark, sf).write.json(path)
-    schema = "event_id BIGINT, created_date STRING, speed STRING, occupancy STRING"
-    return clean.clean_city_sensors(files.read_city_sensors(spark, path, schema=schema)).drop("created_date")
+    return clean.clean_city_sensors(files.read_city_sensors(spark, path, schema=CITY_RECORD)).drop("created_date")
+
+
+@query
+def src12_city_csv(spark, sf):
+    path = _in_two_orders(views.city_sensor_raw(spark, sf), scratch_path(spark, "city"), F.col("event_id") % 2 == 1)
+    return clean.clean_city_sensors(files.read_city_sensors(spark, path, "csv", schema=CITY_RECORD)).drop("created_date")
+
+
+@query
+def top2_limit(spark, sf):
+    """TOP-2: as many landed records as are asked for, and all of them without a limit."""
+    path = scratch_path(spark, "city")
+    views.city_sensor_raw(spark, sf).write.json(path)
+    asked = [("some", 100), ("all", None)]
+    counts = [files.read_city_sensors(spark, path, limit=n, schema=CITY_RECORD).agg(F.count("*").alias("n")).select(F.lit(name).alias("asked"), "n") for name, n in asked]
+    return files.union_all(counts)
+
+
+def _incidents(spark, sf) -> DataFrame:
+    return views.readings(spark, sf).select("event_id", F.col("timestamp").cast("string").alias("created_date"))
 
 
 @query
 def src13_incidents(spark, sf):
     path = scratch_path(spark, "incidents")
-    views.readings(spark, sf).select("event_id", F.col("timestamp").cast("string").alias("created_date")).write.json(path)
+    _incidents(spark, sf).write.json(path)
     return files.read_incidents(spark, path, hours=36, now=datetime(2024, 1, 20), schema="event_id BIGINT, created_date STRING")
 
 
-def _segments(spark, sf) -> str:
+@query
+def src13_incidents_csv(spark, sf):
+    path = _in_two_orders(_incidents(spark, sf), scratch_path(spark, "incidents"), F.col("event_id") % 2 == 1)
+    return files.read_incidents(spark, path, "csv", hours=36, now=datetime(2024, 1, 20), schema="event_id BIGINT, created_date STRING")
+
+
+def _segments(spark, sf) -> DataFrame:
     nodes, edges = views.road_nodes(spark, sf), views.road_edges(spark, sf)
     for end, name in (("src", "from"), ("dst", "to")):
         place = nodes.select(
             F.col("id").alias(end), F.col("latitude").cast("string").alias(name + "_lat"), F.col("longitude").cast("string").alias(name + "_lon")
         )
         edges = edges.join(place, end)
-    path = scratch_path(spark, "roads")
-    edges.withColumnsRenamed({"src": "from_id", "dst": "to_id"}).write.json(path)
-    return path
+    return edges.withColumnsRenamed({"src": "from_id", "dst": "to_id"})
 
 
-@query
-def src14_roads(spark, sf):
-    schema = "from_id BIGINT, from_lat STRING, from_lon STRING, to_id BIGINT, to_lat STRING, to_lon STRING, weight DOUBLE"
-    nodes, edges = files.read_road_network(spark, _segments(spark, sf), schema=schema)
+def _degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     degree = edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"), F.sum("weight").alias("weight"))
     return rounded(nodes.join(degree, "id", "left"))
 
 
+SEGMENT = "from_id BIGINT, from_lat STRING, from_lon STRING, to_id BIGINT, to_lat STRING, to_lon STRING, weight DOUBLE"
+
+
+@query
+def src14_roads(spark, sf):
+    path = scratch_path(spark, "roads")
+    _segments(spark, sf).write.json(path)
+    return _degrees(*files.read_road_network(spark, path, schema=SEGMENT))
+
+
+@query
+def src14_roads_csv(spark, sf):
+    path = _in_two_orders(_segments(spark, sf), scratch_path(spark, "roads"), F.col("from_id") % 2 == 1)
+    return _degrees(*files.read_road_network(spark, path, "csv", schema=SEGMENT))
+
+
 @query
 def src15_range(spark, sf):
     """SNK-7, then the landed partitions of ten days."""

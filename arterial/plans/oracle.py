@@ -667,6 +667,8 @@ SQL["src14_roads"] = with_views("road_nodes", "road_edges", more="""ends as (
 d as (select src, count(*) as degree, sum(weight) as weight from road_edges group by 1)""") + """
 select id, round(latitude, 6) as latitude, round(longitude, 6) as longitude, degree, weight
 from ends join road_nodes using (id) left join d on src = id"""
+SQL["src12_city_csv"], SQL["src13_incidents_csv"], SQL["src14_roads_csv"] = SQL["src12_city"], SQL["src13_incidents"], SQL["src14_roads"]
+SQL["top2_limit"] = "select 'some' as asked, least(count(*), 100) as n from events union all select 'all', count(*) from events"
 SQL["src15_range"] = with_views("readings") + """
 select event_id, speed, cast(timestamp as date) as date from readings where cast(timestamp as date) between date '2024-01-10' and date '2024-01-19'"""
 SQL["src16_latest"] = SQL["cln1_travel"]

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import csv
-from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date, datetime
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ from arterial import schemas
 from arterial.operators.clean import (
     canonical_names, clean_trajectory, clean_travel_times, moment, parsed_timestamp, rename_aliases, to_numbers,
 )
+from arterial.session import pin
 
 # File name prefix, schema and id column of each device type.
 SENSOR_FILES = {
@@ -40,39 +42,102 @@ def recent(df: DataFrame, hours: float, ts: str = "created_date", now: datetime
     return df.filter(F.col(ts) >= moment(now) - F.expr(f"interval {int(hours * 3600)} seconds"))
 
 
+# Files whose heads may be broadcast: a path and a number each, some tens of MB.
+BROADCAST_FILES = 100_000
+
+
+HEAD_BYTES = 64 << 10  # read at once when looking for the end of a first line
+
+
+def _first_line(uri: str) -> str | None:
+    """The first line with text of a file; None if its store cannot be opened from here."""
+    try:
+        system, path = fs.FileSystem.from_uri(uri)
+        with system.open_input_stream(path) as stream:
+            read = b""
+            while chunk := stream.read(HEAD_BYTES):
+                read += chunk
+                whole = read[: read.rfind(b"\n") + 1] if len(chunk) == HEAD_BYTES else read
+                for line in whole.splitlines():
+                    if line.strip(b"\xef\xbb\xbf \t\r"):
+                        return line.decode("utf-8", "replace")
+            return next((x.decode("utf-8", "replace") for x in read.splitlines() if x.strip()), "")
+    except (pa.ArrowException, OSError):
+        return None
+
+
+def file_heads(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(file, head)``: the first line with text of every file that has one.
+
+    Spark lists the files, tasks open them and read no more than that line. Files in a store that only Spark's readers can
+    open are scanned for it instead. The names stay a table.
+    """
+    listing = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [_first_line(uri) for uri in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(heads, pa.string())], names=["file", "head"])
+
+    heads = pin(listing.mapInArrow(run, "file string, head string"))
+    unread = heads.where("head is null").select("file")
+    if not unread.isEmpty():
+        lines = spark.read.text(paths).select(
+            F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        # the first line of a file has the lowest row id of its first block
+        scanned = lines.where("block = 0 and trim(value) <> ''").join(unread, "file", "left_semi").groupBy("file").agg(F.min_by("value", "row").alias("head"))
+        heads = heads.where("head is not null").unionByName(pin(scanned))
+    return heads.where("head <> ''")
+
+
 def read_by_name(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     """CSV files with a header each, read by column name whatever the order.
 
     Columns of ``schema`` that a file lacks are null, as are values that do not fit their type; all other columns are
-    kept as text. Files are grouped by header, so files of one export are one scan. Only the distinct headers and the
-    names of files with other headers than the first reach the driver.
+    kept as text, as are partition columns of the folders. The rows are one scan. Where headers differ, a row learns its
+    file's header from the table of :func:`file_heads`; only the distinct headers reach the driver.
     """
-    # the first line of a file has the lowest row id of its first block
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("row"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    heads = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("head"))
-    by_head = defaultdict(list)
-    for row in heads.groupBy("head").agg(F.collect_list("file").alias("files")).toLocalIterator():
-        by_head[tuple(next(csv.reader([row["head"].lstrip("\ufeff")]), ()))].extend(row["files"])
-    frames = []
-    for head, names in sorted(by_head.items()):
-        fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(head))])
-        raw = spark.read.schema(fields).option("header", True).csv(paths if len(by_head) == 1 else names)
-        place = {name.strip(): f"_c{i}" for i, name in reversed(list(enumerate(head)))}
-        known = [_typed(place.get(f.name), f).alias(f.name) for f in schema]
-        others = [F.col(c).alias(name) for name, c in place.items() if name not in schema.names]
-        frames.append(raw.select(*known, *others))
-    return union_all(frames) if frames else spark.createDataFrame([], schema)
-
-
-def _typed(column: str | None, field: T.StructField) -> Column:
+    heads = file_heads(spark, paths)
+    lines = sorted(r["head"] for r in heads.select("head").distinct().collect())
+    if not lines:
+        return spark.createDataFrame([], schema)
+    parsed = [[name.strip() for name in next(csv.reader([line.lstrip("\ufeff")]))] for line in lines]
+    distinct = sorted({tuple(head) for head in parsed})
+    fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max(map(len, distinct)))])
+    raw = spark.read.schema(fields).option("header", True).csv(paths)
+    folders = [c for c in raw.columns if c not in fields.names]
+    if len(distinct) > 1:
+        # files of one header are many, headers are few
+        kinds = spark.createDataFrame([(line, distinct.index(tuple(head))) for line, head in zip(lines, parsed)], "head string, _head int")
+        of_file = heads.join(F.broadcast(kinds), "head").select(F.col("file").alias("_file"), "_head")
+        if heads.count() <= BROADCAST_FILES:
+            of_file = F.broadcast(of_file)
+        raw = raw.withColumn("_file", F.col("_metadata.file_path")).join(of_file, "_file")
+    names = dict.fromkeys(name for head in distinct for name in head if name)
+
+    def value(name: str) -> Column | None:
+        """The column of that name, by the header of the row's file; of several in one header the first."""
+        places = {k: F.col(f"_c{head.index(name)}") for k, head in enumerate(distinct) if name in head}
+        if len(distinct) == 1:
+            return places.get(0)
+        chosen = F.lit(None).cast("string")
+        for place in {str(p): p for p in places.values()}.values():
+            chosen = F.when(F.col("_head").isin([k for k, p in places.items() if str(p) == str(place)]), place).otherwise(chosen)
+        return chosen
+
+    known = [_typed(value(f.name) if f.name in names else None, f).alias(f.name) for f in schema]
+    others = [value(name).alias(name) for name in names if name not in schema.names and name not in folders]
+    return raw.select(*known, *others, *[c for c in folders if c not in schema.names])
+
+
+def _typed(column: Column | None, field: T.StructField) -> Column:
     if column is None:
         return F.lit(None).cast(field.dataType)
     if isinstance(field.dataType, T.TimestampType):
-        return F.try_to_timestamp(F.col(column))
-    return F.col(column).try_cast(field.dataType)
+        return F.try_to_timestamp(column)
+    return column.try_cast(field.dataType)
 
 
 def read_sensor_files(
@@ -162,15 +227,21 @@ def read_gpx(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_trajectory(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-11: trajectory CSV with any of the accepted column names."""
-    return clean_trajectory(spark.read.option("header", True).csv(path))
+    """SRC-11: trajectory CSV with any of the accepted column names, by name in every file."""
+    return clean_trajectory(read_by_name(spark, path, T.StructType()))
 
 
 def read_landed(spark: SparkSession, path: str, fmt: str = "json", schema: T.StructType | str | None = None) -> DataFrame:
-    """Records a fetcher left as json, csv or parquet; give a schema to save the inference pass."""
-    reader = spark.read.format(fmt)
+    """Records a fetcher left as json, csv or parquet; give a schema to save the inference pass.
+
+    Fields are found by name in every format. CSV files without a schema give text.
+    """
     if fmt == "csv":
-        reader = reader.option("header", True)
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema or T.StructType()
+        found = read_by_name(spark, path, wanted)
+        folders = [c for c in spark.read.schema("_c0 string").csv(path).columns if c != "_c0"] if schema is not None else []
+        return found.select(*wanted.names, *[c for c in folders if c not in wanted.names]) if schema is not None else found
+    reader = spark.read.format(fmt)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
