@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arterial.functions.geo import EARTH_RADIUS_KM, haversine
 from arterial.functions.traffic import travel_time_minutes
@@ -57,8 +60,90 @@ def with_edge_lengths(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return edges.withColumn("length_km", length).drop("_lat_src", "_lon_src", "_lat_dst", "_lon_dst")
 
 
+def landmark_table(edges: DataFrame, landmarks: Sequence, reach: int = 3) -> DataFrame:
+    """``(node, from_landmarks, to_landmarks)``: costs from and to each of ``landmarks`` (ids), null where there is no way.
+
+    For lower bounds in :func:`shortest_paths`; make it once per network and keep it. Landmarks at the rim serve best.
+    Shortcuts over up to 2 ** ``reach`` segments are laid first, so rounds cover that many segments each; lower it for
+    networks with many neighbours per node.
+    """
+    spark = edges.sparkSession
+    weight = F.col("weight").cast("double")
+    plain = edges.filter((F.col("src") != F.col("dst")) & weight.isNotNull() & ~F.isnan(weight))
+    short = pin(plain.groupBy("src", "dst").agg(F.min(weight).alias("weight")))
+    for _ in range(reach):
+        further = short.select(F.col("src").alias("dst"), F.col("dst").alias("_end"), F.col("weight").alias("_more"))
+        longer = short.join(further, "dst").select("src", F.col("_end").alias("dst"), (F.col("weight") + F.col("_more")).alias("weight"))
+        both = short.unionByName(longer.filter("src <> dst"))
+        short = pin(both.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
+    start = spark.createDataFrame([(i, n) for i, n in enumerate(landmarks)], T.StructType([T.StructField("i", T.IntegerType()), T.StructField("node", edges.schema["src"].dataType)]))
+    found = {}
+    for name, tail, head in (("from_landmarks", "src", "dst"), ("to_landmarks", "dst", "src")):
+        steps = short.select(F.col(tail).alias("node"), F.col(head).alias("_next"), "weight")
+        state = frontier = pin(start.withColumn("cost", F.lit(0.0)))
+        while not frontier.isEmpty():
+            moved = frontier.join(steps, "node").groupBy("i", F.col("_next").alias("node")).agg(F.min(F.col("cost") + F.col("weight")).alias("cost"))
+            known = state.withColumnRenamed("cost", "_cost")
+            frontier = pin(moved.join(known, ["i", "node"], "left").filter("_cost is null or cost < _cost").select("i", "node", "cost"))
+            state = pin(state.unionByName(frontier).groupBy("i", "node").agg(F.min("cost").alias("cost")))
+        costs = F.map_from_entries(F.collect_list(F.struct("i", "cost")))  # one entry per landmark
+        numbers = F.sequence(F.lit(0), F.lit(len(landmarks) - 1))
+        found[name] = state.groupBy("node").agg(costs.alias("_costs")).select("node", F.transform(numbers, lambda i: F.col("_costs")[i]).alias(name))
+    return found["from_landmarks"].join(found["to_landmarks"], "node", "full")
+
+
+class Goals:
+    """How far rows of a search can still be from their targets, at least.
+
+    Bounds come from costs from and to landmarks, or from the distance on the globe times the lowest weight per kilometre
+    of any edge. Sources with more than ``MAX_GOALS`` targets spread without them.
+    """
+
+    MAX_GOALS = 8
+
+    def __init__(self, edges: DataFrame, targets: DataFrame, nodes: DataFrame | None, landmarks: DataFrame | None):
+        few = targets.groupBy("source").agg(F.count("*").alias("_n")).filter(F.col("_n") <= self.MAX_GOALS).select("source")
+        goals = targets.join(few, "source", "left_semi").withColumnRenamed("node", "target")
+        if landmarks is not None:
+            self.places = landmarks.select("node", "from_landmarks", "to_landmarks")
+            ahead = landmarks.select(F.col("node").alias("target"), F.col("from_landmarks").alias("_from"), F.col("to_landmarks").alias("_to"))
+            behind = landmarks.select(F.col("node").alias("source"), F.col("to_landmarks").alias("_out"))
+            goals = goals.join(ahead, "target", "left").join(behind, "source", "left")
+            # some way leads over the best landmark, so a cheapest one costs no more
+            self.known = F.array_min(F.zip_with("_out", "_from", lambda a, b: a + b))
+            apart = F.concat(
+                F.zip_with("_from", "from_landmarks", lambda a, b: a - b), F.zip_with("to_landmarks", "_to", lambda a, b: a - b)
+            )
+            self.bound = F.array_max(apart)
+        else:
+            placed = with_edge_lengths(edges, nodes)
+            total, measured, rate = placed.agg(
+                F.count("*"), F.count("length_km"), F.min(F.when(F.col("length_km") > 0, F.col("weight") / F.col("length_km")))
+            ).first()
+            rate = float(rate or 0.0) if total == measured == edges.count() else 0.0  # an edge of unknown length bounds nothing
+            self.places = nodes.select(F.col("id").alias("node"), "latitude", "longitude")
+            ahead = nodes.select(F.col("id").alias("target"), F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
+            goals = goals.join(ahead, "target", "left")
+            self.known = F.lit(None).cast("double")
+            self.bound = haversine("latitude", "longitude", "_lat", "_lon", EARTH_RADIUS_KM) * rate
+        self.goals = pin(goals.withColumn("_known", self.known))
+
+    def keep(self, rows: DataFrame, state: DataFrame) -> DataFrame:
+        """Rows that can still give one of their source's targets a cheaper way than any found so far."""
+        best = state.join(self.goals.select("source", F.col("target").alias("node")), ["source", "node"], "left_semi")
+        best = best.groupBy("source", F.col("node").alias("target")).agg(F.min("cost").alias("_best"))
+        met = rows.join(self.goals.join(best, ["source", "target"], "left"), "source", "left").join(self.places, "node", "left")
+        at_least = F.col("cost") + F.greatest(F.coalesce(self.bound, F.lit(0.0)), F.lit(0.0)) * (1 - 1e-9)  # below any rounding
+        useful = F.col("target").isNull() | (
+            (F.col("_best").isNull() | (at_least < F.col("_best")) | (F.col("node") == F.col("target")))
+            & (F.col("_known").isNull() | (at_least <= F.col("_known") * (1 + 1e-9)))
+        )
+        return met.filter(useful).select(rows.columns).distinct()
+
+
 def shortest_paths(
-    edges: DataFrame, pairs: DataFrame, max_rounds: int | None = None, with_path: bool = True
+    edges: DataFrame, pairs: DataFrame, max_rounds: int | None = None, with_path: bool = True,
+    nodes: DataFrame | None = None, landmarks: DataFrame | None = None,
 ) -> DataFrame:
     """GRF-2/3: ``(src, dst, success, cost, num_segments, path)`` for each distinct pair.
 
@@ -68,6 +153,10 @@ def shortest_paths(
     cost at which it has reached all its targets. A round writes only what it improved to the shared folder, so what is
     written grows with the improvements and not with rounds times state. Pairs whose ends are not connected at all are
     found first and not searched for. Pairs without a way stay, with ``success`` false.
+
+    With the places of the ``nodes`` or with a table of ``landmarks`` (:func:`landmark_table`), the search is directed: it
+    only keeps rows from which a target may still be reached more cheaply than so far. Results are the same. For negative
+    weights see :mod:`arterial.operators.bellman_ford`.
     """
     spark = edges.sparkSession
     pairs = pin(pairs.select("src", "dst").dropna().distinct())
@@ -91,6 +180,7 @@ def shortest_paths(
     targets = pin(targets.select(F.col("src").alias("source"), F.col("dst").alias("node")))
     wanted = targets.groupBy("source").agg(F.count("*").alias("_wanted"))
     steps = edges.select(F.col("src").alias("node"), F.col("dst").alias("_to"), "weight")
+    goals = Goals(edges, targets, nodes, landmarks) if nodes is not None or landmarks is not None else None
     start = wanted.select(
         "source", F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.lit(0).alias("hops"), F.col("source").alias("pred")
     )
@@ -120,7 +210,8 @@ def shortest_paths(
         else:
             met = frontier.join(steps, "node")
         way = F.min(F.struct((F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + 1).alias("hops"), F.col("node").alias("pred")))
-        moved = pin(met.groupBy("source", F.col("_to").alias("node")).agg(way.alias("way")).select("source", "node", "way.*"))
+        moved = met.groupBy("source", F.col("_to").alias("node")).agg(way.alias("way")).select("source", "node", "way.*")
+        moved = pin(goals.keep(moved, state) if goals else moved)
         # what is as good already stays; a small frontier is broadcast, so the state is read but not shuffled
         known = state.select("source", "node", F.col("cost").alias("_cost"), F.col("hops").alias("_hops"))
         on = (moved["source"] == known["source"]) & (moved["node"] == known["node"])
@@ -191,8 +282,8 @@ def find_routes(
 ) -> DataFrame:
     """GRF-4: routes for ``(request_id, origin_lat, origin_lon, dest_lat, dest_lon)`` rows.
 
-    Ends snap to their nearest nodes. The accepted algorithms all find cheapest ways, and one batch search serves them,
-    so the name is reported and nothing else; other names are refused. Unreachable requests stay, with ``success`` false.
+    Ends snap to their nearest nodes. The accepted algorithms all find cheapest ways with one batch search; "astar" directs it
+    by the places of the nodes. Other names are refused. Unreachable requests stay, with ``success`` false.
     """
     if algorithm not in ALGORITHMS:
         raise ValueError(f"unknown algorithm {algorithm!r}, expected one of {ALGORITHMS}")
@@ -209,7 +300,7 @@ def find_routes(
         *[F.max(F.when(F.col("point_id.end") == name, F.col("node_id"))).alias(name) for name in ("src", "dst")]
     )
     snapped = pin(requests.join(snapped, "request_id", "left"))
-    paths = pin(shortest_paths(known_edges(edges, nodes), snapped, max_rounds))
+    paths = pin(shortest_paths(known_edges(edges, nodes), snapped, max_rounds, nodes=nodes if algorithm == "astar" else None))
     shapes = route_geometry(paths.filter("success"), nodes, ["src", "dst"])
     routes = snapped.join(paths.drop("num_segments"), ["src", "dst"], "left").join(shapes, ["src", "dst"], "left")
     return routes.select(

@@ -20,6 +20,7 @@ from arterial.operators import (
     alerts, clean, congestion, features, forecast, joins, metrics, network, normalize, quality, quantiles, resample,
     sequences, signals, spatial, trajectory, windows,
 )
+from arterial.operators.bellman_ford import bellman_ford
 from arterial.operators.ordering import OrderedRows
 from arterial.plans import views
 from arterial.session import pin, scratch_path
@@ -668,6 +669,23 @@ def grf2_paths(spark, sf):
     return found.select("src", "dst", "success", "cost")
 
 
+@query
+def grf2_directed(spark, sf):
+    """The same search, directed by the places of the nodes."""
+    found = network.shortest_paths(views.road_edges(spark, sf), _pairs(spark, sf), with_path=False, nodes=views.road_nodes(spark, sf))
+    return found.select("src", "dst", "success", "cost")
+
+
+@query
+def grf2_landmarks(spark, sf):
+    """The same search, directed by costs from and to the first and the last node."""
+    edges = pin(views.road_edges(spark, sf))
+    corners = views.road_nodes(spark, sf).agg(F.min("id"), F.max("id")).first()
+    table = pin(network.landmark_table(edges, list(corners), reach=4))
+    found = network.shortest_paths(edges, _pairs(spark, sf), with_path=False, landmarks=table)
+    return found.select("src", "dst", "success", "cost")
+
+
 @query
 def grf3_walks(spark, sf):
     """Paths of the two-row trips, checked against the edges: costs along the path."""
@@ -684,12 +702,24 @@ def grf3_walks(spark, sf):
     return checked.select("src", "dst", "success", F.when(ends, F.col("path_cost")).alias("path_cost"))
 
 
+def _length(coordinates: str) -> Column:
+    """Kilometres along a list of places."""
+    legs = F.zip_with(
+        F.slice(coordinates, 1, F.size(coordinates) - 1), F.slice(coordinates, 2, F.size(coordinates) - 1),
+        lambda a, b: haversine(a["latitude"], a["longitude"], b["latitude"], b["longitude"]),
+    )
+    return F.when(F.size(coordinates) > 1, F.aggregate(legs, F.lit(0.0), lambda total, leg: total + leg)).otherwise(0.0)
+
+
 @query
 def grf4_routes(spark, sf):
     routes = network.find_routes(views.requests(spark, sf), views.road_nodes(spark, sf), views.road_edges(spark, sf))
     return routes.select(
         "request_id", "success", "algorithm", F.element_at("path", 1).alias("src"), F.element_at("path", -1).alias("dst"), "cost",
         (F.size("coordinates") == F.col("num_segments") + 1).alias("complete"),
+        # paths of equal cost differ, so what is compared of the shape are its ends and whether its legs add up
+        F.round(F.element_at("coordinates", 1)["latitude"], 6).alias("from_latitude"), F.round(F.element_at("coordinates", -1)["longitude"], 6).alias("to_longitude"),
+        (F.abs(F.col("distance_km") - _length("coordinates")) < 1e-6).alias("measured"),
     )
 
 
@@ -712,6 +742,38 @@ def grf5_traffic(spark, sf):
     return rounded(network.traffic_weights(views.road_edges(spark, sf), speeds, views.road_nodes(spark, sf)))
 
 
+@query
+def grf5_negative(spark, sf):
+    """Bellman-Ford on the roads with a height at each node: climbing costs, driving down earns."""
+    height = lambda c: (F.col(c) * 13 % 7).cast("double")
+    edges = views.road_edges(spark, sf).withColumn("weight", F.col("weight") + height("dst") - height("src"))
+    routes, _ = bellman_ford(edges, _pairs(spark, sf), max_rounds=11)  # no way of two rows takes more segments than it costs
+    return routes.select("src", "dst", "success", "cost", "negative_cycle")
+
+
+def _loops(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """A ring of three segments per nation with a way in, a way out and a way past it; every other ring is negative."""
+    base = (F.col("n_nationkey") * 10).cast("long")
+    closing = F.when(F.col("n_nationkey") % 2 == 0, -3.0).otherwise(-2.0)
+    arcs = [(0, 1, F.lit(1.0)), (1, 2, F.lit(1.0)), (2, 3, F.lit(1.0)), (3, 1, closing), (2, 4, F.lit(2.0)), (0, 5, F.lit(1.0))]
+    parts = F.array(*[F.struct((base + a).alias("src"), (base + b).alias("dst"), w.alias("weight")) for a, b, w in arcs])
+    ends = F.array(*[F.struct((base + a).alias("src"), (base + b).alias("dst")) for a, b in ((0, 4), (0, 5), (4, 0))])
+    nations = views.table(spark, sf, "nation")
+    return nations.select(F.explode(parts).alias("e")).select("e.*"), nations.select(F.explode(ends).alias("e")).select("e.*")
+
+
+@query
+def grf5_cycle_routes(spark, sf):
+    routes, _ = bellman_ford(*_loops(spark, sf))
+    return routes
+
+
+@query
+def grf5_cycles(spark, sf):
+    _, cycles = bellman_ford(*_loops(spark, sf))
+    return cycles.withColumn("nodes", F.array_join(F.col("nodes").cast("array<string>"), ","))
+
+
 def _balances(spark, sf) -> DataFrame:
     return views.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal", "c_nationkey")
 

@@ -483,6 +483,20 @@ cheapest as (select source, node, min(cost) as cost from walk group by 1, 2)"""
 SQL["grf2_paths"] = with_views("road_edges", more=_WALKS, recursive=True) + """
 select c_custkey as src, c_custkey + 100 as dst, cost is not null as success, cost
 from customer left join cheapest on source = c_custkey and node = c_custkey + 100"""
+SQL["grf2_directed"] = SQL["grf2_landmarks"] = SQL["grf2_paths"]
+SQL["grf5_negative"] = with_views("road_edges", more=_WALKS, recursive=True) + """
+select c_custkey as src, c_custkey + 100 as dst, cost is not null as success,
+  cost + ((c_custkey + 100) * 13) % 7 - (c_custkey * 13) % 7 as cost, false as negative_cycle
+from customer left join cheapest on source = c_custkey and node = c_custkey + 100"""
+SQL["grf5_cycle_routes"] = """
+with n as (select cast(n_nationkey * 10 as bigint) as base, n_nationkey % 2 = 0 as bad from nation)
+select base as src, base + 4 as dst, not bad as success, case when not bad then 4.0 end as cost, cast(case when not bad then 3 end as int) as num_segments,
+  bad as negative_cycle from n
+union all select base, base + 5, true, 1.0, 1, false from n
+union all select base + 4, base, false, null, null, false from n"""
+SQL["grf5_cycles"] = """
+select cast(n_nationkey * 10 + 1 as bigint) as cycle, concat_ws(',', n_nationkey * 10 + 1, n_nationkey * 10 + 2, n_nationkey * 10 + 3) as nodes,
+  3 as num_segments, cast(-1.0 as double) as cost from nation where n_nationkey % 2 = 0"""
 SQL["grf3_walks"] = with_views("road_edges", more=_WALKS, recursive=True) + """
 select c_custkey as src, c_custkey + 100 as dst, cost is not null as success, cost as path_cost
 from customer left join cheapest on source = c_custkey and node = c_custkey + 100"""
@@ -496,8 +510,10 @@ def _nearest(end: str) -> str:
 SQL["grf4_routes"] = with_views("road_edges", "road_nodes", "requests", more=_WALKS + f""",
 ends as (select o.request_id, o.node as src, d.node as dst from {_nearest('origin')} o join {_nearest('dest')} d using (request_id))""", recursive=True) + """
 select request_id, cost is not null as success, 'astar' as algorithm, case when cost is not null then src end as src,
-  case when cost is not null then dst end as dst, cost, case when cost is not null then true end as complete
-from ends left join cheapest on source = src and node = dst"""
+  case when cost is not null then dst end as dst, cost, case when cost is not null then true end as complete,
+  case when cost is not null then round(a.latitude, 6) end as from_latitude, case when cost is not null then round(b.longitude, 6) end as to_longitude,
+  case when cost is not null then true end as measured
+from ends left join cheapest on source = src and node = dst left join road_nodes a on a.id = src left join road_nodes b on b.id = dst"""
 SQL["agg9_distance"] = with_views("road_nodes", more="legs as (select a.id as src, " + " + ".join(
     haversine(f"n{i}.latitude", f"n{i}.longitude", f"n{i + 1}.latitude", f"n{i + 1}.longitude") for i in range(3)
 ) + """ as km from road_nodes a join road_nodes n0 on n0.id = a.id join road_nodes n1 on n1.id = a.id + 50
