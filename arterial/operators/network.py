@@ -19,6 +19,8 @@ from arterial.session import pin, scratch_path
 
 # Requested routes up to this number (of four numbers each) are broadcast while their paths are read back.
 BROADCAST_PAIRS = 100_000
+# Rounds after which a search asks which ends are connected at all; shorter searches end before that pays.
+CONNECTED_AFTER = 8
 ALGORITHMS = ("astar", "dijkstra")
 
 
@@ -102,6 +104,7 @@ class Goals:
     MAX_GOALS = 8
 
     def __init__(self, edges: DataFrame, targets: DataFrame, nodes: DataFrame | None, landmarks: DataFrame | None):
+        self.step = 0.5 * float(edges.agg(F.avg("weight")).first()[0] or 0.0)
         few = targets.groupBy("source").agg(F.count("*").alias("_n")).filter(F.col("_n") <= self.MAX_GOALS).select("source")
         goals = targets.join(few, "source", "left_semi").withColumnRenamed("node", "target")
         if landmarks is not None:
@@ -128,17 +131,31 @@ class Goals:
             self.bound = haversine("latitude", "longitude", "_lat", "_lon", EARTH_RADIUS_KM) * rate
         self.goals = pin(goals.withColumn("_known", self.known))
 
-    def keep(self, rows: DataFrame, state: DataFrame) -> DataFrame:
-        """Rows that can still give one of their source's targets a cheaper way than any found so far."""
+    def promising(self, rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows to go on from now, rows to go on from later); rows that cannot give a cheaper way to any target are dropped.
+
+        A row promises its cost and what is left at least. Those go on now that promise no more than the best row of their
+        source does, or half an average edge more.
+        """
         best = state.join(self.goals.select("source", F.col("target").alias("node")), ["source", "node"], "left_semi")
         best = best.groupBy("source", F.col("node").alias("target")).agg(F.min("cost").alias("_best"))
         met = rows.join(self.goals.join(best, ["source", "target"], "left"), "source", "left").join(self.places, "node", "left")
-        at_least = F.col("cost") + F.greatest(F.coalesce(self.bound, F.lit(0.0)), F.lit(0.0)) * (1 - 1e-9)  # below any rounding
-        useful = F.col("target").isNull() | (
-            (F.col("_best").isNull() | (at_least < F.col("_best")) | (F.col("node") == F.col("target")))
-            & (F.col("_known").isNull() | (at_least <= F.col("_known") * (1 + 1e-9)))
-        )
-        return met.filter(useful).select(rows.columns).distinct()
+        total = F.col("cost") + F.greatest(F.coalesce(self.bound, F.lit(0.0)), F.lit(0.0))
+        limit = F.least("_best", "_known") * (1 + 1e-9)  # above any rounding; ways of equal cost may still have fewer segments
+        useful = F.col("target").isNull() | F.least("_best", "_known").isNull() | (total <= limit)
+        rated = met.filter(useful).groupBy(*rows.columns).agg(F.min(F.when(F.col("target").isNotNull(), total)).alias("_total"))
+        first = rated.groupBy("source").agg((F.min("_total") + F.lit(self.step)).alias("_first"))
+        rated = pin(rated.join(first, "source"))
+        now = F.col("_total").isNull() | (F.col("_total") <= F.col("_first"))
+        return rated.filter(now).select(rows.columns), rated.filter(~now).select(rows.columns)
+
+
+def _connected(targets: DataFrame, edges: DataFrame) -> DataFrame:
+    """The (source, node) rows whose two ends are in one part of the network."""
+    part = components(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    of_source = part.select(F.col("node").alias("source"), F.col("component").alias("_from"))
+    of_node = part.select("node", F.col("component").alias("_to"))
+    return lookup_join(lookup_join(targets, of_source, "source"), of_node, "node").filter("_from = _to").select("source", "node")
 
 
 def shortest_paths(
@@ -152,11 +169,11 @@ def shortest_paths(
     (source, node) is kept, fewest segments first among equals. A source stops spreading beyond the
     cost at which it has reached all its targets. A round writes only what it improved to the shared folder, so what is
     written grows with the improvements and not with rounds times state. Pairs whose ends are not connected at all are
-    found first and not searched for. Pairs without a way stay, with ``success`` false.
+    found after ``CONNECTED_AFTER`` rounds and not searched for any longer. Pairs without a way stay, with ``success`` false.
 
-    With the places of the ``nodes`` or with a table of ``landmarks`` (:func:`landmark_table`), the search is directed: it
-    only keeps rows from which a target may still be reached more cheaply than so far. Results are the same. For negative
-    weights see :mod:`arterial.operators.bellman_ford`.
+    With the places of the ``nodes`` or with a table of ``landmarks`` (:func:`landmark_table`), the search is directed: a
+    source goes on from the rows that promise the cheapest ways first, and drops rows from which no target can be reached as
+    cheaply as it was already. Costs are the same. For negative weights see :mod:`arterial.operators.bellman_ford`.
     """
     spark = edges.sparkSession
     pairs = pin(pairs.select("src", "dst").dropna().distinct())
@@ -170,13 +187,9 @@ def shortest_paths(
     lowest = edges.agg(F.min("weight")).first()[0]
     if lowest is not None and lowest < 0:
         raise ValueError("edge weights must not be negative")
-    # ends in different parts of the network are out of reach, and so is a target no edge leads to
-    part = components(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")))
-    of_src = part.select(F.col("node").alias("src"), F.col("component").alias("_from"))
-    of_dst = part.select(F.col("node").alias("dst"), F.col("component").alias("_to"))
-    near = lookup_join(lookup_join(pairs, of_src, "src"), of_dst, "dst").filter("_from = _to").select("src", "dst")
-    entered = lookup_join(near, edges.select("dst").distinct(), "dst", "left_semi")
-    targets = entered.filter(F.col("src") != F.col("dst")).unionByName(pairs.filter(F.col("src") == F.col("dst")))
+    # a target no edge leads to is out of reach
+    entered = lookup_join(pairs.filter("src <> dst"), edges.select("dst").distinct(), "dst", "left_semi")
+    targets = entered.unionByName(pairs.filter("src = dst"))
     targets = pin(targets.select(F.col("src").alias("source"), F.col("dst").alias("node")))
     wanted = targets.groupBy("source").agg(F.count("*").alias("_wanted"))
     steps = edges.select(F.col("src").alias("node"), F.col("dst").alias("_to"), "weight")
@@ -187,15 +200,23 @@ def shortest_paths(
     root = scratch_path(spark, "paths")
     start.write.parquet(f"{root}/round=0")
     number = 0
+    waiting = None  # rows of a directed search that are not the most promising of their source
     while True:
         # all improvements so far: a place may have several, the cheapest counts
         state = spark.read.schema(start.schema).parquet(*[f"{root}/round={i}" for i in range(number + 1)])
-        if max_rounds is not None and number >= max_rounds:
-            break
         frontier = spark.read.schema(start.schema).parquet(f"{root}/round={number}")
+        if waiting is not None:
+            frontier = frontier.unionByName(waiting)
+        if max_rounds is not None:
+            frontier = frontier.filter(F.col("hops") < max_rounds)
         size = frontier.count()
         if size == 0:
             break
+        if number == CONNECTED_AFTER:
+            # ends in different parts of the network would keep their sources searching all of theirs
+            targets = pin(_connected(targets, edges))
+            wanted = targets.groupBy("source").agg(F.count("*").alias("_wanted"))
+            frontier = lookup_join(frontier, wanted.select("source"), "source", "left_semi")
         if number:
             # once all targets of a source are reached, dearer rows cannot improve any of them
             cheapest = state.join(targets, ["source", "node"], "left_semi").groupBy("source", "node").agg(F.min("cost").alias("cost"))
@@ -204,6 +225,8 @@ def shortest_paths(
             frontier = lookup_join(frontier, done.select("source", "_limit"), "source", "left").filter(
                 F.col("_limit").isNull() | (F.col("cost") < F.col("_limit"))
             ).drop("_limit")
+        if goals:
+            frontier, waiting = goals.promising(frontier, state)
         # many sources may stand at the same busy node
         if size > ROWS_PER_TASK:
             met = salted_join(frontier, steps, "node", ["source"])
@@ -211,7 +234,7 @@ def shortest_paths(
             met = frontier.join(steps, "node")
         way = F.min(F.struct((F.col("cost") + F.col("weight")).alias("cost"), (F.col("hops") + 1).alias("hops"), F.col("node").alias("pred")))
         moved = met.groupBy("source", F.col("_to").alias("node")).agg(way.alias("way")).select("source", "node", "way.*")
-        moved = pin(goals.keep(moved, state) if goals else moved)
+        moved = pin(moved)
         # what is as good already stays; a small frontier is broadcast, so the state is read but not shuffled
         known = state.select("source", "node", F.col("cost").alias("_cost"), F.col("hops").alias("_hops"))
         on = (moved["source"] == known["source"]) & (moved["node"] == known["node"])

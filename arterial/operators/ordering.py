@@ -6,7 +6,8 @@ order (no key at all). :class:`OrderedRows` keeps the plain window for ordinary
 keys are range-partitioned on (key, order) into chunks of a bounded size, and the chunks are pinned
 in the checkpoint folder so that their borders survive lost executors. Row frames then run per
 (key, chunk) with the few neighbouring rows they look at copied in from the chunks around them, and
-running values are carried from chunk to chunk through a table with one row per (key, chunk).
+running values are carried from chunk to chunk through a table with one row per (key, chunk), in
+groups of chunks and groups of groups, so that no window spans all chunks.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from arterial.session import pin
 # Rows of one key that a single task may sort; larger keys are split.
 ROWS_PER_TASK = 4_000_000
 # Rows of a whole table, without keys, that a single task may sort; a key's rows share their tasks with other keys'.
-WHOLE_TABLE_ROWS = 100_000
+WHOLE_TABLE_ROWS = 1_000_000
+# Chunks, and groups of chunks, that a window over them may hold.
+FAN_OUT = 256
 
 _CHUNK, _HALO = "_chunk", "_halo"
 
@@ -67,6 +70,8 @@ class OrderedRows:
         self.order = [order] if isinstance(order, str) else list(order)
         self.plain: DataFrame | None = df
         self.chunked: DataFrame | None = None
+        self.chunks = 0
+        self._summary: DataFrame | None = None
         if rows_per_task is None:
             return
         if not self.by:
@@ -85,8 +90,8 @@ class OrderedRows:
         self.chunked = self._chunk(rows, total, rows_per_task)
 
     def _chunk(self, df: DataFrame, total: int, rows_per_task: int) -> DataFrame:
-        chunks = 2 * math.ceil(total / rows_per_task)
-        ranged = df.repartitionByRange(chunks, *self.by, *self.order)
+        self.chunks = 2 * math.ceil(total / rows_per_task)
+        ranged = df.repartitionByRange(self.chunks, *self.by, *self.order)
         return pin(ranged.withColumn(_CHUNK, F.spark_partition_id()))
 
     # -- windows ---------------------------------------------------------------------------
@@ -115,69 +120,91 @@ class OrderedRows:
             self.chunked = built.filter(~F.col(_HALO)).drop(_HALO)
         return self
 
-    def _neighbours(self, size: int, from_next: bool) -> DataFrame:
-        """For each (key, chunk) the ``size`` rows of the key before it (or after it)."""
-        edge_order = self._window(_CHUNK, descending=not from_next)
-        edges = (
-            self.chunked.withColumn("_rank", F.row_number().over(edge_order))
-            .filter(F.col("_rank") <= size)
-            .select(*self.by, _CHUNK, "_rank", F.struct(*self.chunked.columns).alias("_row"))
+    def _numbered(self) -> DataFrame:
+        """(key, chunk, rows, place): the chunks of each key with dense numbers from 0; pinned once."""
+        if self._summary is None:
+            counts = pin(self.chunked.groupBy(*self.by, _CHUNK).agg(F.count("*").alias("_n"), F.lit(1).alias("_one")))
+            before = self._before(counts, _CHUNK, self.chunks, {"_one": "sum"}, False)
+            self._summary = pin(before.select(*self.by, _CHUNK, "_n", F.coalesce("_b_one", F.lit(0)).alias("_place")))
+        return self._summary
+
+    def _before(self, table: DataFrame, place: str, size: int, folds: dict[str, str], backward: bool) -> DataFrame:
+        """``table`` (a row per key and ``place`` < ``size``) with each column folded over all earlier places of the key, as
+        ``_b<column>``. Folds are "sum" and "last" (the nearest value that is not null).
+
+        Places are folded in groups of ``FAN_OUT``, then the groups' totals the same way, and what comes before its group is
+        added to each place. So no window holds more than ``FAN_OUT`` rows, however many chunks there are.
+        """
+        group = place + "_g"
+        order = F.col(place).desc() if backward else F.col(place).asc()
+        table = table.withColumn(group, F.floor(F.col(place) / FAN_OUT).cast("long"))
+        w = W.partitionBy(*self.by, group).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        here = {
+            "_b" + c: F.sum(c).over(w) if fold == "sum" else F.last(c, ignorenulls=True).over(w) for c, fold in folds.items()
+        }
+        local = table.withColumns(here)
+        if size <= FAN_OUT:
+            return local.drop(group)
+        pick = F.min_by if backward else F.max_by
+        totals = table.groupBy(*self.by, group).agg(
+            *[(F.sum(c) if fold == "sum" else pick(c, F.when(F.col(c).isNotNull(), F.col(place)))).alias(c) for c, fold in folds.items()]
         )
-        marks = (
-            self.chunked.select(*self.by, _CHUNK)
-            .distinct()
-            .select(
-                *self.by, _CHUNK, F.lit(None).cast("int").alias("_rank"),
-                F.lit(None).cast(edges.schema["_row"].dataType).alias("_row"),
+        outer = self._before(pin(totals), group, math.ceil(size / FAN_OUT), folds, backward)
+        on = [*self.by, group]
+        side = keyed(outer.select(*on, *[F.col("_b" + c).alias("_o" + c) for c in folds]), on)
+        joined = local.join(side, same_key(local, side, on), "left")
+        both = {
+            "_b" + c: F.coalesce(F.col("_b" + c), F.lit(0)) + F.coalesce(F.col("_o" + c), F.lit(0)) if fold == "sum"
+            else F.coalesce(F.col("_b" + c), F.col("_o" + c))
+            for c, fold in folds.items()
+        }
+        return joined.withColumns(both).drop(group, *["_k_" + c for c in on], *["_o" + c for c in folds])
+
+    def _neighbours(self, size: int, from_next: bool) -> DataFrame:
+        """For each (key, chunk) the ``size`` rows of the key before it (or after it).
+
+        The edge rows of each chunk meet the next chunk of the key by its number. Where a chunk has fewer rows, the one
+        beyond it is asked for the rest, round by round; that is rare, so there is mostly one round.
+        """
+        chunks = self._numbered()
+        step = 1 if from_next else -1
+        asking = chunks.select(*self.by, F.col(_CHUNK).alias("_target"), (F.col("_place") + step).alias("_place"), F.lit(size).cast("long").alias("_missing"))
+        asked = None
+        while True:
+            on = [*self.by, "_place"]
+            side = keyed(asking, on)
+            met = chunks.join(side, same_key(chunks, side, on), "inner").select(
+                *[chunks[c] for c in self.by], chunks["_place"], chunks[_CHUNK], "_target", F.least("_missing", "_n").alias("_take"),
+                (F.col("_missing") - F.col("_n")).alias("_missing"),
             )
-        )
-        # Per key: a mark for each chunk, then its edge rows with the one nearest the next mark last.
-        # Every chunk has at least one edge row, so 2 * size rows before a mark hold all it needs.
-        chunk_order = F.col(_CHUNK).desc() if from_next else F.col(_CHUNK).asc()
-        sequence = (
-            W.partitionBy(*([F.col(c) for c in self.by] or [F.lit(0)]))
-            .orderBy(chunk_order, F.col("_rank").desc_nulls_first())
-            .rowsBetween(-2 * size, -1)
-        )
-        near = F.collect_list("_row").over(sequence)
-        halo = (
-            edges.unionByName(marks)
-            .withColumn("_near", near)
-            .filter(F.col("_row").isNull())
-            .select(_CHUNK, F.expr(f"slice(_near, greatest(1, size(_near) - {size} + 1), {size})").alias("_near"))
-            .select(F.col(_CHUNK).alias("_target"), F.explode("_near").alias("_row"))
-        )
-        return halo.select(
-            *[
-                F.col("_target").alias(c) if c == _CHUNK else F.col("_row")[c].alias(c)
-                for c in self.chunked.columns
-            ],
-            F.lit(True).alias(_HALO),
+            met = pin(met)
+            taken = met.select(*self.by, _CHUNK, "_target", "_take")
+            asked = taken if asked is None else asked.unionByName(taken)
+            asking = met.filter("_missing > 0").select(*self.by, "_target", (F.col("_place") + step).alias("_place"), "_missing")
+            if asking.isEmpty():
+                break
+        edge_order = self._window(_CHUNK, descending=not from_next)
+        edges = self.chunked.withColumn("_rank", F.row_number().over(edge_order)).filter(F.col("_rank") <= size)
+        on = [*self.by, _CHUNK]
+        side = keyed(asked, on)
+        near = edges.join(side, same_key(edges, side, on), "inner").filter(F.col("_rank") <= F.col("_take"))
+        return near.select(
+            *[F.col("_target").alias(c) if c == _CHUNK else edges[c] for c in self.chunked.columns], F.lit(True).alias(_HALO)
         )
 
     # -- running values --------------------------------------------------------------------
 
-    def _with_chunk_values(self, per_chunk: list[Column], across: dict[str, Column]) -> DataFrame:
-        """Join values derived from the (key, chunk) summary back to the rows.
+    def _with_chunk_values(self, summary: DataFrame) -> DataFrame:
+        """The rows with the values of their (key, chunk) in ``summary``.
 
-        The summary has one row per (key, chunk), a few per ``rows_per_task`` rows. Spark broadcasts it if its size at run
-        time allows; else both sides meet by (key, chunk), as the window afterwards needs them.
+        It has one row per (key, chunk), a few per ``rows_per_task`` rows. Spark broadcasts it if its size at run time
+        allows; else both sides meet by (key, chunk), as the window afterwards needs them.
         """
-        summary = self.chunked.groupBy(*self.by, _CHUNK).agg(*per_chunk)
-        summary = summary.select(*self.by, _CHUNK, *[c.alias(n) for n, c in across.items()])
         on = [*self.by, _CHUNK]
         side = keyed(summary, on)
         joined = self.chunked.join(side, same_key(self.chunked, side, on), "inner")
         return joined.drop(*["_k_" + c for c in on])
 
-    def _chunks(self, backward: bool) -> WindowSpec:
-        chunk = F.col(_CHUNK).desc() if backward else F.col(_CHUNK).asc()
-        return (
-            W.partitionBy(*([F.col(c) for c in self.by] or [F.lit(0)]))
-            .orderBy(chunk)
-            .rowsBetween(W.unboundedPreceding, -1)
-        )
-
     def carry(self, values: dict[str, Column], backward: bool = False) -> OrderedRows:
         """Last non-null value at or before each row (``backward``: first at or after it)."""
         frame = (W.unboundedPreceding, 0)
@@ -189,14 +216,13 @@ class OrderedRows:
         if self.chunked is not None:
             pick = F.min_by if backward else F.max_by
             per_chunk = [
-                pick(c, F.when(c.isNotNull(), F.struct(*self.order))).alias("_v_" + n)
-                for n, c in values.items()
+                pick(c, F.when(c.isNotNull(), F.struct(*self.order))).alias("_v_" + n) for n, c in values.items()
             ]
-            across = {
-                "_c_" + n: F.last(F.col("_v_" + n), ignorenulls=True).over(self._chunks(backward))
-                for n in values
-            }
-            joined = self._with_chunk_values(per_chunk, across)
+            last = pin(self.chunked.groupBy(*self.by, _CHUNK).agg(*per_chunk))
+            before = self._before(last, _CHUNK, self.chunks, {"_v_" + n: "last" for n in values}, backward)
+            joined = self._with_chunk_values(
+                before.select(*self.by, _CHUNK, *[F.col("_b_v_" + n).alias("_c_" + n) for n in values])
+            )
             w = self._window(_CHUNK, descending=backward).rowsBetween(*frame)
             self.chunked = joined.withColumns(
                 {
@@ -216,12 +242,13 @@ class OrderedRows:
                 everything = W.partitionBy(*([F.col(c) for c in self.by] or [F.lit(0)]))
                 self.plain = self.plain.withColumn(total, F.count(F.lit(1)).over(everything))
         if self.chunked is not None:
-            chunks = self._chunks(False)
-            across = {"_before": F.coalesce(F.sum("_n").over(chunks), F.lit(0))}
+            chunks = self._numbered().select(*self.by, _CHUNK, "_n")
+            before = self._before(chunks, _CHUNK, self.chunks, {"_n": "sum"}, False)
+            summary = before.select(*self.by, _CHUNK, F.coalesce("_b_n", F.lit(0)).alias("_before"))
             if total:
-                everything = chunks.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-                across[total] = F.sum("_n").over(everything)
-            joined = self._with_chunk_values([F.count("*").alias("_n")], across)
+                sums = keyed(chunks.groupBy(*self.by).agg(F.sum("_n").alias(total)), self.by)
+                summary = summary.join(sums, same_key(summary, sums, self.by), "inner").drop(*["_k_" + c for c in self.by])
+            joined = self._with_chunk_values(summary)
             local = F.row_number().over(self._window(_CHUNK))
             self.chunked = joined.withColumn(name, local + F.col("_before")).drop("_before")
         return self

@@ -983,6 +983,13 @@ def far_sequences(spark, sf):
     return out.withColumn("x", F.flatten("x")).select("event_id", "y", hundredths("x").alias("x"))
 
 
+@query
+def far_stops(spark, sf):
+    fixes = views.gps_points(spark, sf).withColumn("vehicle_id", F.when(F.col("event_id") % 3 == 0, "HOT").otherwise(F.col("vehicle_id")))
+    out = trajectory.detect_stops(fixes, tiebreak="event_id", rows_per_task=FEW_ROWS)
+    return rounded(out.select("event_id", "is_stopped", "stop_duration", "is_significant_stop"), 4)
+
+
 @query
 def far_fill(spark, sf):
     hourly = resample.resample(views.crowded_readings(spark, sf), "1 hour", "sensor_id", columns=["speed"])

@@ -649,6 +649,9 @@ SQL["far_quartiles"] = with_views("readings") + "\nunion all\n".join(
     f"select '{c}' as name, round(quantile_cont({c}, 0.25), 6) as q1, round(quantile_cont({c}, 0.5), 6) as q2, round(quantile_cont({c}, 0.75), 6) as q3 from readings"
     for c in ("speed", "occupancy", "vehicle_count")
 )
+SQL["far_stops"] = SQL["win9_stops"].replace(
+    "concat('V', cast(user_id as varchar)) as vehicle_id", "case when event_id % 3 = 0 then 'HOT' else concat('V', cast(user_id as varchar)) end as vehicle_id"
+)
 SQL["far_salted"] = _crowded(with_views("readings")) + """
 select a.sensor_id, count(*) as n, round(sum(a.speed - b.speed), 2) as gap
 from readings a join readings b on a.sensor_id = b.sensor_id and b.timestamp < timestamp '2024-01-03' group by 1"""

@@ -125,3 +125,27 @@ def test_split_at_rank_without_sorting(hot):
         got = sequences.chronological_split(df).filter("timestamp is not null").collect()
         assert {r.split for r in got} == {"train", "validation"}
         assert all((r.split == "validation") == ((r.timestamp, r.event_id is not None, r.event_id) >= first) for r in got)
+
+
+@pytest.mark.parametrize("by", [None, "sensor_id"])
+def test_values_pass_over_many_chunks_in_groups(spark, by, monkeypatch):
+    """Chunks fewer rows long than the frames, several levels of groups, empty chunks between others."""
+    from arterial.operators import ordering
+
+    monkeypatch.setattr(ordering, "FAN_OUT", 3)
+    monkeypatch.setattr(ordering, "WHOLE_TABLE_ROWS", 4)
+    rows = [("A" if i % 3 else "B", i, i % 5 == 0) for i in range(90)] + [(None, 200 + i, True) for i in range(9)]
+    frame = spark.createDataFrame(rows, "sensor_id string, t int, mark boolean")
+
+    def values(limit):
+        ordered = ordering.OrderedRows(frame, by, "t", limit).index("n", total="all")
+        ordered = ordered.carry({"before": F.when(F.col("mark"), F.col("t"))})
+        ordered = ordered.carry({"after": F.when(F.col("mark"), F.col("t"))}, backward=True)
+        ordered = ordered.rows(lambda d, w: d.withColumns({"lag": F.lag("t", 7).over(w), "lead": F.lead("t", 6).over(w)}), behind=7, ahead=6)
+        return ordered
+
+    few = values(4)
+    assert few.chunked is not None
+    same(few.result(), values(None).result())
+    plan = ordering.OrderedRows(frame, by, "t", 4).index("n").carry({"c": F.col("t")}).result()._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan  # no window, and no task, holds all chunks
