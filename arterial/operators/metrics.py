@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arterial.functions.traffic import metric_line
@@ -75,3 +76,80 @@ def metrics_summary(averages: DataFrame) -> DataFrame:
     )
     text = F.array_join(F.transform("lines", lambda e: e["l"]), "\n")
     return lines.select("run_id", F.concat(F.lit("Metrics Summary:\n" + "-" * 50 + "\n"), text).alias("summary"))
+
+
+class MetricStore:
+    """AGG-5 as a table: append-only history below ``path``, in runs.
+
+    An attempt is named by its caller. Its first append claims the next number of the run by creating a file that must not
+    exist yet; a repeated append of the same name finds its claim and overwrites its own rows, so retries neither double rows
+    nor change the order. ``reset`` starts a new run and deletes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self.files = self._fs.Path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str) -> list[str]:
+        at = self._fs.Path(f"{self.path}/{folder}")
+        return sorted(s.getPath().getName() for s in self.files.listStatus(at)) if self.files.exists(at) else []
+
+    def _claim(self, name: str, text: str) -> bool:
+        """Create a file that says ``text``; False if there is one of that name."""
+        at = self._fs.Path(f"{self.path}/{name}")
+        try:
+            out = self.files.create(at, False)
+        except Py4JJavaError:
+            if self.files.exists(at):
+                return False
+            raise
+        out.writeUTF(text)
+        out.close()
+        return True
+
+    def _said(self, name: str) -> str:
+        stream = self.files.open(self._fs.Path(f"{self.path}/{name}"))
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    @property
+    def run(self) -> int:
+        """The current run; 0 is the first."""
+        return len(self._names("_runs"))
+
+    def reset(self) -> int:
+        """Start a new run."""
+        number = self.run
+        while not self._claim(f"_runs/{number:010d}", ""):
+            number += 1
+        return number + 1
+
+    def append(self, metrics: DataFrame, attempt: str) -> int:
+        """Add the metrics (:func:`error_metrics`) of one update; returns its number within the run."""
+        run = self.run
+        folder = f"_claims/run={run}"
+        names = self._names(folder)
+        number = next((int(n) for n in names if self._said(f"{folder}/{n}") == attempt), None)
+        if number is None:
+            number = len(names)
+            while not self._claim(f"{folder}/{number:010d}", attempt):
+                number += 1
+        rows = metric_rows(metrics, f"run-{run}", number)
+        rows.write.mode("overwrite").parquet(f"{self.path}/run={run}/seq_number={number}")
+        return number
+
+    def history(self, run: int | None = None) -> DataFrame:
+        """``(run_id, seq, metric, value)`` of the current run, or of an earlier one."""
+        at = f"{self.path}/run={self.run if run is None else run}"
+        if not self.files.exists(self._fs.Path(at)):
+            return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        return self.spark.read.schema(HISTORY_SCHEMA).parquet(at)
+
+    def average(self, run: int | None = None) -> DataFrame:
+        return average_metrics(self.history(run))
+
+    def latest(self, run: int | None = None) -> DataFrame:
+        return latest_metrics(self.history(run))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,13 +178,50 @@ def outlier_limits(
     return limits
 
 
+# Size of the quantile sketches and the rank error it gives, as a share of the rows: published for this kind of sketch, for
+# one quantile at 99 % confidence. 2.296 / k ** 0.9723.
+SKETCH_K = 1000
+SKETCH_ERROR = 2.296 / SKETCH_K**0.9723
+
+
+def daily_sketches(df: DataFrame, columns: Sequence[str], ts: str = "timestamp") -> DataFrame:
+    """``(day, name, n, sketch)``: a mergeable quantile sketch of every column and day, a few KB each.
+
+    Store it by day and add the sketches of new days; nothing has to be read again for limits over any range of days.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])).alias("p")
+    values = df.select(F.to_date(ts).alias("day"), pairs).select("day", "p.*").where("value is not null and not isnan(value)")
+    return values.groupBy("day", "name").agg(F.count("*").alias("n"), F.kll_sketch_agg_double("value", SKETCH_K).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, ranks: Sequence[float] = (0.25, 0.75), start: date | None = None, end: date | None = None) -> DataFrame:
+    """``(name, n, quantiles)`` of the days from ``start`` to ``end``, each quantile within ``SKETCH_ERROR`` of its rank."""
+    if start is not None:
+        sketches = sketches.where(F.col("day") >= F.lit(start))
+    if end is not None:
+        sketches = sketches.where(F.col("day") <= F.lit(end))
+    merged = sketches.groupBy("name").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", SKETCH_K).alias("sketch"))
+    found = F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(float(r))) for r in ranks])
+    return merged.select("name", "n", found.alias("quantiles"))
+
+
+def sketched_limits(sketches: DataFrame, start: date | None = None, end: date | None = None) -> dict[str, tuple[float, float]]:
+    """OUT-1's limits from merged sketches instead of exact quartiles: two numbers per column."""
+    rows = merged_quantiles(sketches, (0.25, 0.75), start, end).collect()
+    return {r["name"]: (r["quantiles"][0] - 1.5 * (d := r["quantiles"][1] - r["quantiles"][0]), r["quantiles"][1] + 1.5 * d) for r in rows}
+
+
 def detect_outliers(
-    df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr", threshold: float = 3.0
+    df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr", threshold: float = 3.0,
+    limits: dict[str, tuple[float | None, float | None]] | None = None,
 ) -> DataFrame:
-    """OUT-1/2: ``is_outlier`` where any column lies outside its limits; missing values never do."""
+    """OUT-1/2: ``is_outlier`` where any column lies outside its limits; missing values never do.
+
+    ``limits`` known already (of :func:`sketched_limits`, say) save the pass that finds them.
+    """
     columns = numeric_columns(df) if columns is None else columns
     outside = F.lit(False)
-    for c, (low, high) in outlier_limits(df, columns, method, threshold).items():
+    for c, (low, high) in (outlier_limits(df, columns, method, threshold) if limits is None else limits).items():
         if low is not None:
             value = F.col(c).cast("double")
             outside = outside | F.coalesce((value < low) | (value > high), F.lit(False))

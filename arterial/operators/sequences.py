@@ -40,6 +40,48 @@ def with_sequences(
     return out.filter(F.size("x") == length).drop("_v")
 
 
+def sequence_blocks(
+    df: DataFrame,
+    features: Sequence[str],
+    target: str,
+    length: int = 60,
+    block: int = 1024,
+    by: Sequence[str] | str | None = "sensor_id",
+    ts: str = "timestamp",
+    tiebreak: Sequence[str] | str = (),
+    rows_per_task: int | None = ROWS_PER_TASK,
+) -> DataFrame:
+    """WIN-10 for storage: blocks of ``block`` rows of a key with the ``length`` rows before them.
+
+    ``(keys, block, first, rows)``; a row is stored once, and once more where it leads into the next block, so a table of
+    blocks has (block + length) / block times the rows, not ``length`` times. :func:`samples` makes the samples on read.
+    """
+    ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
+    keys = [by] if isinstance(by, str) else list(by or [])
+    order = list(dict.fromkeys([ts, *ties]))
+    vector = F.array(*[F.col(c).cast("double") for c in features])
+    slim = df.select(*dict.fromkeys([*keys, *order]), vector.alias("v"), F.col(target).cast("double").alias("y"))
+    numbered = OrderedRows(slim, keys, order, rows_per_task).index("_rn").result()
+    place = F.col("_rn") - 1
+    own = F.floor(place / block).cast("long")
+    into = F.sequence(own, F.floor((place + length) / block).cast("long"))
+    row = F.struct("_rn", *[F.col(c).alias(c) for c in order if c not in keys], "v", "y")
+    spread = numbered.withColumn("block", F.explode(into))
+    blocks = spread.groupBy(*keys, "block").agg(F.sort_array(F.collect_list(row)).alias("rows"))  # block + length rows at most
+    # the last row of a key may lead into a block without rows of its own
+    return blocks.filter(F.element_at("rows", -1)["_rn"] > F.col("block") * block)
+
+
+def samples(blocks: DataFrame, length: int, block: int) -> DataFrame:
+    """The samples of stored blocks: keys, order columns, ``y`` and ``x``, the ``length`` rows before, as in with_sequences."""
+    keys = [c for c in blocks.columns if c not in ("block", "rows")]
+    names = [f.name for f in blocks.schema["rows"].dataType.elementType if f.name not in ("_rn", "v")]
+    each = blocks.select(*keys, "block", "rows", F.posexplode("rows").alias("_at", "_row"))
+    own = each.filter((F.col("_row._rn") > F.col("block") * block) & (F.col("_at") >= length))
+    before = F.transform(F.slice("rows", F.col("_at") - length + 1, F.lit(length)), lambda r: r["v"])
+    return own.select(*keys, *[F.col("_row")[n].alias(n) for n in names], before.alias("x"))
+
+
 def block_sequences(
     df: DataFrame,
     features: Sequence[str],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +71,25 @@ def _from_panes(df: DataFrame, window: str, slide: str, ts: str, key: str) -> Da
 def mean_by_hour(df: DataFrame, value: str = "speed", ts: str = "timestamp") -> DataFrame:
     """AGG-2: mean of a column for each hour of the day."""
     return df.groupBy(F.hour(ts).alias("hour")).agg(F.avg(value).alias("mean_" + value))
+
+
+def rollup_aggregate(df: DataFrame, levels: Sequence[str], ts: str = "timestamp") -> DataFrame:
+    """AGG-1 at several levels at once: averages, totals and counts for ``levels`` and every shorter prefix of them.
+
+    ``hour`` among the levels is the hour of ``ts``. Levels rolled up are null; ``grouping_id`` tells them from missing
+    values (a bit per level, the last level lowest, set where it is rolled up). Rows are aggregated once at the finest level;
+    only those sums are copied per level.
+    """
+    if "hour" in levels and "hour" not in df.columns:
+        df = df.withColumn("hour", F.date_trunc("hour", ts))
+    fine = df.groupBy(*levels).agg(
+        F.sum(F.col("speed").cast("double")).alias("_speed"), F.count("speed").alias("_speeds"), F.sum("vehicle_count").alias("_vehicles"),
+        F.sum(F.col("occupancy").cast("double")).alias("_occupancy"), F.count("occupancy").alias("_occupancies"), F.count("*").alias("_records"),
+    )
+    return fine.rollup(*levels).agg(
+        F.grouping_id().alias("grouping_id"),
+        F.try_divide(F.sum("_speed"), F.sum("_speeds")).alias("avg_speed"),
+        F.sum("_vehicles").alias("total_vehicles"),
+        F.try_divide(F.sum("_occupancy"), F.sum("_occupancies")).alias("avg_occupancy"),
+        F.sum("_records").alias("record_count"),
+    )

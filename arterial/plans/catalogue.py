@@ -6,6 +6,7 @@ values are large), so that engines that add in another order agree.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -56,6 +57,12 @@ def agg1_sliding(spark, sf):
     return rounded(windows.window_aggregate(views.readings(spark, sf)))
 
 
+@query
+def agg1_rollup(spark, sf):
+    """By type, sensor and hour, and all of them rolled up from the right."""
+    return rounded(windows.rollup_aggregate(views.readings(spark, sf), ["sensor_type", "sensor_id", "hour"]), 9)
+
+
 @query
 def agg1_tumbling(spark, sf):
     return rounded(windows.window_aggregate(views.readings(spark, sf), "1 hour", None))
@@ -250,6 +257,19 @@ def val4_quarantine(spark, sf):
     )
 
 
+@query
+def val4_stream(spark, sf):
+    """The same rules on a stream that is stopped and started again: valid rows to one sink, the others to a second one."""
+    good, bad = scratch_path(spark, "val4-good"), scratch_path(spark, "val4-bad")
+    rules = {"min_ts": datetime(2024, 1, 5), "max_ts": datetime(2024, 1, 25), "now": datetime(2024, 1, 20)}
+    for stream in _arriving(spark, sf, "val4-in", [F.col("event_id") % 2 == part for part in range(2)]):
+        stream = stream.withColumn("latitude", F.when(F.col("event_id") % 37 == 0, 95.0).otherwise(F.col("latitude")))
+        stream_sinks.write_validated(stream, good, bad, trigger=NOW, **rules).awaitTermination()
+    return spark.read.parquet(good).select("event_id", F.lit("").alias("errors")).unionByName(
+        spark.read.parquet(bad).select("event_id", F.array_join("errors", ",").alias("errors"))
+    )
+
+
 def _uncapped(spark, sf) -> DataFrame:
     """Readings with the raw measurement, which has a long tail."""
     raw = views.table(spark, sf, "events").select("event_id", "value")
@@ -261,6 +281,24 @@ def out1_iqr(spark, sf):
     return quality.detect_outliers(_uncapped(spark, sf), ["value", "occupancy"]).select("event_id", "is_outlier")
 
 
+@query
+def out1_sketch(spark, sf):
+    """Quantiles of three weeks from sketches per day, held against the ranks they should have."""
+    readings = views.readings(spark, sf)
+    sketches = pin(quality.daily_sketches(readings, ["speed", "occupancy"]))
+    first, last, ranks = date(2024, 1, 5), date(2024, 1, 25), (0.25, 0.5, 0.75)
+    found = quality.merged_quantiles(sketches, ranks, first, last).select("name", F.posexplode("quantiles").alias("at", "quantile"))
+    found = found.select("name", F.array(*[F.lit(r) for r in ranks])[F.col("at")].alias("rank"), "quantile")
+    days = readings.filter(F.to_date("timestamp").between(F.lit(first), F.lit(last)))
+    values = days.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("speed", "occupancy")])).alias("p"))
+    met = values.select("p.*").filter("value is not null").join(F.broadcast(found), "name").groupBy("name", "rank").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") < F.col("quantile")).alias("below"), F.count_if(F.col("value") <= F.col("quantile")).alias("upto")
+    )
+    slack = quality.SKETCH_ERROR
+    within = (F.col("below") / F.col("n") - slack <= F.col("rank")) & (F.col("rank") <= F.col("upto") / F.col("n") + slack)
+    return met.select("name", "rank", "n", within.alias("within"))
+
+
 @query
 def out2_zscore(spark, sf):
     return quality.detect_outliers(_uncapped(spark, sf), ["value", "occupancy"], "zscore").select("event_id", "is_outlier")
@@ -400,6 +438,14 @@ def win10_sequences(spark, sf):
     return flat.select("event_id", "y", hundredths("x").alias("x"))
 
 
+@query
+def win10_blocks(spark, sf):
+    """The samples of stored blocks."""
+    blocks = sequences.sequence_blocks(views.readings(spark, sf), ["speed"], "speed", 10, 32, tiebreak="event_id")
+    out = sequences.samples(pin(blocks), 10, 32)
+    return out.withColumn("x", F.flatten("x")).select("event_id", "y", hundredths("x").alias("x"))
+
+
 @query
 def win11_blocks(spark, sf):
     out = sequences.block_sequences(views.readings(spark, sf), ["speed"], "speed", 10, tiebreak="event_id")
@@ -530,6 +576,21 @@ def agg5_history(spark, sf):
     return rounded(average.unionByName(metrics.latest_metrics(history).withColumn("kind", F.lit("latest"))), 4)
 
 
+@query
+def agg5_store(spark, sf):
+    """Three appends, the second of them repeated, then a new run with one."""
+    store = metrics.MetricStore(spark, scratch_path(spark, "metrics"))
+    of = lambda sensor: metrics.error_metrics(views.forecasts(spark, sf).filter(F.col("sensor_id") == sensor))
+    for sensor, attempt in (("A", "first"), ("N", "second"), ("N", "second"), ("R", "third")):
+        store.append(of(sensor), attempt)
+    store.reset()
+    store.append(of("A"), "first")
+    parts = [store.average(0).withColumn("kind", F.lit("average")), store.latest(0).withColumn("kind", F.lit("latest")),
+             store.average().withColumn("kind", F.lit("average"))]
+    counts = store.history(0).unionByName(store.history()).groupBy("run_id").agg(F.countDistinct("seq").alias("updates"))
+    return rounded(files.union_all(parts).join(counts, "run_id"), 4)
+
+
 @query
 def str3_summary(spark, sf):
     return metrics.metrics_summary(metrics.average_metrics(_history(spark, sf)))
@@ -592,6 +653,29 @@ def sig1_timing(spark, sf):
     return signals.timing_rows(signals.signal_timing(flows))
 
 
+def _patchy_flow(spark, sf) -> DataFrame:
+    """Flows that are missing at some approaches, and some rows without an approach."""
+    flow = F.when((F.col("intersection_id") % 7 == 0) & (F.col("approach") == "north"), F.lit(None)).otherwise(F.col("flow"))
+    approach = F.when((F.col("intersection_id") % 11 == 0) & (F.col("approach") == "south"), F.lit(None)).otherwise(F.col("approach"))
+    return views.intersection_flow(spark, sf).select("intersection_id", approach.alias("approach"), flow.alias("flow"))
+
+
+@query
+def sig1_missing(spark, sf):
+    flows = _patchy_flow(spark, sf).withColumn("has_timing", F.col("intersection_id") % 2 == 0)
+    return signals.timing_rows(signals.signal_timing(flows))
+
+
+@query
+def sig3_missing(spark, sf):
+    """From maps with missing flows, empty maps and missing maps."""
+    named = _patchy_flow(spark, sf).filter("approach is not null")
+    maps = named.groupBy("intersection_id").agg(F.map_from_entries(F.collect_list(F.struct("approach", "flow"))).alias("traffic_flows"))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+    holes = F.when(F.col("intersection_id") % 13 == 0, F.lit(None)).when(F.col("intersection_id") % 17 == 0, none).otherwise(F.col("traffic_flows"))
+    return signals.timing_rows(signals.signal_timing(signals.explode_flows(maps.withColumn("traffic_flows", holes))))
+
+
 @query
 def sig2_default(spark, sf):
     timings = signals.signal_timing(views.intersection_flow(spark, sf))
@@ -1320,6 +1404,28 @@ def stm6_updates(spark, sf):
     return rounded(stream_sinks.read_updates(spark, path, ["window_start", "window_end", "location_id"]))
 
 
+@query
+def stm6_compacted(spark, sf):
+    """STM-6: a batch per three days, merged into the base after every third batch."""
+    events = views.table(spark, sf, "events")
+    folder, path = scratch_path(spark, "stm6c-in"), scratch_path(spark, "stm6c")
+    for days in range(1, 32, 3):
+        events.filter(F.dayofmonth("ts").between(days, days + 2)).coalesce(1).write.mode("append").parquet(folder)
+    stream = views.readings_of(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder))
+    keys = ["window_start", "window_end", "location_id"]
+    stream_sinks.write_updates(stream_queries.process_stream(stream, "1 hour", None), path, trigger=NOW, keys=keys, compact_every=3).awaitTermination()
+    return rounded(stream_sinks.read_updates(spark, path, keys))
+
+
+@query
+def snk4_memory(spark, sf):
+    """SNK-4: a stream into a table of the session."""
+    name = f"memory_{uuid.uuid4().hex}"
+    stream = views.readings_of(_event_stream(spark, sf)).select("event_id", "speed")
+    stream_sinks.write_sink(stream, "memory", {"table_name": name}, trigger=NOW).awaitTermination()
+    return spark.table(name)
+
+
 @query
 def stm5_late(spark, sf):
     """STM-5: rows that arrive behind the watermark change no window."""

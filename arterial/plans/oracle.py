@@ -50,6 +50,10 @@ SQL["agg1_sliding"] = with_views("readings", more="""steps as (
   from readings, (select unnest([0, 1, 2, 3, 4]) as i))""") + f"""
 select window_start, window_start + interval 5 minutes as window_end, {_WINDOW_COLUMNS}
 from steps group by window_start, sensor_id"""
+SQL["agg1_rollup"] = with_views("readings", more="h as (select *, date_trunc('hour', timestamp) as hour from readings)") + """
+select sensor_type, sensor_id, hour, cast(grouping(sensor_type, sensor_id, hour) as bigint) as grouping_id, round(avg(speed), 9) as avg_speed,
+  cast(sum(vehicle_count) as bigint) as total_vehicles, round(avg(occupancy), 9) as avg_occupancy, count(*) as record_count
+from h group by rollup (sensor_type, sensor_id, hour)"""
 SQL["agg1_tumbling"] = with_views("readings") + f"""
 select date_trunc('hour', timestamp) as window_start, date_trunc('hour', timestamp) + interval 1 hour as window_end, {_WINDOW_COLUMNS}
 from readings group by 1, 2, sensor_id"""
@@ -197,6 +201,12 @@ select event_id, concat_ws(',',
 from readings"""
 
 
+SQL["val4_stream"] = SQL["val4_quarantine"]
+SQL["out1_sketch"] = with_views("readings", more="""d as (select * from readings where cast(timestamp as date) between date '2024-01-05' and date '2024-01-25'),
+c as (select 'speed' as name, count(speed) as n from d union all select 'occupancy', count(occupancy) from d)""") + """
+select name, cast(rank as double) as rank, n, true as within from c, (select unnest([0.25, 0.5, 0.75]) as rank)"""
+
+
 def _quartiles(column: str) -> str:
     return f"quantile_cont({column}, 0.25) as {column}_q1, quantile_cont({column}, 0.75) as {column}_q3"
 
@@ -313,6 +323,7 @@ SQL["win9_stops_rows"] = _stops("reference", "minutes")
 SQL["win10_sequences"] = with_views("readings", more=f"""s as (
   select event_id, speed as y, list(cast(round(speed * 100) as bigint)) over ({SERIES} rows between 10 preceding and 1 preceding) as x
   from readings)""") + "select event_id, y, array_to_string(x, ',') as x from s where len(x) = 10"
+SQL["win10_blocks"] = SQL["win10_sequences"]
 SQL["win11_blocks"] = with_views("readings", more=f"""n as (
   select sensor_id, speed, row_number() over ({SERIES}) as rn from readings)""") + """
 select sensor_id, cast((rn - 1) // 10 as bigint) as block, arg_min(speed, rn) as y,
@@ -398,6 +409,10 @@ SQL["agg5_history"] = with_views("forecasts", more=_HISTORY) + """
 select 'run' as run_id, metric, 'average' as kind, round(avg(value), 4) as value from long group by metric
 union all
 select 'run', metric, 'latest', round(arg_max(value, sensor_id), 4) from long group by metric"""
+SQL["agg5_store"] = with_views("forecasts", more=_HISTORY) + """
+select 'run-0' as run_id, metric, 'average' as kind, round(avg(value), 4) as value, cast(3 as bigint) as updates from long group by metric
+union all select 'run-0', metric, 'latest', round(value, 4), 3 from long where sensor_id = 'R'
+union all select 'run-1', metric, 'average', round(value, 4), 1 from long where sensor_id = 'A'"""
 SQL["str3_summary"] = with_views("forecasts", more=_HISTORY) + """
 , m as (select metric, avg(value) as v, list_position(['mae', 'rmse', 'mape', 'r2', 'mse'], metric) as o from long group by metric)
 select 'run' as run_id, 'Metrics Summary:' || chr(10) || repeat('-', 50) || chr(10) || string_agg(
@@ -449,6 +464,21 @@ SQL["sig3_maps"] = with_views("intersection_flow", more=_TIMING) + """
 select intersection_id, min(cycle_time) as cycle_time, case when bool_or(idle) then 'maintain' else 'implement' end as recommendation,
   max(case when approach = 'north' then green end) as north_green, cast(count(*) as int) as approaches
 from timing group by intersection_id"""
+
+
+def _patched(sql: str, flow: str) -> str:
+    """The same query over flows with holes; ``flow`` is what counts at an approach that has a name."""
+    plain = f"intersection_flow as ({CTE['intersection_flow']})"
+    holes = f"select intersection_id, approach, cast({flow} as double) as flow from all_flow where not (intersection_id % 11 = 0 and approach = 'south')"
+    return sql.replace(plain, f"all_{plain.removeprefix('intersection_')},\nintersection_flow as ({holes})")
+
+
+_HOLES = "intersection_id % 7 = 0 and approach = 'north'"
+SQL["sig1_missing"] = _patched(SQL["sig1_timing"], f"case when {_HOLES} then 0 else flow end")
+SQL["sig3_missing"] = _patched(
+    with_views("intersection_flow", more=_TIMING), f"case when ({_HOLES}) or intersection_id % 13 = 0 or intersection_id % 17 = 0 then 0 else flow end"
+) + """
+select intersection_id, approach, cycle_time, green, yellow, red, case when idle then 'maintain' else 'implement' end as recommendation from timing"""
 SQL["sig4_delay"] = with_views("intersection_flow", more=_TIMING + """,
 c as (select intersection_id, cast(80 + intersection_id % 41 as double) as now, cast(min(cycle_time) as double) as new from timing group by 1)""") + """
 select intersection_id, now as current_cycle_time, new as optimized_cycle_time, now - new as cycle_reduction_seconds,
@@ -727,4 +757,6 @@ SQL["stm6_updates"] = SQL["agg1_tumbling"]
 SQL["stm5_late"] = SQL["agg1_tumbling"].replace(
     "from readings", "from readings where not (event_id % 50 = 0 and timestamp < timestamp '2024-01-10')"
 )
+SQL["stm6_compacted"] = SQL["agg1_tumbling"]
+SQL["snk4_memory"] = SQL["stm6_restart"]
 SQL["snk2_records"] = with_views("readings") + "select sensor_id as key, event_id, speed, timestamp from readings"
