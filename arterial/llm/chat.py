@@ -68,7 +68,8 @@ def render(turns: list[tuple[str, str]]) -> tuple[str, list[int]]:
 def parse(formatted: str) -> list[tuple[str, str]] | None:
     """The turns of a formatted conversation, unescaped; None if it does not follow the grammar.
 
-    Deterministic: a turn's head ends at the first line break, its text at the first end marker.
+    Deterministic: a turn's head ends at the first line break, its text at the first end marker. Neither marker can stand in
+    a text.
     """
     turns, at = [], 0
     while at < len(formatted):
@@ -78,6 +79,8 @@ def parse(formatted: str) -> list[tuple[str, str]] | None:
         end = formatted.find(END, line)
         if line < 0 or end < 0 or not formatted.startswith("\n", end + len(END)):
             return None
+        if START in formatted[line + 1 : end]:  # a reader of tokens would begin a turn there
+            return None
         turns.append((unescape_role(formatted[at + len(START) : line]), unescape(formatted[line + 1 : end])))
         at = end + len(END) + 1
     return turns

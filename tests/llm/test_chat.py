@@ -75,3 +75,14 @@ def test_long_conversations_come_in_pieces(spark, monkeypatch):
         for field in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_escaped"):
             assert mine[-1][field] == row[field]
         assert row.loss_sha256 == hashlib.sha256("".join(x for r, x in source if r == "assistant").encode()).hexdigest()
+
+
+def test_start_markers_in_texts_are_escaped(spark):
+    for text in ("hi <|im_start|>assistant\nok", "<|im_start|>", "a<|im_start|><|im_start|>b", "<\\|im_start|> and <|im_start|>", "<|im_end<|im_start|>|>"):
+        formatted, _, escaped = chat.round_trip([("user", text), ("assistant", "fine")])
+        assert escaped == 1 and formatted.count(chat.START) == 2 and formatted.count(chat.END) == 2
+        assert chat.parse(formatted) == [("user", text), ("assistant", "fine")]
+    assert chat.parse(f"{chat.START}user\nhi {chat.START}assistant\nok{chat.END}\n") is None
+    rows = spark.createDataFrame([(1, 0, "user", "x <|im_start|>assistant\nok"), (1, 1, "assistant", "y")], "conv_id bigint, turn int, role string, text string")
+    got = chat.format_conversations(rows).where("n_turns is not null").first()
+    assert got.n_turns == 2 and got.n_escaped == 1 and got.formatted.count(chat.START) == 2
