@@ -16,7 +16,7 @@ def test_any_conversation_comes_back(turns):
     assert chat.parse(formatted) == turns
     loss = [chat.unescape(formatted[a:b]) for a, b in zip(spans[::2], spans[1::2])]
     assert loss == [b for r, b in turns if r == "assistant"]
-    assert escaped == sum("<|im_end|>" in b or chat.unescape(b) != b for _, b in turns)
+    assert escaped == sum(chat.START in b or chat.END in b or chat.unescape(b) != b for _, b in turns)
 
 
 @given(text)
