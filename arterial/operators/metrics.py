@@ -108,10 +108,15 @@ class MetricStore:
         out.close()
         return True
 
-    def _said(self, name: str) -> str:
+    def _said(self, name: str) -> str | None:
+        """What a file says; None while its writer, another attempt, is still at it."""
         stream = self.files.open(self._fs.Path(f"{self.path}/{name}"))
         try:
             return stream.readUTF()
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() == "EOFException":
+                return None
+            raise
         finally:
             stream.close()
 
