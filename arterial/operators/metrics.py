@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -83,9 +84,12 @@ class MetricStore:
 
     An attempt is named by its caller. Its first append claims the next number of the run by creating a file that must not
     exist yet; a repeated append of the same name finds its claim and overwrites its own rows, so retries neither double rows
-    nor change the order. ``reset`` starts a new run and deletes nothing.
+    nor change the order. ``reset`` starts a new run and deletes nothing. Stores whose create is atomic, such as HDFS, keep
+    attempts of several drivers apart; on other disks one driver should write.
     """
 
+    _claiming = threading.Lock()
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self._fs = spark.sparkContext._jvm.org.apache.hadoop.fs
@@ -136,12 +140,13 @@ class MetricStore:
         """Add the metrics (:func:`error_metrics`) of one update; returns its number within the run."""
         run = self.run
         folder = f"_claims/run={run}"
-        names = self._names(folder)
-        number = next((int(n) for n in names if self._said(f"{folder}/{n}") == attempt), None)
-        if number is None:
-            number = len(names)
-            while not self._claim(f"{folder}/{number:010d}", attempt):
-                number += 1
+        with self._claiming:  # local disks create files in two steps
+            names = self._names(folder)
+            number = next((int(n) for n in names if self._said(f"{folder}/{n}") == attempt), None)
+            if number is None:
+                number = len(names)
+                while not self._claim(f"{folder}/{number:010d}", attempt):
+                    number += 1
         rows = metric_rows(metrics, f"run-{run}", number)
         rows.write.mode("overwrite").parquet(f"{self.path}/run={run}/seq_number={number}")
         return number
