@@ -256,10 +256,14 @@ class _State:
         listed = self.lists.join(groups, ["group", "n"])
         mixed = listed.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo <> hi").select("token")
         listed = listed.join(mixed, "token")
-        one = listed.select("token", F.col("group").alias("g"), F.col("n").alias("n_g"), F.col("low").alias("low_g"), F.col("high").alias("high_g"))
-        two = listed.select("token", F.col("group").alias("h"), F.col("n").alias("n_h"), F.col("low").alias("low_h"), F.col("high").alias("high_h"))
+        # the first shingle two sets share, in the order of all, has behind it what else they share: a pair is left to the lists
+        # in which enough stands behind the shingle on both sides, and its first one is among them
+        listed = listed.withColumn("rest", F.col("n") - F.col("place"))
+        side = lambda x: [F.col("group").alias(x), F.col("n").alias("n_" + x), F.col("low").alias("low_" + x), F.col("high").alias("high_" + x), F.col("rest").alias("rest_" + x)]
+        one, two = listed.select("token", *side("g")), listed.select("token", *side("h"))
         apart = (F.least("low_g", "low_h") != F.greatest("high_g", "high_h")) & (F.col("g") < F.col("h"))
-        pairs = one.join(two, "token").where(apart & _close("n_g", "n_h", self.percent)).select("g", "n_g", "h", "n_h")
+        enough = F.least("rest_g", "rest_h") * (100 + self.percent) >= (F.col("n_g") + F.col("n_h")) * self.percent
+        pairs = one.join(two, "token").where(apart & enough & _close("n_g", "n_h", self.percent)).select("g", "n_g", "h", "n_h")
         inner = groups.where("low <> high").select(F.col("group").alias("g"), F.col("n").alias("n_g"), F.col("group").alias("h"), F.col("n").alias("n_h"))
         pairs = pairs.unionByName(inner).distinct()
         of_g = placed.select(F.col("group").alias("g"), F.col("n").alias("n_g"), F.col("digest").alias("a"), F.col("comp").alias("comp_a"))
@@ -287,7 +291,7 @@ def link_documents(
         F.first("n_shingles").alias("n"), F.first("group").alias("group"), F.min(id_col).alias("lowest"), F.count(F.lit(1)).alias("copies"),
         F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"),
     ))
-    postings = classes.select(F.explode("prefix").alias("token"), "group", "n")
+    postings = classes.select(F.posexplode("prefix").alias("place", "token"), "group", "n")
     # lists with at least two groups whose sizes are close: equal or neighbouring classes of the size's logarithm
     magnitude = F.floor(F.log(F.col("n").cast("double")) / (-1.0001 * math.log(percent / 100)) if percent < 100 else F.col("n")).cast("int")
     shared = postings.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("token")
@@ -295,7 +299,7 @@ def link_documents(
     sizes = listed.groupBy("token", "size").agg(F.count(F.lit(1)).alias("own"))
     near = sizes.select("token", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"), "own")
     near = near.groupBy("token", "size").agg(F.sum("own").alias("groups")).where("groups > 1").select("token", "size")
-    lists = pin(listed.join(near, ["token", "size"]).select("token", "group", "n"))
+    lists = pin(listed.join(near, ["token", "size"]).select("token", "group", "n", "place"))
     # classes that can link: in such a list, or in a group with others
     crowded = classes.groupBy("group", "n").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("group", "n")
     able = lists.select("group", "n").unionByName(crowded).distinct()
