@@ -230,4 +230,4 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 def identify(docs: DataFrame, model: Crf, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """``docs`` (columns ``keep``, default all) with lang_pred and score (the language's share of the words, 0 to 1)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** 16 weights per language, whatever the data
-    return tx.annotate(docs, lambda b: shared.value.predict(b, text_col), FIELDS, docs.columns if keep is None else keep, [text_col], 8 << 20)
+    return tx.annotate(docs, lambda b: shared.value.predict(b, text_col), FIELDS, docs.columns if keep is None else keep, [text_col])
