@@ -4,7 +4,9 @@
 2. In one order of all shingles (those of rare words first, known frequent shingles last, else by hash), two sets with a Jaccard similarity of at least t share
    a shingle among the first ``size - ceil(t * size) + 1`` of each: the prefix. Classes with equal prefix and size form a
    group, and only groups that share a prefix shingle and whose sizes are close enough are paired.
-3. Group pairs are expanded to classes, those whose parity sketches prove them too different go, and the others are
+   A group also knows which bits of a short parity sketch all of its classes have and which none has; pairs of groups
+   that these bits prove too different go before they are emitted.
+3. Group pairs are expanded to classes, those whose whole parity sketches prove them too different go, and the others are
    verified on their whole sets. Sets are kept for classes only that have a close enough size in a shared list.
 
 Only components are wanted, so pairs inside a component need no check. A few rounds compare every class of a posting
@@ -38,6 +40,7 @@ LOCAL_MIN = 4  # texts of one slice that must hold a shingle for it to be counte
 LEADER_ROUNDS = 3
 BROADCAST_ROWS = 500_000
 
+FOLDS = 4  # longs of the short parity sketch that group pairs are filtered on
 SKETCH_BITS = (1024, 1 << 17)  # fewest and most parity bits of a set; in between, as many as it has elements or more
 _BASE_FIELDS = "n_shingles bigint, digest binary, sketch array<bigint>, group bigint, prefix array<bigint>"
 
@@ -174,6 +177,22 @@ def _folded(sketch: str, words: Column) -> Column:
     return F.when(F.size(sketch) > words, both).otherwise(F.col(sketch))
 
 
+def _fold(sketch: str, k: int) -> Column:
+    """Long ``k`` of the sketch folded to ``FOLDS`` longs."""
+    own = F.filter(sketch, lambda _, i: i % FOLDS == k)
+    return F.aggregate(own, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(x))
+
+
+def _bits_apart(g: str, h: str) -> Column:
+    """Bits of the short sketch in which every class of group ``g`` differs from every class of group ``h``."""
+    found = F.lit(0)
+    for k in range(FOLDS):
+        all_g, any_g, all_h, any_h = (F.col(f"{x}{k}_{y}") for y in (g, h) for x in ("all", "any"))
+        one_side = all_g.bitwiseAND(F.bitwise_not(any_h)).bitwiseOR(all_h.bitwiseAND(F.bitwise_not(any_g)))
+        found = found + F.bit_count(one_side)
+    return found
+
+
 def _close(a: str, b: str, percent: int):
     """Sizes whose sets can be similar enough."""
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
@@ -185,15 +204,16 @@ class _State:
     def __init__(self, classes: DataFrame, lists: DataFrame, sets: DataFrame, percent: int):
         self.classes, self.lists, self.sets, self.percent = classes.drop("sketch"), lists, sets, percent
         self.sketches = classes.select("digest", "n", "sketch")
+        self.folds = [f"fold{k}" for k in range(FOLDS)]
         self.links: DataFrame | None = None
         self.component: DataFrame | None = None
 
     def placed(self) -> DataFrame:
-        """(digest, group, n, comp)."""
+        """(digest, group, n, folded sketch, comp)."""
         if self.component is None:
             return self.classes.withColumn("comp", F.col("digest"))
         known = self.component.select(F.col("node").alias("digest"), F.col("component").alias("known"))
-        return self.classes.join(known, "digest", "left").select("digest", "group", "n", F.coalesce("known", "digest").alias("comp"))
+        return self.classes.join(known, "digest", "left").select(*self.classes.columns, F.coalesce("known", "digest").alias("comp"))
 
     def verify(self, pairs: DataFrame) -> bool:
         """Keep the pairs (a, b) whose sets are similar enough as links; whether there were any."""
@@ -252,18 +272,21 @@ class _State:
     def last_round(self) -> None:
         """Expand and verify every pair of groups (or of classes in a group) that spans components."""
         placed = pin(self.placed())
-        groups = pin(self.groups(placed, 0).select("group", "n", "low", "high"))
+        shared = [f(fold).alias(f"{x}{k}") for k, fold in enumerate(self.folds) for x, f in (("all", F.bit_and), ("any", F.bit_or))]
+        groups = pin(placed.groupBy("group", "n").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *shared))
         listed = self.lists.join(groups, ["group", "n"])
         mixed = listed.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo <> hi").select("token")
         listed = listed.join(mixed, "token")
         # the first shingle two sets share, in the order of all, has behind it what else they share: a pair is left to the lists
         # in which enough stands behind the shingle on both sides, and its first one is among them
         listed = listed.withColumn("rest", F.col("n") - F.col("place"))
-        side = lambda x: [F.col("group").alias(x), F.col("n").alias("n_" + x), F.col("low").alias("low_" + x), F.col("high").alias("high_" + x), F.col("rest").alias("rest_" + x)]
+        told = ["n", "low", "high", "rest", *(f"{x}{k}" for k in range(FOLDS) for x in ("all", "any"))]
+        side = lambda x: [F.col("group").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in told)]
         one, two = listed.select("token", *side("g")), listed.select("token", *side("h"))
         apart = (F.least("low_g", "low_h") != F.greatest("high_g", "high_h")) & (F.col("g") < F.col("h"))
         enough = F.least("rest_g", "rest_h") * (100 + self.percent) >= (F.col("n_g") + F.col("n_h")) * self.percent
-        pairs = one.join(two, "token").where(apart & enough & _close("n_g", "n_h", self.percent)).select("g", "n_g", "h", "n_h")
+        likely = _bits_apart("g", "h") * (100 + self.percent) <= (F.col("n_g") + F.col("n_h")) * (100 - self.percent)
+        pairs = one.join(two, "token").where(apart & enough & _close("n_g", "n_h", self.percent) & likely).select("g", "n_g", "h", "n_h")
         inner = groups.where("low <> high").select(F.col("group").alias("g"), F.col("n").alias("n_g"), F.col("group").alias("h"), F.col("n").alias("n_h"))
         pairs = pairs.unionByName(inner).distinct()
         of_g = placed.select(F.col("group").alias("g"), F.col("n").alias("n_g"), F.col("digest").alias("a"), F.col("comp").alias("comp_a"))
@@ -303,7 +326,8 @@ def link_documents(
     # classes that can link: in such a list, or in a group with others
     crowded = classes.groupBy("group", "n").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("group", "n")
     able = lists.select("group", "n").unionByName(crowded).distinct()
-    active = pin(classes.join(able, ["group", "n"]).select("digest", "group", "n", "sketch", "lowest"))
+    folds = [_fold("sketch", k).alias(f"fold{k}") for k in range(FOLDS)]
+    active = pin(classes.join(able, ["group", "n"]).select("digest", "group", "n", "sketch", "lowest", *folds))
     component = None
     links = None
     if not active.isEmpty():
