@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arterial.llm import text as tx
@@ -204,16 +204,6 @@ class Crf:
         }
 
 
-def _spread(text_col: str) -> Column:
-    """The text, or of a long one ``SAMPLE_PIECES`` pieces at equal distances, without the words they cut."""
-    size = SAMPLE_CHARS // SAMPLE_PIECES
-    step = (F.length(text_col) - size) / (SAMPLE_PIECES - 1)
-    piece = lambda k: F.substr(text_col, (F.floor(step * k) + 1).cast("int"), F.lit(size))
-    whole = lambda p: F.regexp_replace(F.regexp_replace(p, r"^\S*\s+", ""), r"\s+\S*$", "")
-    pieces = F.concat_ws(" ", *[whole(piece(k)) for k in range(SAMPLE_PIECES)])
-    return F.when(F.length(text_col) <= SAMPLE_CHARS, F.col(text_col)).otherwise(pieces)
-
-
 def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = SAMPLE_ROWS) -> Crf:
     """Fit on at most about ``per_language`` labelled training texts per language (``SAMPLE_CHARS`` at most of each).
 
@@ -223,7 +213,7 @@ def fit_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         (tx.crc_remainder(F.col(id_col), HOLD_OUT) != 0) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
     )
     sample, counts = tx.bounded_sample(usable, id_col, lang_col, per_language)
-    texts = sorted((r[0], r[1]) for r in sample.select(_spread(text_col), lang_col).collect())
+    texts = sorted((r[0], r[1]) for r in sample.select(tx.spread(text_col, SAMPLE_CHARS, SAMPLE_PIECES), lang_col).collect())
     return Crf(sorted(counts)).fit(texts)
 
 

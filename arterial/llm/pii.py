@@ -2,7 +2,7 @@
 
 Candidates are the base matches and other strings that look a little like them (digit groups, anything with an @). The
 field has a node for each, labelled email, ip, card, phone or none. Neighbours share chain potentials; equal or similar
-candidates (same digits; same address up to case or a cut-off domain), however far apart, share skip potentials. Base
+candidates (same digits, or the same last nine of a phone number; same address up to case or a cut-off domain), however far apart, share skip potentials. Base
 matches are observed; loopy message passing decides the others, so "1 559 555 3817" becomes a phone number in a document
 that also has "+1 (559) 555-3817", and stays unlabelled elsewhere.
 
@@ -26,7 +26,8 @@ from arterial.llm import text as tx
 KINDS = ("email", "ip", "card", "phone")
 FIELDS = "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint"
 SAMPLE_ROWS = 3000  # documents with candidates that the weights are fitted on
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS, SAMPLE_PIECES = 20_000, 10
+PHONE_TAIL = 9  # digits that a number has in common with and without its country or trunk prefix
 # what a candidate's own looks say against a label, in natural log-odds: more than its neighbours can say for it, and less
 # than an equal candidate can
 UNMATCHED = (2.5, 3.5)
@@ -39,6 +40,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOOSE = re.compile(r"\(?[0-9][ ().0-9-]+[0-9]")
+_QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _DIGITS = re.compile(r"[^0-9]")
 
 
@@ -132,7 +134,8 @@ class Candidates:
             if "@" in value:
                 yield value.split("@")[0].lower() + "@"
             else:
-                yield _DIGITS.sub("", value)
+                digits = _DIGITS.sub("", value)
+                yield digits[-PHONE_TAIL:] if len(digits) <= 15 and not _QUAD.fullmatch(value) else digits
 
     def edges(self) -> tuple[np.ndarray, np.ndarray]:
         """(chain, skip) edges. Equal keys are linked each to the one before and to the first, never all to all."""
@@ -263,10 +266,10 @@ def _annotated(batch: pa.RecordBatch, column: str, model: SkipChainCrf, masked:
 
 
 def fit_pii(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rows: int = SAMPLE_ROWS) -> SkipChainCrf:
-    """Fit on about ``rows`` documents (of at most ``SAMPLE_CHARS``) that hold a digit or an @, chosen by their id."""
-    usable = docs.select(id_col, text_col).where(F.col(text_col).rlike("[0-9@]") & (F.length(text_col) <= SAMPLE_CHARS))
+    """Fit on about ``rows`` documents that hold a digit or an @, chosen by their id (``SAMPLE_CHARS`` of a long one, in pieces)."""
+    usable = docs.select(id_col, text_col).where(F.col(text_col).rlike("[0-9@]"))
     sample, _ = tx.bounded_sample(usable.withColumn("one", F.lit(1)), id_col, "one", rows)
-    texts = sorted(r[0] for r in sample.select(text_col).collect())
+    texts = sorted(r[0] for r in sample.select(tx.spread(text_col, SAMPLE_CHARS, SAMPLE_PIECES)).collect())
     return SkipChainCrf().fit([Candidates(t, base_spans(t)) for t in texts])
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,16 @@ def bounded_sample(df: DataFrame, id_col: str, label_col: str, per_label: int) -
     return df.where(chosen), counts
 
 
+def spread(text_col: str, chars: int, pieces: int) -> Column:
+    """The text, or of a long one ``pieces`` pieces at equal distances, ``chars`` in all, without the words they cut."""
+    size = chars // pieces
+    step = (F.length(text_col) - size) / (pieces - 1)
+    piece = lambda k: F.substr(text_col, (F.floor(step * k) + 1).cast("int"), F.lit(size))
+    whole = lambda p: F.regexp_replace(F.regexp_replace(p, r"^\S*\s+", ""), r"\s+\S*$", "")
+    joined = F.concat_ws(" ", *[whole(piece(k)) for k in range(pieces)])
+    return F.when(F.length(text_col) <= chars, F.col(text_col)).otherwise(joined)
+
+
 def annotate(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], dict[str, pa.Array]],

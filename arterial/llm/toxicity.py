@@ -25,7 +25,7 @@ from arterial.llm import text as tx
 
 HOLD_OUT = 5
 SAMPLE_ROWS = 2500  # labelled texts per label that the lexicon is fitted on
-SAMPLE_CHARS = 30_000
+SAMPLE_CHARS, SAMPLE_PIECES = 30_000, 10
 FIELDS = "score double, predicted int, matches array<string>"
 
 # fixed values: characters that imitate Latin letters, and signs that replace them inside words
@@ -177,12 +177,12 @@ def fit_lexicon(
     docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic",
     per_label: int = SAMPLE_ROWS,
 ) -> Lexicon:
-    """Fit on about ``per_label`` labelled training texts (of at most ``SAMPLE_CHARS``) per label, chosen by their id."""
+    """Fit on about ``per_label`` labelled training texts per label, chosen by their id (``SAMPLE_CHARS`` of a long one, in pieces)."""
     usable = labels.select(id_col, label_col).where(
         (tx.crc_remainder(F.col(id_col), HOLD_OUT) != 0) & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()
     ).groupBy(id_col).agg(F.max(label_col).alias("_label"))
     sample, counts = tx.bounded_sample(usable, id_col, "_label", per_label)
-    texts = docs.select(id_col, text_col).where(F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
+    texts = docs.select(id_col, tx.spread(text_col, SAMPLE_CHARS, SAMPLE_PIECES).alias(text_col)).where(F.col(text_col).isNotNull())
     rows = texts.join(F.broadcast(sample), id_col).select(text_col, "_label").collect()  # about two rows per ``per_label``
     return Lexicon().fit(sorted((r[0], int(r[1])) for r in rows), {int(k): v for k, v in counts.items()})
 

@@ -1,8 +1,11 @@
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from arterial.llm import pii
 
 PATTERNS = [
@@ -62,6 +65,46 @@ def test_equal_and_similar_candidates_take_the_observed_label(spark):
     assert pii.redact(text, spans).count("<PHONE>") == 2 and "3817" not in pii.redact(text, spans)
 
 
+def test_numbers_with_and_without_prefix_are_linked():
+    model = pii.SkipChainCrf().fit([])
+    for full, short in (("+1 (559) 555-3817", "(559) 555-3817"), ("+44 20 7946 0958", "020 7946 0958"), ("+49 30 123-4567", "030 1234567")):
+        text = f"Call {full}. " + "words " * 100 + f"Or {short}; order 5595553818 and 10.55.95.38.17 stay."
+        base, spans = model.spans(text)
+        assert {text[s:e] for _, s, e in set(spans) - set(base)} == {short}, full
+
+
+def test_messages_give_exact_marginals_on_a_tree():
+    """Four candidates in a path of two skip edges and a chain edge, held against the sum over all labellings."""
+    rnd = np.random.default_rng(3)
+    far = " words" * 20
+    text = f"+1 (559) 555-3817{far} 1 559 555 3817, ann@mail{far} Ann@mail"
+    found = pii.Candidates(text, pii.base_spans(text))
+    model = pii.SkipChainCrf()
+    model.node, model.chain = rnd.normal(size=model.node.shape), rnd.normal(size=model.chain.shape)
+    model.skip = np.eye(model.size) * 3.0
+    chain, skip = found.edges()
+    assert chain.tolist() == [[1, 2]] and skip.tolist() == [[0, 1], [2, 3]]
+    against = found.features @ model.node
+    against = np.clip(against[:, -1:] - against, *pii.UNMATCHED)
+    against[:, -1] = 0
+    node = np.exp(-against)
+    node[found.labels >= 0] = np.eye(model.size)[found.labels[found.labels >= 0]]
+    exact = np.zeros((4, model.size))
+    for labels in itertools.product(range(model.size), repeat=4):
+        weight = np.prod(node[range(4), labels])
+        weight *= np.exp(model.chain[labels[1], labels[2]] + model.skip[labels[0], labels[1]] + model.skip[labels[2], labels[3]])
+        exact[range(4), labels] += weight
+    assert np.abs(model.infer(found, sweeps=40) - exact / exact.sum(axis=1, keepdims=True)).max() < 1e-6
+    assert np.abs(model.infer(found) - exact / exact.sum(axis=1, keepdims=True)).max() < 0.01
+
+
+def test_long_texts_reach_the_fit(spark):
+    phone = "+1 (559) 555-38{:02d}"
+    docs = [(i, " ".join(["words stand here"] * 2000 + [phone.format(i)] + ["and there"] * 3000 + [f"m{i}@mail.example.com"] * 2000)) for i in range(6)]
+    model = pii.fit_pii(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert np.abs(model.node).sum() > 0
+
+
 def test_query_matches_patterns(spark):
     from arterial.llm.queries import op6_pii
 
