@@ -100,14 +100,8 @@ WITH u AS (
       WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
       WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
   FROM s
-), k AS (
-  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS own,
-         regexp_replace(host, '^www\.', '') || regexp_replace(regexp_replace(path, '/index\.html?$', '/'), '/+$', '') ||
-         CASE WHEN q <> '' THEN '?' || q ELSE '' END AS spelling
-  FROM (SELECT *, regexp_replace(regexp_replace(regexp_extract(url, '\?([^#]*)', 1), '(^|&)(utm_[a-z]+|fbclid|gclid|ref)=[^&#]*', '', 'g'), '^&', '') AS q FROM r)
-), c AS (SELECT spelling, bool_or(own = 'allow') AS allowed, bool_or(own = 'block') AS blocked FROM k WHERE host <> '' GROUP BY spelling)
-SELECT page_id, host, path, rule, coalesce(own, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
-FROM k LEFT JOIN c ON k.spelling = c.spelling AND k.host <> ''
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') OR rule IS NULL THEN 'allow' ELSE 'block' END AS verdict FROM r
 """
 # canonical links and refresh targets would need a recursive query over html; the test tables hold none (tests/llm covers them)
 

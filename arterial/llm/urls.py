@@ -1,8 +1,8 @@
 """URL filters with redirect equivalence.
 
 Explicit rules judge a url by host and path. Urls that are aliases of each other form a class: a page and its canonical
-link or refresh target, and spellings that differ only in scheme, fragment, tracking parameters, a trailing slash or a
-leading www. Classes are connected components over those edges. A url without a rule of its own takes its class's
+link or refresh target, known redirects and, only with ``spellings=True``, urls that differ only in scheme, fragment, tracking
+parameters, a trailing slash or a leading www. Classes are connected components over those edges. A url without a rule of its own takes its class's
 decision: allow if an alias is explicitly allowed, else block if an alias is explicitly blocked, else allow. DataFrame
 functions only.
 
@@ -86,12 +86,16 @@ def link_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, keep: list[str] | None = None, rules=RULES) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, redirects: DataFrame | None = None, keep: list[str] | None = None, rules=RULES, spellings: bool = False
+) -> DataFrame:
     """``pages`` (url, html; columns ``keep``, default all) with host, path, rule, verdict, alias_class.
 
     ``redirects`` (url, target) adds known redirects. Only urls with an alias enter the component search; their class
-    decisions are one row per class and are joined back on the spelling, of which a class has one row.
+    decisions are one row per class and are joined back on the spelling, of which a class has one row. Without ``spellings``
+    a url's spelling is the url itself.
     """
+    spell = spelling if spellings else lambda url: url
     keep = [c for c in (pages.columns if keep is None else keep) if c not in ("host", "path", "rule", "verdict", "alias_class")]
     links = link_edges(pages)
     if redirects is not None:
@@ -101,20 +105,20 @@ def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, keep: list[
     own = rule_verdict(F.col("host"), F.col("path"), rules)
     # other columns travel in one struct, so that their names can be anything
     judged = pages.select(F.struct(*keep).alias("row"), "url", host.alias("host"), path.alias("path")).withColumn("own", own)
-    judged = judged.withColumn("spelling", F.when(F.col("host") != "", spelling(F.col("url"))))
+    judged = judged.withColumn("spelling", F.when(F.col("host") != "", spell(F.col("url"))))
     # decisions per spelling: urls of pages, and link targets that are no page here
-    targets = links.select(host_of(F.col("target")).alias("host"), path_of(F.col("target")).alias("path"), spelling(F.col("target")).alias("spelling"))
+    targets = links.select(host_of(F.col("target")).alias("host"), path_of(F.col("target")).alias("path"), spell(F.col("target")).alias("spelling"))
     named = judged.where("spelling is not null").select("spelling", "own.verdict").unionByName(
         targets.select("spelling", own["verdict"].alias("verdict"))
     )
     allowed, blocked = F.max(F.col("verdict") == "allow"), F.max(F.col("verdict") == "block")
-    spellings = named.groupBy("spelling").agg(allowed.alias("allowed"), blocked.alias("blocked"))
-    edges = links.select(spelling(F.col("url")).alias("a"), spelling(F.col("target")).alias("b")).where("a <> b")
+    decided = named.groupBy("spelling").agg(allowed.alias("allowed"), blocked.alias("blocked"))
+    edges = links.select(spell(F.col("url")).alias("a"), spell(F.col("target")).alias("b")).where("a <> b")
     if edges.isEmpty():
-        classes = spellings.select("spelling", F.col("spelling").alias("alias_class"), "allowed", "blocked")
+        classes = decided.select("spelling", F.col("spelling").alias("alias_class"), "allowed", "blocked")
     else:
         groups = components(edges).select(F.col("node").alias("spelling"), "component")
-        joined = spellings.join(groups, "spelling", "left").withColumn("alias_class", F.coalesce("component", "spelling"))
+        joined = decided.join(groups, "spelling", "left").withColumn("alias_class", F.coalesce("component", "spelling"))
         of_class = joined.groupBy("alias_class").agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked"))
         classes = joined.select("spelling", "alias_class").join(of_class, "alias_class")
     verdict = F.coalesce(

@@ -1,3 +1,4 @@
+import random
 import re
 
 from arterial.llm import urls
@@ -43,14 +44,35 @@ def test_blocks_reach_aliases_and_allow_wins(spark):
         (8, "https://www.a.net/x/?utm_source=feed#top", None), (9, "http://a.net/x?page=2", None), (9, "http://a.net/x?page=2", None),
     ]
     frame = spark.createDataFrame(pages, "page_id int, url string, html string")
-    got = {r.page_id: r for r in urls.judge_urls(frame).collect()}
+    got = {r.page_id: r for r in urls.judge_urls(frame, spellings=True).collect()}
     assert {i: r.verdict for i, r in got.items()} == {
         1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "allow", 7: "block", 8: "block", 9: "allow",
     }
     assert got[3].alias_class == got[4].alias_class and got[1].alias_class == got[8].alias_class
     known = spark.createDataFrame([("http://c.net/y", "http://bad.com/de/9"), (None, "x"), ("http://c.net/y", None)], "url string, target string")
     again = {r.page_id: r.verdict for r in urls.judge_urls(frame, redirects=known).collect()}
-    assert again[3] == again[4] == "block"
+    assert again[3] == again[4] == "block" and again[8] == "allow"  # another spelling is no alias unless asked for
+
+
+def test_redirect_table_matches_brute_force(spark):
+    """Chains, cycles, stars and strangers in a table of redirects: a class is what links reach; allow wins over block."""
+    rnd = random.Random(6)
+    hosts = ["a.net", "b.net", "bad.com/de", "ok.org", "example.org/es", "c.io"]
+    every = [f"http://{rnd.choice(hosts)}/{i}" for i in range(90)]
+    links = [(every[i], every[i + 1]) for i in range(12)] + [(every[20], every[i]) for i in range(21, 28)] + [(every[12], every[0])]
+    links += [(rnd.choice(every[40:]), rnd.choice(every[40:])) for _ in range(20)] + [(every[30], "http://away.com/de/x"), (every[31], "http://away.com/de/x")]
+    group = {u: {u} for u in [*every, "http://away.com/de/x"]}
+    for a, b in links:
+        both = group[a] | group[b]
+        for u in both:
+            group[u] = both
+    own = {u: own_rule(*split(u))[1] for u in group}
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(every)], "page_id int, url string, html string")
+    got = urls.judge_urls(pages, redirects=spark.createDataFrame(links, "url string, target string")).collect()
+    for r in got:
+        votes = {own[u] for u in group[every[r.page_id]]}
+        assert r.verdict == (own[every[r.page_id]] or ("allow" if "allow" in votes else "block" if "block" in votes else "allow")), r
+    assert len(got) == len(every) and {r.verdict for r in got} == {"allow", "block"}
 
 
 def test_empty_and_native(spark):
