@@ -31,12 +31,13 @@ FAN_OUT = 256
 _CHUNK, _HALO = "_chunk", "_halo"
 
 
-def hot_keys(df: DataFrame, by: Sequence[str], rows_per_task: int) -> DataFrame | None:
+def hot_keys(df: DataFrame, by: Sequence[str], rows_per_task: int, counts: DataFrame | None = None) -> DataFrame | None:
     """Keys with more than ``rows_per_task`` rows and their row counts, or None when there are none.
 
-    The result has at most (rows of df / rows_per_task) rows, so it may be broadcast.
+    ``counts`` (``by`` and ``_rows``) are the counts where they are known without ``df``. The result has at most (rows of df / rows_per_task) rows, so it may be broadcast.
     """
-    counts = df.groupBy(*by).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > rows_per_task)
+    counts = df.groupBy(*by).agg(F.count("*").alias("_rows")) if counts is None else counts.select(*by, "_rows")
+    counts = counts.filter(F.col("_rows") > rows_per_task)
     rows = counts.collect()
     if not rows:
         return None
@@ -65,6 +66,7 @@ class OrderedRows:
         by: Sequence[str] | str | None,
         order: Sequence[str] | str,
         rows_per_task: int | None = ROWS_PER_TASK,
+        counts: DataFrame | None = None,
     ):
         self.by = [by] if isinstance(by, str) else list(by or [])
         self.order = [order] if isinstance(order, str) else list(order)
@@ -75,12 +77,12 @@ class OrderedRows:
         if rows_per_task is None:
             return
         if not self.by:
-            total = df.count()
+            total = df.count() if counts is None else counts.agg(F.sum("_rows")).first()[0] or 0
             limit = min(rows_per_task, WHOLE_TABLE_ROWS)
             if total > limit:
                 self.plain, self.chunked = None, self._chunk(df, total, limit)
             return
-        hot = hot_keys(df, self.by, rows_per_task)
+        hot = hot_keys(df, self.by, rows_per_task, counts)
         if hot is None:
             return
         total = hot.agg(F.sum("_rows")).first()[0]

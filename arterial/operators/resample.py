@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arterial.operators.clean import numeric_columns
@@ -15,6 +15,24 @@ FILLS = ("interpolate", "forward_fill", "backward_fill", "drop")
 _POINTS = 10_000
 
 
+def _extents(df: DataFrame, freq: str, by: list[str], ts: str) -> tuple[DataFrame, Column]:
+    """First and last bucket of each key, from its raw times (two columns, combined before the shuffle), and the bucket width
+    in microseconds."""
+    width = F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {freq}"))
+    start = lambda c: F.timestamp_micros(F.unix_micros(c) - F.pmod(F.unix_micros(c), width))
+    return df.groupBy(*by).agg(start(F.min(ts)).alias("_first"), start(F.max(ts)).alias("_last")), width
+
+
+def grid_size(
+    df: DataFrame, freq: str = "1 minute", by: Sequence[str] | str | None = "vehicle_id", ts: str = "timestamp"
+) -> DataFrame:
+    """``by`` and ``_rows``: how many rows :func:`resample` gives per key, without making the grid."""
+    by = [by] if isinstance(by, str) else list(by or [])
+    ends, width = _extents(df, freq, by, ts)
+    points = F.floor((F.unix_micros("_last") - F.unix_micros("_first")) / width) + 1
+    return ends.select(*by, F.coalesce(points, F.lit(0)).alias("_rows"))
+
+
 def resample(
     df: DataFrame,
     freq: str = "1 minute",
@@ -31,10 +49,7 @@ def resample(
     bucket = F.window(ts, freq)["start"]
     means = df.groupBy(*by, bucket.alias(ts)).agg(*[F.avg(c).alias(c) for c in columns])
     step = F.expr(f"interval {freq}")
-    width = F.unix_micros(F.timestamp_micros(F.lit(0)) + step)
-    start = lambda c: F.timestamp_micros(F.unix_micros(c) - F.pmod(F.unix_micros(c), width))
-    # the extent of a key comes from its raw times: two columns, combined before the shuffle
-    ends = df.groupBy(*by).agg(start(F.min(ts)).alias("_first"), start(F.max(ts)).alias("_last"))
+    ends, _ = _extents(df, freq, by, ts)
     # blocks first, points second, so that a long history is never one array
     block = F.expr(f"interval {freq} * {_POINTS}")
     blocks = ends.select(*by, "_last", F.explode(F.sequence("_first", "_last", block)).alias("_start"))
@@ -55,11 +70,13 @@ def fill_gaps(
     ts: str = "timestamp",
     tiebreak: Sequence[str] | str = (),
     rows_per_task: int | None = ROWS_PER_TASK,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """RSM-2: fill missing values along time.
 
     Interpolation is linear in time; before the first value rows stay missing, after the last one
-    it is repeated.
+    it is repeated. ``counts`` are known row counts per key, such as :func:`grid_size` of a resampled table, which
+    otherwise would be made once more to be counted.
     """
     if method not in FILLS:
         raise ValueError(f"unknown method {method!r}, expected one of {FILLS}")
@@ -67,7 +84,7 @@ def fill_gaps(
     if method == "drop":
         return df.dropna(subset=columns)
     ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
-    ordered = OrderedRows(df, by, [ts, *ties], rows_per_task)
+    ordered = OrderedRows(df, by, [ts, *ties], rows_per_task, counts)
     if method != "interpolate":
         backward = method == "backward_fill"
         return ordered.carry({c: F.col(c) for c in columns}, backward).result()

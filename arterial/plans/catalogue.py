@@ -481,7 +481,8 @@ def _hourly(spark, sf) -> DataFrame:
 
 @query
 def rsm2_fill(spark, sf):
-    return rounded(resample.fill_gaps(_hourly(spark, sf), ["speed"], "interpolate", "sensor_id"), 9)
+    points = resample.grid_size(views.readings(spark, sf), "1 hour", "sensor_id")
+    return rounded(resample.fill_gaps(_hourly(spark, sf), ["speed"], "interpolate", "sensor_id", counts=points), 9)
 
 
 @query

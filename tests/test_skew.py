@@ -75,6 +75,19 @@ def test_split_by_key_and_fill(hot):
         same(run(None).withColumn("occupancy", F.round("occupancy", 6)), run(30).withColumn("occupancy", F.round("occupancy", 6)), ["event_id", "occupancy"])
 
 
+@pytest.mark.parametrize("by", ["sensor_id", None])
+def test_grid_sizes_are_the_counts_of_the_grid(hot, by):
+    keys = [by] if by else []
+    some = hot.withColumn("sensor_id", F.when(F.col("sensor_id") != "S1", F.col("sensor_id")))
+    hourly = resample.resample(some, "1 hour", by, columns=["speed"])
+    points = resample.grid_size(some, "1 hour", by)
+    same(hourly.groupBy(*keys).agg(F.count("*").alias("_rows")), points)
+    run = lambda n, c=None: resample.fill_gaps(hourly, ["speed"], "interpolate", by, rows_per_task=n, counts=c)
+    same(run(None).withColumn("speed", F.round("speed", 6)), run(100, points).withColumn("speed", F.round("speed", 6)))
+    empty = some.limit(0)
+    assert resample.fill_gaps(resample.resample(empty, by=by, columns=["speed"]), ["speed"], by=by, counts=resample.grid_size(empty, by=by)).isEmpty()
+
+
 def test_null_keys_are_a_group(hot):
     gone = hot.withColumn("sensor_id", F.when(F.col("sensor_id") != "HOT", F.col("sensor_id")))
     run = lambda n: OrderedRows(gone, "sensor_id", ["timestamp", "event_id"], n).index("i", total="n").result()
