@@ -3,7 +3,8 @@
 1. Each text becomes the set of its distinct word shingles (64-bit hashes). Equal sets are one class, wherever they are.
 2. In one order of all shingles (those of rare words first, known frequent shingles last, else by hash), two sets with a Jaccard similarity of at least t share
    a shingle among the first ``size - ceil(t * size) + 1`` of each: the prefix. Classes with equal prefix and size form a
-   group, and only groups that share a prefix shingle and whose sizes are close enough are paired.
+   group, and only groups that share a prefix shingle and whose sizes are close enough are paired. Groups that share a whole
+   passage meet in the list of its first shingle, and not again where the lists just before show that they have met.
    A group also knows which bits of a short parity sketch all of its classes have and which none has; pairs of groups
    that these bits prove too different go before they are emitted.
 3. Group pairs are expanded to classes, those whose whole parity sketches prove them too different go, and the others are
@@ -26,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arterial.llm import text as tx
@@ -40,6 +41,7 @@ LOCAL_MIN = 4  # texts of one slice that must hold a shingle for it to be counte
 LEADER_ROUNDS = 3
 BROADCAST_ROWS = 500_000
 
+BEFORE = 4  # lists just before a list that tell whether two groups have met already
 FOLDS = 4  # longs of the short parity sketch that group pairs are filtered on
 SKETCH_BITS = (1024, 1 << 17)  # fewest and most parity bits of a set; in between, as many as it has elements or more
 _BASE_FIELDS = "n_shingles bigint, digest binary, sketch array<bigint>, group bigint, prefix array<bigint>"
@@ -274,19 +276,24 @@ class _State:
         placed = pin(self.placed())
         shared = [f(fold).alias(f"{x}{k}") for k, fold in enumerate(self.folds) for x, f in (("all", F.bit_and), ("any", F.bit_or))]
         groups = pin(placed.groupBy("group", "n").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *shared))
-        listed = self.lists.join(groups, ["group", "n"])
-        mixed = listed.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo <> hi").select("token")
-        listed = listed.join(mixed, "token")
+        spans = self.lists.join(groups.select("group", "n", "low", "high"), ["group", "n"])
+        mixed = spans.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo <> hi").select("token")
+        # a group's lists in the order of all shingles (its prefix bounds their number), each with the ones just before it
+        own = Window.partitionBy("group", "n").orderBy("place")
+        before = F.array_compact(F.array(*[F.lag("token", k).over(own) for k in range(1, BEFORE + 1)]))
+        listed = self.lists.join(mixed, "token").join(groups, ["group", "n"]).withColumn("before", before)
         # the first shingle two sets share, in the order of all, has behind it what else they share: a pair is left to the lists
         # in which enough stands behind the shingle on both sides, and its first one is among them
         listed = listed.withColumn("rest", F.col("n") - F.col("place"))
-        told = ["n", "low", "high", "rest", *(f"{x}{k}" for k in range(FOLDS) for x in ("all", "any"))]
+        told = ["n", "low", "high", "rest", "before", *(f"{x}{k}" for k in range(FOLDS) for x in ("all", "any"))]
         side = lambda x: [F.col("group").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in told)]
         one, two = listed.select("token", *side("g")), listed.select("token", *side("h"))
         apart = (F.least("low_g", "low_h") != F.greatest("high_g", "high_h")) & (F.col("g") < F.col("h"))
         enough = F.least("rest_g", "rest_h") * (100 + self.percent) >= (F.col("n_g") + F.col("n_h")) * self.percent
         likely = _bits_apart("g", "h") * (100 + self.percent) <= (F.col("n_g") + F.col("n_h")) * (100 - self.percent)
-        pairs = one.join(two, "token").where(apart & enough & _close("n_g", "n_h", self.percent) & likely).select("g", "n_g", "h", "n_h")
+        # two groups that share a list just before this one meet there, or in an earlier one: their first is never left out
+        first = ~F.arrays_overlap("before_g", "before_h")
+        pairs = one.join(two, "token").where(apart & enough & first & _close("n_g", "n_h", self.percent) & likely).select("g", "n_g", "h", "n_h")
         inner = groups.where("low <> high").select(F.col("group").alias("g"), F.col("n").alias("n_g"), F.col("group").alias("h"), F.col("n").alias("n_h"))
         pairs = pairs.unionByName(inner).distinct()
         of_g = placed.select(F.col("group").alias("g"), F.col("n").alias("n_g"), F.col("digest").alias("a"), F.col("comp").alias("comp_a"))

@@ -116,3 +116,19 @@ def test_sizes_apart_in_one_list(spark, monkeypatch):
     got = jaccard.link_documents(spark.createDataFrame(docs, "doc_id bigint, text string"), words=3, percent=90)
     found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect())
     assert found == brute(docs, 3, 90) and {c for _, _, c in found} == {0, 100}
+
+
+@pytest.mark.parametrize("before", [1, 4])
+def test_shared_passages_without_leaders(spark, monkeypatch, before):
+    """Texts that share passages share many lists; the last round alone must find every link, wherever groups meet first."""
+    monkeypatch.setattr(jaccard, "LEADER_ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "BEFORE", before)
+    rnd = random.Random(21)
+    passages = [" ".join(f"p{k}n{i}" for i in range(20)) for k in range(4)]
+    docs = []
+    for _, text in near_copies(4, 120, 400):
+        docs.append(" ".join([text, *rnd.sample(passages, 2)] if rnd.random() < 0.5 else [rnd.choice(passages), text]))
+    docs = list(enumerate(docs))
+    got = jaccard.link_documents(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), words=3, percent=80)
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect())
+    assert found == brute(docs, 3, 80) and 1 < len({c for _, _, c in found}) < len(docs)
