@@ -50,7 +50,8 @@ def write_sink(
 
     Files can only be appended to; the other sinks get updated rows. Each sink has a checkpoint folder of its own
     (SNK-5), by default one derived from its path, topic or table, which a restart finds again. The console keeps
-    nothing and a memory table ends with its session, so theirs are derived from the session too.
+    nothing and a memory table ends with its session, so theirs are derived from the session too. The rows of a memory
+    table lie beside its checkpoint and not in the driver, which could not hold them (:func:`_session_table`).
     """
     options = options or {}
     if kind not in ("console", "kafka", "parquet", "memory"):
@@ -66,14 +67,36 @@ def write_sink(
     if kind == "kafka":
         df = kafka_records(df, options.get("key", "location_id"))
     mode = options.get("mode", "append" if kind == "parquet" else "update")
+    if kind == "memory":
+        return _session_table(df, options.get("table_name", TABLE_NAME), checkpoint, mode, trigger)
     writer = df.writeStream.outputMode(mode).format(kind).option("checkpointLocation", checkpoint)
     if kind == "kafka":
         writer = writer.option("kafka.bootstrap.servers", options.get("bootstrap_servers", KAFKA["bootstrap_servers"]))
         writer = writer.option("topic", options.get("topic", KAFKA["topic"]))
     elif kind == "parquet":
         writer = writer.option("path", options.get("path", PARQUET_PATH))
-    elif kind == "memory":
-        writer = writer.queryName(options.get("table_name", TABLE_NAME))
+    return _triggered(writer, trigger).start()
+
+
+def _session_table(df: DataFrame, name: str, checkpoint: str, mode: str, trigger: dict | None) -> StreamingQuery:
+    """SNK-4: the rows of each batch as files beside the checkpoint, and a view of the session over them.
+
+    The view is renewed after each batch; a repeated batch overwrites its own files. In complete mode it shows the last
+    batch only.
+    """
+    spark, rows = df.sparkSession, f"{checkpoint.rstrip('/')}-rows"
+
+    def show(folder: str) -> None:
+        files = spark.read.schema(df.schema).option("recursiveFileLookup", "true")
+        files.parquet(folder).createOrReplaceTempView(name)
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{rows}/{number}")
+        show(f"{rows}/{number}" if mode == "complete" else rows)
+
+    spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{rows}/start")
+    show(f"{rows}/start" if mode == "complete" else rows)
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).queryName(name).foreachBatch(save)
     return _triggered(writer, trigger).start()
 
 

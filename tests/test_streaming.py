@@ -79,6 +79,20 @@ def test_memory_and_console_sinks(spark, folder):
         sinks.write_sink(stream, "carrier pigeon")
 
 
+def test_a_memory_table_is_not_held_by_the_driver(spark, tmp_path):
+    source = str(tmp_path / "in")
+    schema = "id BIGINT, speed DOUBLE"
+    for part in range(2):
+        spark.createDataFrame([(part, 1.5), (10 + part, None)], schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)  # the second start goes on where the first ended
+        sinks.write_sink(stream, "memory", {"table_name": "held", "mode": "append"}, str(tmp_path / "cp"), NOW).awaitTermination()
+    assert sorted(r["id"] for r in spark.table("held").collect()) == [0, 1, 10, 11]
+    assert spark.table("held").columns == ["id", "speed"] and spark.table("held").inputFiles()
+    counts = spark.readStream.schema(schema).parquet(source).groupBy("speed").count()
+    sinks.write_sink(counts, "memory", {"table_name": "whole", "mode": "complete"}, trigger=NOW).awaitTermination()
+    assert {tuple(r) for r in spark.table("whole").collect()} == {(1.5, 2), (None, 2)}
+
+
 def test_csv_and_unknown_sources(spark, tmp_path):
     (tmp_path / "a.csv").write_text("sensor_id,timestamp,latitude,longitude,speed,vehicle_count,occupancy,flow_rate\nS1,2024-01-01 00:00:00,40,-74,12.5,3,1,2\n")
     stream = sources.create_source(spark, "file", {"path": str(tmp_path)})
