@@ -49,7 +49,8 @@ def signal_timing(
     )
 
     def with_green(entry):
-        share = F.floor(default_cycle * F.try_divide(entry["flow"], F.col("total_flow")))
+        # multiplied first: a share that is a whole number of seconds must not fall below it by rounding
+        share = F.floor(F.try_divide(default_cycle * entry["flow"], F.col("total_flow")))
         green = F.greatest(F.lit(min_green), F.least(F.lit(max_green), share)).cast("int")
         return F.struct(entry["approach"].alias("approach"), entry["flow"].alias("flow"), green.alias("green"))
 

@@ -92,6 +92,14 @@ def test_signal_timing(spark):
             assert sum(v["green"] for v in r["timing"].values()) + 3 * len(r["timing"]) == r["cycle_time"]
 
 
+def test_greens_that_are_whole_seconds(spark):
+    """A share of 13 in 90 of 90 seconds is 13, though 90 * (13 / 90) is less."""
+    rows = [(n, a, float(f)) for n in range(1, 90) for a, f in (("north", n), ("south", 90 - n))]
+    timings = signals.signal_timing(spark.createDataFrame(rows, "intersection_id INT, approach STRING, flow DOUBLE"))
+    found = {r["intersection_id"]: r["timing"]["north"]["green"] for r in timings.collect()}
+    assert found == {n: max(10, n) for n in range(1, 90)}
+
+
 def test_delay_reduction(spark):
     row = signals.delay_reduction(spark.createDataFrame([(90, 100)], "current_cycle_time INT, optimized_cycle_time INT")).first()
     assert row["cycle_reduction_seconds"] == -10 and row["cycle_reduction_percent"] == pytest.approx(-11.1111, abs=1e-4)
