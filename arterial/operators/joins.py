@@ -53,7 +53,7 @@ def salted_join(
     if hot is None:
         return left.join(right, on)
     salts = hot.withColumn("_salts", F.ceil(F.col("_rows") / rows_per_task).cast("int")).drop("_rows")
-    keys = F.broadcast(keyed(salts, on))
+    keys = keyed(salts, on)
 
     def with_salts(df: DataFrame) -> DataFrame:
         known = df.join(keys, same_key(df, keys, on), "left").drop(*["_k_" + c for c in on])

@@ -3,8 +3,9 @@
 ``Window.partitionBy(sensor).orderBy(time)`` sends every row of a sensor to one task. That is right
 for ordinary sensors and fails for one that holds a third of the table, and for the whole-table
 order (no key at all). :class:`OrderedRows` keeps the plain window for ordinary keys. The rows of hot
-keys are range-partitioned on (key, order) into chunks of a bounded size, and the chunks are pinned
-in the checkpoint folder so that their borders survive lost executors. Row frames then run per
+keys are range-partitioned on (key, order), sorted, and cut into chunks of a bounded size, and the chunks are pinned
+in the checkpoint folder so that their borders survive lost executors. A task of that sort cuts as many chunks as it
+has rows for, so tasks grow with the rows and not with the chunks. Row frames then run per
 (key, chunk) with the few neighbouring rows they look at copied in from the chunks around them, and
 running values are carried from chunk to chunk through a table with one row per (key, chunk), in
 groups of chunks and groups of groups, so that no window spans all chunks.
@@ -27,21 +28,26 @@ ROWS_PER_TASK = 4_000_000
 WHOLE_TABLE_ROWS = 1_000_000
 # Chunks, and groups of chunks, that a window over them may hold.
 FAN_OUT = 256
+# Rows of a task that sorts a range and cuts it into chunks, where chunks are smaller.
+RANGE_ROWS = 250_000
+# Hot keys up to this number are broadcast.
+BROADCAST_KEYS = 100_000
 
 _CHUNK, _HALO = "_chunk", "_halo"
+_AT = "_chunk_at"  # a chunked row's place in the whole order; consecutive within a key's part of a chunk
 
 
 def hot_keys(df: DataFrame, by: Sequence[str], rows_per_task: int, counts: DataFrame | None = None) -> DataFrame | None:
     """Keys with more than ``rows_per_task`` rows and their row counts, or None when there are none.
 
-    ``counts`` (``by`` and ``_rows``) are the counts where they are known without ``df``. The result has at most (rows of df / rows_per_task) rows, so it may be broadcast.
+    ``counts`` (``by`` and ``_rows``) are the counts where they are known without ``df``. The result has at most (rows of df / rows_per_task) rows, is pinned, and carries a broadcast hint if it has few.
     """
     counts = df.groupBy(*by).agg(F.count("*").alias("_rows")) if counts is None else counts.select(*by, "_rows")
-    counts = counts.filter(F.col("_rows") > rows_per_task)
-    rows = counts.collect()
-    if not rows:
+    hot = pin(counts.filter(F.col("_rows") > rows_per_task))
+    size = hot.count()
+    if not size:
         return None
-    return df.sparkSession.createDataFrame(rows, counts.schema)
+    return F.broadcast(hot) if size <= BROADCAST_KEYS else hot
 
 
 def same_key(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Column:
@@ -86,20 +92,30 @@ class OrderedRows:
         if hot is None:
             return
         total = hot.agg(F.sum("_rows")).first()[0]
-        hot = F.broadcast(keyed(hot.drop("_rows"), self.by))
+        hot = keyed(hot.drop("_rows"), self.by)
+        df = pin(df)  # plain rows, hot rows and the borders of their ranges are read from it
         self.plain = df.join(hot, same_key(df, hot, self.by), "left_anti")
         rows = df.join(hot, same_key(df, hot, self.by), "left_semi")
         self.chunked = self._chunk(rows, total, rows_per_task)
 
     def _chunk(self, df: DataFrame, total: int, rows_per_task: int) -> DataFrame:
-        self.chunks = 2 * math.ceil(total / rows_per_task)
-        ranged = df.repartitionByRange(self.chunks, *self.by, *self.order)
-        return pin(ranged.withColumn(_CHUNK, F.spark_partition_id()))
+        """Sorted ranges, cut every ``rows_per_task`` rows. Chunks of one range have consecutive numbers."""
+        ranges = max(df.sparkSession.sparkContext.defaultParallelism, 2 * math.ceil(total / RANGE_ROWS))
+        ranges = min(ranges, 2 * math.ceil(total / rows_per_task))
+        keys = [*self.by, *self.order]
+        ranged = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+        ranged = pin(ranged.withColumns({_AT: F.monotonically_increasing_id(), "_range": F.spark_partition_id()}))
+        # the lower 33 bits of that id are the row's number in its range
+        cut = F.floor(F.col(_AT).bitwiseAND((1 << 33) - 1) / rows_per_task)
+        most = (ranged.agg(F.max(cut)).first()[0] or 0) + 1
+        self.chunks = ranges * most
+        return ranged.withColumn(_CHUNK, F.col("_range") * F.lit(most) + cut).drop("_range")
 
     # -- windows ---------------------------------------------------------------------------
 
     def _window(self, *extra: str, descending: bool = False) -> WindowSpec:
-        sort = [F.col(c).desc() if descending else F.col(c).asc() for c in self.order]
+        order = [_AT] if _CHUNK in extra else self.order
+        sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
         keys = [F.col(c) for c in (*self.by, *extra)]
         return W.partitionBy(*(keys or [F.lit(0)])).orderBy(*sort)
 
@@ -123,11 +139,13 @@ class OrderedRows:
         return self
 
     def _numbered(self) -> DataFrame:
-        """(key, chunk, rows, place): the chunks of each key with dense numbers from 0; pinned once."""
+        """(key, chunk, rows, first and last place, number): the chunks of each key with dense numbers from 0; pinned once."""
         if self._summary is None:
-            counts = pin(self.chunked.groupBy(*self.by, _CHUNK).agg(F.count("*").alias("_n"), F.lit(1).alias("_one")))
+            ends = F.count("*").alias("_n"), F.min(_AT).alias("_lo"), F.max(_AT).alias("_hi"), F.lit(1).alias("_one")
+            counts = pin(self.chunked.groupBy(*self.by, _CHUNK).agg(*ends))
             before = self._before(counts, _CHUNK, self.chunks, {"_one": "sum"}, False)
-            self._summary = pin(before.select(*self.by, _CHUNK, "_n", F.coalesce("_b_one", F.lit(0)).alias("_place")))
+            place = F.coalesce("_b_one", F.lit(0)).alias("_place")
+            self._summary = pin(before.select(*self.by, _CHUNK, "_n", "_lo", "_hi", place))
         return self._summary
 
     def _before(self, table: DataFrame, place: str, size: int, folds: dict[str, str], backward: bool) -> DataFrame:
@@ -175,21 +193,21 @@ class OrderedRows:
         while True:
             on = [*self.by, "_place"]
             side = keyed(asking, on)
+            edge = F.col("_lo" if from_next else "_hi").alias("_edge")
             met = chunks.join(side, same_key(chunks, side, on), "inner").select(
-                *[chunks[c] for c in self.by], chunks["_place"], chunks[_CHUNK], "_target", F.least("_missing", "_n").alias("_take"),
+                *[chunks[c] for c in self.by], chunks["_place"], chunks[_CHUNK], "_target", F.least("_missing", "_n").alias("_take"), edge,
                 (F.col("_missing") - F.col("_n")).alias("_missing"),
             )
             met = pin(met)
-            taken = met.select(*self.by, _CHUNK, "_target", "_take")
+            taken = met.select(*self.by, _CHUNK, "_target", "_take", "_edge")
             asked = taken if asked is None else asked.unionByName(taken)
             asking = met.filter("_missing > 0").select(*self.by, "_target", (F.col("_place") + step).alias("_place"), "_missing")
             if asking.isEmpty():
                 break
-        edge_order = self._window(_CHUNK, descending=not from_next)
-        edges = self.chunked.withColumn("_rank", F.row_number().over(edge_order)).filter(F.col("_rank") <= size)
         on = [*self.by, _CHUNK]
         side = keyed(asked, on)
-        near = edges.join(side, same_key(edges, side, on), "inner").filter(F.col("_rank") <= F.col("_take"))
+        edges = self.chunked
+        near = edges.join(side, same_key(edges, side, on), "inner").filter(F.abs(F.col(_AT) - F.col("_edge")) < F.col("_take"))
         return near.select(
             *[F.col("_target").alias(c) if c == _CHUNK else edges[c] for c in self.chunked.columns], F.lit(True).alias(_HALO)
         )
@@ -209,29 +227,33 @@ class OrderedRows:
 
     def carry(self, values: dict[str, Column], backward: bool = False) -> OrderedRows:
         """Last non-null value at or before each row (``backward``: first at or after it)."""
+        return self.carry_both({}, values) if backward else self.carry_both(values, {})
+
+    def carry_both(self, forward: dict[str, Column], backward: dict[str, Column]) -> OrderedRows:
+        """:meth:`carry` in both directions at once: the rows are summed up, joined and shuffled once."""
         frame = (W.unboundedPreceding, 0)
+        ways = [(values, down) for values, down in ((forward, False), (backward, True)) if values]
         if self.plain is not None:
-            w = self._window(descending=backward).rowsBetween(*frame)
-            self.plain = self.plain.withColumns(
-                {n: F.last(c, ignorenulls=True).over(w) for n, c in values.items()}
-            )
+            found = {}
+            for values, down in ways:
+                w = self._window(descending=down).rowsBetween(*frame)
+                found |= {n: F.last(c, ignorenulls=True).over(w) for n, c in values.items()}
+            self.plain = self.plain.withColumns(found)
         if self.chunked is not None:
-            pick = F.min_by if backward else F.max_by
             per_chunk = [
-                pick(c, F.when(c.isNotNull(), F.struct(*self.order))).alias("_v_" + n) for n, c in values.items()
+                (F.min_by if down else F.max_by)(c, F.when(c.isNotNull(), F.col(_AT))).alias("_v_" + n)
+                for values, down in ways for n, c in values.items()
             ]
             last = pin(self.chunked.groupBy(*self.by, _CHUNK).agg(*per_chunk))
-            before = self._before(last, _CHUNK, self.chunks, {"_v_" + n: "last" for n in values}, backward)
-            joined = self._with_chunk_values(
-                before.select(*self.by, _CHUNK, *[F.col("_b_v_" + n).alias("_c_" + n) for n in values])
-            )
-            w = self._window(_CHUNK, descending=backward).rowsBetween(*frame)
-            self.chunked = joined.withColumns(
-                {
-                    n: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col("_c_" + n))
-                    for n, c in values.items()
-                }
-            ).drop(*["_c_" + n for n in values])
+            for values, down in ways:
+                last = self._before(last, _CHUNK, self.chunks, {"_v_" + n: "last" for n in values}, down)
+            names = [n for values, _ in ways for n in values]
+            joined = self._with_chunk_values(last.select(*self.by, _CHUNK, *[F.col("_b_v_" + n).alias("_c_" + n) for n in names]))
+            found = {}
+            for values, down in ways:
+                w = self._window(_CHUNK, descending=down).rowsBetween(*frame)
+                found |= {n: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col("_c_" + n)) for n, c in values.items()}
+            self.chunked = joined.withColumns(found).drop(*["_c_" + n for n in names])
         return self
 
     def index(self, name: str = "row_index", total: str | None = None) -> OrderedRows:
@@ -244,21 +266,20 @@ class OrderedRows:
                 everything = W.partitionBy(*([F.col(c) for c in self.by] or [F.lit(0)]))
                 self.plain = self.plain.withColumn(total, F.count(F.lit(1)).over(everything))
         if self.chunked is not None:
-            chunks = self._numbered().select(*self.by, _CHUNK, "_n")
+            chunks = self._numbered().select(*self.by, _CHUNK, "_n", "_lo")
             before = self._before(chunks, _CHUNK, self.chunks, {"_n": "sum"}, False)
-            summary = before.select(*self.by, _CHUNK, F.coalesce("_b_n", F.lit(0)).alias("_before"))
+            first = F.coalesce("_b_n", F.lit(0)) + 1 - F.col("_lo")  # added to a row's place, its number
+            summary = before.select(*self.by, _CHUNK, first.alias("_shift"))
             if total:
                 sums = keyed(chunks.groupBy(*self.by).agg(F.sum("_n").alias(total)), self.by)
                 summary = summary.join(sums, same_key(summary, sums, self.by), "inner").drop(*["_k_" + c for c in self.by])
-            joined = self._with_chunk_values(summary)
-            local = F.row_number().over(self._window(_CHUNK))
-            self.chunked = joined.withColumn(name, local + F.col("_before")).drop("_before")
+            self.chunked = self._with_chunk_values(summary).withColumn(name, F.col(_AT) + F.col("_shift")).drop("_shift")
         return self
 
     def result(self) -> DataFrame:
         parts = [self.plain] if self.plain is not None else []
         if self.chunked is not None:
-            parts.append(self.chunked.drop(_CHUNK))
+            parts.append(self.chunked.drop(_CHUNK, _AT))
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)

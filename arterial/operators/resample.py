@@ -53,7 +53,10 @@ def resample(
     # blocks first, points second, so that a long history is never one array
     block = F.expr(f"interval {freq} * {_POINTS}")
     blocks = ends.select(*by, "_last", F.explode(F.sequence("_first", "_last", block)).alias("_start"))
-    blocks = blocks.repartition(*by, "_start")  # the points of one key are made by many tasks
+    # The points of one key are made by many tasks. Blocks are small but their points are not, so the number of tasks is
+    # given: left open, adaptive execution puts all blocks into one.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(tasks, *by, "_start")
     last = F.least(F.col("_last"), F.col("_start") + block - step)
     grid = blocks.select(*by, F.explode(F.sequence("_start", last, step)).alias(ts))
     # one grouping of grid and means: a missing key is a key here, which an equi-join would not meet
@@ -88,17 +91,16 @@ def fill_gaps(
     if method != "interpolate":
         backward = method == "backward_fill"
         return ordered.carry({c: F.col(c) for c in columns}, backward).result()
-    known = {
-        c: F.when(F.col(c).isNotNull(), F.struct(F.unix_micros(ts).alias("t"), F.col(c).cast("double").alias("v")))
-        for c in columns
-    }
-    ordered = ordered.carry({"_p_" + c: k for c, k in known.items()})
-    ordered = ordered.carry({"_n_" + c: k for c, k in known.items()}, backward=True)
+    # time and value apart: numbers combine before a shuffle without a sort, structs do not
+    known = {}
+    for c in columns:
+        there = F.col(c).isNotNull()
+        known |= {"t_" + c: F.when(there, F.unix_micros(ts)), "v_" + c: F.when(there, F.col(c).cast("double"))}
+    ordered = ordered.carry_both({"_p" + n: k for n, k in known.items()}, {"_n" + n: k for n, k in known.items()})
     filled = {}
     for c in columns:
-        before, after = F.col("_p_" + c), F.col("_n_" + c)
-        share = F.try_divide((F.unix_micros(ts) - before["t"]).cast("double"), (after["t"] - before["t"]).cast("double"))
-        between = before["v"] + (after["v"] - before["v"]) * share
-        filled[c] = F.coalesce(F.col(c).cast("double"), between, before["v"])
-    helpers = [p + c for c in columns for p in ("_p_", "_n_")]
+        t0, v0, t1, v1 = (F.col(p + c) for p in ("_pt_", "_pv_", "_nt_", "_nv_"))
+        share = F.try_divide((F.unix_micros(ts) - t0).cast("double"), (t1 - t0).cast("double"))
+        filled[c] = F.coalesce(F.col(c).cast("double"), v0 + (v1 - v0) * share, v0)
+    helpers = [p + c for c in columns for p in ("_pt_", "_pv_", "_nt_", "_nv_")]
     return ordered.result().withColumns(filled).drop(*helpers)

@@ -109,8 +109,7 @@ def detect_stops(
         ordered = ordered.index("_mark")
     ordered = ordered.rows(build, behind=2, ahead=2)
     mark = F.col("_mark") if duration == "rows" else F.col(ts)
-    ordered = ordered.carry({"_start": F.when(F.col("_first"), mark)})
-    ordered = ordered.carry({"_end": F.when(F.col("_last"), mark)}, backward=True)
+    ordered = ordered.carry_both({"_start": F.when(F.col("_first"), mark)}, {"_end": F.when(F.col("_last"), mark)})
     if duration == "rows":
         length = ((F.col("_end") - F.col("_start")) * 60).cast("double")
     else:

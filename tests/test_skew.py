@@ -162,3 +162,41 @@ def test_values_pass_over_many_chunks_in_groups(spark, by, monkeypatch):
     same(few.result(), values(None).result())
     plan = ordering.OrderedRows(frame, by, "t", 4).index("n").carry({"c": F.col("t")}).result()._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan  # no window, and no task, holds all chunks
+
+
+def test_chunks_share_the_tasks_that_cut_them(spark):
+    """Small chunks of many rows: tasks grow with the rows, not with the chunks, and chunks keep their size."""
+    frame = spark.range(40_000).select("id", (F.col("id") % 2).alias("k"))
+    for by in (None, "k"):
+        ordered = OrderedRows(frame, by, "id", 40)
+        keys = [by] if by else []
+        sizes = ordered.chunked.groupBy(*keys, "_chunk").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 40 and sizes.count() >= 1000
+        assert len(ordered.chunked.inputFiles()) <= spark.sparkContext.defaultParallelism
+        numbered = ordered.index("i", total="n").result()
+        assert numbered.count() == 40_000
+        expected = F.col("id") + 1 if by is None else F.floor(F.col("id") / 2) + 1
+        assert numbered.filter((F.col("i") != expected) | (F.col("n") != (40_000 if by is None else 20_000))).isEmpty()
+
+
+def test_salted_readings_meet_sums_of_days(spark, monkeypatch):
+    from arterial.plans import catalogue
+
+    rows, join = [], joins.salted_join
+
+    def watched(left, right, on, *more):
+        rows.append(right.groupBy(on).count().agg(F.max("count")).first()[0])
+        return join(left, right, on, *more)
+
+    monkeypatch.setattr(catalogue.joins, "salted_join", watched)
+    assert catalogue.far_salted(spark, "/root/testdata/sf0.001").count() > 1
+    assert rows[0] <= 2
+
+
+def test_points_of_a_grid_are_made_by_many_tasks(spark):
+    """Few small blocks, each of many points, stay spread under adaptive execution."""
+    ends = spark.range(64).select(F.col("id").cast("string").alias("sensor_id"), F.explode(F.array(F.lit(0), F.lit(3_000))).alias("hour"))
+    ends = ends.select("sensor_id", F.timestamp_seconds(F.col("hour") * 3600).alias("timestamp"), F.lit(1.0).alias("speed"))
+    out = resample.resample(ends, "1 hour", "sensor_id", columns=["speed"])
+    assert out.count() == 64 * 3_001
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
