@@ -1112,8 +1112,10 @@ def far_stops(spark, sf):
 
 @query
 def far_fill(spark, sf):
-    hourly = resample.resample(views.crowded_readings(spark, sf), "1 hour", "sensor_id", columns=["speed"])
-    return rounded(resample.fill_gaps(hourly, ["speed"], "interpolate", "sensor_id", rows_per_task=FEW_ROWS), 9)
+    readings = views.crowded_readings(spark, sf)
+    points = resample.grid_size(readings, "1 hour", "sensor_id")
+    hourly = resample.resample(readings, "1 hour", "sensor_id", columns=["speed"])
+    return rounded(resample.fill_gaps(hourly, ["speed"], "interpolate", "sensor_id", rows_per_task=FEW_ROWS, counts=points), 9)
 
 
 @query
@@ -1132,11 +1134,17 @@ def far_knn(spark, sf):
 
 @query
 def far_salted(spark, sf):
-    """Readings of a sensor against its readings of the first two days, a third of all at one sensor."""
+    """Readings of a sensor against its readings of the first two days, a third of all at one sensor.
+
+    A reading meets the sums of a day, not each of its readings: pairs would grow with the square of a sensor's readings.
+    """
     r = views.crowded_readings(spark, sf)
-    early = r.filter("timestamp < '2024-01-03'").select("sensor_id", F.col("speed").alias("early_speed"))
+    early = r.filter("timestamp < '2024-01-03'").groupBy("sensor_id", F.to_date("timestamp").alias("day")).agg(
+        F.count("*").alias("n"), F.count("speed").alias("measured"), F.sum("speed").alias("early_speed")
+    )
     met = joins.salted_join(r.select("sensor_id", "event_id", "speed"), early, "sensor_id", ["event_id"], FEW_ROWS)
-    return met.groupBy("sensor_id").agg(F.count("*").alias("n"), F.round(F.sum(F.col("speed") - F.col("early_speed")), 2).alias("gap"))
+    gap = F.col("measured") * F.col("speed") - F.col("early_speed")
+    return met.groupBy("sensor_id").agg(F.sum("n").alias("n"), F.round(F.sum(gap), 2).alias("gap"))
 
 
 # -- sources and sinks over data derived from the tables ---------------------------------------------
