@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arterial.operators.components import components
+from arterial.operators.network import shortest_paths
 from arterial.session import pin
 
+# Rounds after which a network whose heights still fall is searched for negative cycles.
+HEIGHT_ROUNDS = 24
+
 
 def bellman_ford(edges: DataFrame, pairs: DataFrame, max_rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(routes, cycles) for each distinct pair of ``pairs(src, dst)`` over ``edges(src, dst, weight)``.
@@ -21,6 +25,10 @@ def bellman_ford(edges: DataFrame, pairs: DataFrame, max_rounds: int | None = No
 
     Cycles are ``(cycle, nodes, cost, num_segments)``: named by their smallest node, with the nodes in driving order from
     there. Every pair reached through a cycle makes one be listed, not every cycle of the network.
+
+    A network with heights (:func:`_heights`) has no such cycle, and weights that count the climb are not negative. It is
+    searched by :func:`shortest_paths`, whose sources stop at the cost of their dearest target instead of spreading over all
+    the network; costs are the same.
     """
     pairs = pin(pairs.select("src", "dst").dropna().distinct())
     weight = F.col("weight").cast("double")
@@ -29,6 +37,9 @@ def bellman_ford(edges: DataFrame, pairs: DataFrame, max_rounds: int | None = No
     usable = usable.filter((F.col("src") != F.col("dst")) | (weight < 0))
     edges = pin(usable.groupBy("src", "dst").agg(F.min(weight).alias("weight")))
     steps = edges.select(F.col("src").alias("node"), F.col("dst").alias("_to"), "weight")
+    heights = _heights(edges)
+    if heights is not None:
+        return _over_heights(edges, pairs, heights, max_rounds), _cycles(_no_turning(pairs), edges)
     start = pairs.select(F.col("src").alias("source")).distinct()
     state = frontier = pin(start.select(
         "source", F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.lit(0).alias("hops"), F.col("source").alias("pred")
@@ -66,10 +77,51 @@ def bellman_ford(edges: DataFrame, pairs: DataFrame, max_rounds: int | None = No
         found = found.join(marks, ["src", "dst"], "left").withColumn("negative_cycle", F.coalesce("_lost", F.lit(False)))
     routes = found.select("src", "dst", F.col("cost").isNotNull().alias("success"), "cost", F.col("hops").alias("num_segments"), "negative_cycle")
     if turning is None:
-        turning = state.limit(0)
+        turning = _no_turning(pairs)
     return routes, _cycles(turning, edges)
 
 
+def _no_turning(pairs: DataFrame) -> DataFrame:
+    return pairs.limit(0).select(F.col("src").alias("source"), F.col("src").alias("node"), F.col("src").alias("pred"))
+
+
+def _heights(edges: DataFrame) -> DataFrame | None:
+    """(node, height): the cost of the cheapest way from anywhere to the node, at most 0; a row per node, not per source.
+
+    None if they still fall after ``HEIGHT_ROUNDS`` rounds, as they do for ever on a negative cycle.
+    """
+    nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
+    heights = pin(nodes.withColumn("height", F.lit(0.0)))
+    lowest = edges.agg(F.min("weight")).first()[0]
+    if lowest is None or lowest >= 0:
+        return heights
+    if lowest == float("-inf"):
+        return None
+    for _ in range(HEIGHT_ROUNDS):
+        offers = edges.join(heights.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node"))
+        offers = offers.agg(F.min(F.col("height") + F.col("weight")).alias("_offer"))
+        lower = F.col("_offer") < F.col("height")
+        moved = pin(heights.join(offers, "node", "left").select("node", F.when(lower, F.col("_offer")).otherwise(F.col("height")).alias("height"), lower.alias("_moved")))
+        if moved.where("_moved").isEmpty():
+            return heights
+        heights = moved.drop("_moved")
+    return None
+
+
+def _over_heights(edges: DataFrame, pairs: DataFrame, heights: DataFrame, max_rounds: int | None) -> DataFrame:
+    """Routes by weights that count the climb from height to height; along a way the climbs add up to that of its ends."""
+    of_src = heights.withColumnsRenamed({"node": "src", "height": "_from"})
+    of_dst = heights.withColumnsRenamed({"node": "dst", "height": "_to"})
+    level = F.greatest(F.col("weight") + F.col("_from") - F.col("_to"), F.lit(0.0))  # below 0 by rounding only
+    found = shortest_paths(
+        edges.join(of_src, "src").join(of_dst, "dst").select("src", "dst", level.alias("weight")), pairs, max_rounds, with_path=False
+    )
+    climb = F.coalesce("_to", F.lit(0.0)) - F.coalesce("_from", F.lit(0.0))
+    return found.join(of_src, "src", "left").join(of_dst, "dst", "left").select(
+        "src", "dst", "success", (F.col("cost") + climb).alias("cost"), "num_segments", F.lit(False).alias("negative_cycle")
+    )
+
+
 def _circling(state: DataFrame, rounds: int) -> DataFrame:
     """(source, node, pred) of the nodes on circles of predecessors, found by doubling steps."""
     back = state.select("source", "node", "pred")

@@ -175,3 +175,28 @@ def test_bellman_ford_against_a_plain_one(spark):
     for c in listed:
         ring = [*c.nodes, c.nodes[0]]
         assert sum(weight[e] for e in zip(ring, ring[1:])) == c.cost < 0 and min(c.nodes) == c.nodes[0] == c.cycle
+
+
+def test_sources_stop_at_their_targets_where_weights_are_negative(spark, monkeypatch):
+    """A long street up and down: a source with a target next to it does not spread over all of the street."""
+    from arterial.operators import bellman_ford as module
+    from arterial.operators import network
+
+    height = [0, 4, 1, 3, 2, 5]
+    both = [(a, b) for i in range(39) for a, b in ((i, i + 1), (i + 1, i))]
+    edges = spark.createDataFrame([(a, b, 1.0 + height[b % 6] - height[a % 6]) for a, b in both], "src int, dst int, weight double")
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(39)], "src int, dst int")
+    sizes, pin = [], module.pin
+
+    def watched(df):
+        out = pin(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "pin", watched)
+    monkeypatch.setattr(network, "pin", watched)
+    routes, cycles = module.bellman_ford(edges, pairs)
+    got = {(r["src"], r["dst"]): (r["success"], r["cost"], r["num_segments"], r["negative_cycle"]) for r in routes.collect()}
+    assert got == {(i, i + 1): (True, 1.0 + height[(i + 1) % 6] - height[i % 6], 1, False) for i in range(39)}
+    assert cycles.isEmpty() and cycles.columns == ["cycle", "nodes", "num_segments", "cost"]
+    assert max(sizes) <= 8 * 39  # all pairs of places would be 1600
