@@ -155,3 +155,48 @@ def test_slow_runs():
     assert run((0, 5, 2), [12, 13], [True, False]) == ([(0, 12, 3)], None)
     assert run((0, 5, 2), [40], [True]) == ([(0, 5, 2)], (40, 40, 1))
     assert run((0, 5, 2), [], []) == ([], (0, 5, 2))
+
+
+def test_vehicles_share_the_state_of_their_group(spark, tmp_path):
+    """300 vehicles, some fixes without a vehicle: calls to the state grow with the groups, not with vehicles or fixes."""
+    names = [f"v{i}" for i in range(300)] + [None]
+    rows = [(v, T0 + timedelta(minutes=i), 2.0 if i in (1, 2, 3, 6) else 40.0) for v in names for i in range(9)]
+    random.Random(5).shuffle(rows)
+    schema, source, out = "vehicle_id STRING, timestamp TIMESTAMP, speed_kmh DOUBLE", str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (rows[:900], rows[900:], [("late", T0 + timedelta(hours=9), 40.0)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = sinks.write_sink(queries.live_stops(stream, groups=8), "parquet", {"path": out}, str(tmp_path / "cp"), NOW)
+    query.awaitTermination()
+    timers = [int(p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"]) for p in query.recentProgress]
+    assert 0 < max(timers) <= 8
+    stops = spark.read.parquet(out)
+    found = stops.groupBy("vehicle_id").agg(F.sort_array(F.collect_list("fixes")).alias("fixes")).collect()
+    assert {r["vehicle_id"]: r["fixes"] for r in found} == {v: [1, 3] for v in names}
+
+
+def test_waiting_fixes_come_back_from_several_rows():
+    class Memory(list):
+        get, appendList = list.copy, list.extend
+
+        def put(self, rows):
+            self[:] = rows
+
+    class Handle:
+        def __init__(self):
+            self.state, self.timers = Memory(), set()
+            self.deleteTimer, self.registerTimer, self.listTimers = self.timers.remove, self.timers.add, lambda: list(self.timers)
+
+        def getListState(self, *_):
+            return self.state
+
+    handle, stops = Handle(), queries.StopProcessor(5.0, 60.0, 100.0)
+    stops.CHUNK, stops.ROWS_PER_CALL = 3, 2
+    stops.init(handle)
+    minute = np.arange(10) * 60_000_000
+    news = {v: (minute[::-1].copy(), (minute >= 60_000_000 * k)[::-1].copy()) for k, v in ((2, "a"), (4, "b"))}
+    assert not list(stops._advance(news, 0)) and len(handle.state) == 6 and handle.timers == {60_000}
+    assert not list(stops._advance({}, 300_000)) and handle.timers == {360_000}
+    done = list(stops._advance({}, 10_000_000))[0]
+    assert done[["vehicle_id", "fixes", "stop_duration"]].values.tolist() == [["a", 8, 420.0], ["b", 6, 300.0]]
+    assert not handle.state and not handle.timers
