@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from arterial.functions.geo import EARTH_RADIUS_KM, haversine
 from arterial.functions.traffic import travel_time_minutes
+from arterial.operators import cells
 from arterial.operators.components import components
 from arterial.operators.joins import lookup_join, salted_join
 from arterial.operators.ordering import ROWS_PER_TASK
@@ -66,19 +67,43 @@ def landmark_table(edges: DataFrame, landmarks: Sequence, reach: int = 3) -> Dat
     """``(node, from_landmarks, to_landmarks)``: costs from and to each of ``landmarks`` (ids), null where there is no way.
 
     For lower bounds in :func:`shortest_paths`; make it once per network and keep it. Landmarks at the rim serve best.
-    Shortcuts over up to 2 ** ``reach`` segments are laid first, so rounds cover that many segments each; lower it for
-    networks with many neighbours per node.
+    The network is cut into cells of nodes with neighbouring ids, and only the rims of cells stay, level by level; costs are
+    found between the few nodes of the last level and go back down, so the work does not grow with the length of ways.
+    Where ids say so little about places that cells are nearly all rim, rounds follow the ways: shortcuts over up to
+    2 ** ``reach`` segments are laid first, so they cover that many segments each; lower it for networks with many
+    neighbours per node.
     """
-    spark = edges.sparkSession
     weight = F.col("weight").cast("double")
     plain = edges.filter((F.col("src") != F.col("dst")) & weight.isNotNull() & ~F.isnan(weight))
-    short = pin(plain.groupBy("src", "dst").agg(F.min(weight).alias("weight")))
+    graph = pin(plain.groupBy("src", "dst").agg(F.min(weight).alias("weight")))
+    levels = []
+    while not graph.isEmpty():
+        parts = cells.cut(graph)
+        placed, count = cells.placed(graph, parts), parts.count()
+        tasks = -(-count // cells.TASK_NODES)
+        smaller = pin(cells.contract(placed, landmarks, tasks))
+        ends = smaller.select(F.col("src").alias("node")).unionByName(smaller.select(F.col("dst").alias("node")))
+        if ends.distinct().count() > cells.SHRINKS * count:
+            break
+        levels.append((placed, parts, tasks))
+        graph = smaller
+    costs = _landmark_rounds(graph, landmarks, reach)
+    for placed, parts, tasks in reversed(levels):
+        costs = cells.expand(placed, parts, costs, landmarks, tasks)
+    finite = lambda c: F.transform(c, lambda v: F.when(v < float("inf"), v))
+    some = lambda c: F.when(F.exists(c, lambda v: v < float("inf")), finite(c)).alias(c)
+    return costs.select("node", some("from_landmarks"), some("to_landmarks")).filter("from_landmarks is not null or to_landmarks is not null")
+
+
+def _landmark_rounds(short: DataFrame, landmarks: Sequence, reach: int) -> DataFrame:
+    """``(node, from_landmarks, to_landmarks)``, infinity where there is no way, by rounds over shortcuts."""
+    spark = short.sparkSession
     for _ in range(reach):
         further = short.select(F.col("src").alias("dst"), F.col("dst").alias("_end"), F.col("weight").alias("_more"))
         longer = short.join(further, "dst").select("src", F.col("_end").alias("dst"), (F.col("weight") + F.col("_more")).alias("weight"))
         both = short.unionByName(longer.filter("src <> dst"))
         short = pin(both.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
-    start = spark.createDataFrame([(i, n) for i, n in enumerate(landmarks)], T.StructType([T.StructField("i", T.IntegerType()), T.StructField("node", edges.schema["src"].dataType)]))
+    start = spark.createDataFrame([(i, n) for i, n in enumerate(landmarks)], T.StructType([T.StructField("i", T.IntegerType()), T.StructField("node", short.schema["src"].dataType)]))
     found = {}
     for name, tail, head in (("from_landmarks", "src", "dst"), ("to_landmarks", "dst", "src")):
         steps = short.select(F.col(tail).alias("node"), F.col(head).alias("_next"), "weight")
@@ -90,8 +115,11 @@ def landmark_table(edges: DataFrame, landmarks: Sequence, reach: int = 3) -> Dat
             state = pin(state.unionByName(frontier).groupBy("i", "node").agg(F.min("cost").alias("cost")))
         costs = F.map_from_entries(F.collect_list(F.struct("i", "cost")))  # one entry per landmark
         numbers = F.sequence(F.lit(0), F.lit(len(landmarks) - 1))
-        found[name] = state.groupBy("node").agg(costs.alias("_costs")).select("node", F.transform(numbers, lambda i: F.col("_costs")[i]).alias(name))
-    return found["from_landmarks"].join(found["to_landmarks"], "node", "full")
+        dense = F.transform(numbers, lambda i: F.coalesce(F.col("_costs")[i], F.lit(float("inf"))))
+        found[name] = state.groupBy("node").agg(costs.alias("_costs")).select("node", dense.alias(name))
+    both = found["from_landmarks"].join(found["to_landmarks"], "node", "full")
+    nowhere = F.array_repeat(F.lit(float("inf")), len(landmarks))
+    return pin(both.select("node", *[F.coalesce(name, nowhere).alias(name) for name in found]))
 
 
 class Goals:

@@ -146,6 +146,41 @@ def test_directed_searches_find_the_same_costs(spark):
     assert cost(landmarks=pin(network.landmark_table(edges, [0, 80]))) == plain
 
 
+def test_landmark_costs_do_not_take_rounds_along_the_network(spark, monkeypatch):
+    """A strip of 4 x 300 nodes in cells of 50, with one-way and free segments, a part of its own and a landmark nobody meets."""
+    import heapq
+    import random
+
+    from arterial.operators import cells
+
+    monkeypatch.setattr(cells, "CELL_NODES", 50)
+    rng = random.Random(7)
+    near = [(a, b) for a in range(1200) for b in (a + 4, a - 4, a + 1, a - 1) if 0 <= b < 1200 and (abs(a - b) == 4 or a // 4 == b // 4)]
+    ways = [(a, b, rng.randint(0, 9)) for a, b in near if rng.random() < 0.9] + [(2000, 2001, 1)]
+    landmarks = [0, 1199, 2001, 5000]
+    want = {}
+    for kind in (0, 1):
+        for i, start in enumerate(landmarks):
+            queue, cost = [(0.0, start)], {start: 0.0}
+            steps = {}
+            for a, b, w in ways:
+                steps.setdefault((a, b)[kind], []).append(((b, a)[kind], w))
+            while queue:
+                so_far, at = heapq.heappop(queue)
+                for to, w in steps.get(at, []) if so_far == cost[at] else []:
+                    if so_far + w < cost.get(to, 1e9):
+                        cost[to] = so_far + w
+                        heapq.heappush(queue, (cost[to], to))
+            for n, c in cost.items():
+                want.setdefault(n, [[None] * 4, [None] * 4])[kind][i] = c
+    spark.sparkContext.setJobGroup("landmarks", "landmarks")
+    found = network.landmark_table(graph(spark, ways), landmarks, reach=1).collect()
+    spark.sparkContext._jsc.clearJobGroup()
+    some = lambda costs: None if all(c is None for c in costs) else costs
+    assert {r["node"]: (r["from_landmarks"], r["to_landmarks"]) for r in found} == {n: (some(a), some(b)) for n, (a, b) in want.items()}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("landmarks")) < 250  # two directions of 150 rounds took 4 or more each
+
+
 def test_bellman_ford_against_a_plain_one(spark):
     import random
 
