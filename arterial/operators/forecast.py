@@ -23,6 +23,8 @@ from arterial.operators.sequences import at_or_after, chronological_split, rows_
 from arterial.session import pin
 
 HORIZONS = (15, 30, 60)
+# trees keep their rows in memory, about 1 KB each, and a task reads all rows of its part in every round
+TREE_ROWS = 250_000
 ENSEMBLE_WEIGHTS = {"lstm": 0.3, "cnn_lstm": 0.5, "gnn": 0.2}  # fixed values
 
 
@@ -84,6 +86,12 @@ def assemble(df: DataFrame, features: Sequence[str], target: str = "speed") -> D
     return VectorAssembler(inputCols=list(features), outputCol="_features").transform(ready)
 
 
+def dealt(df: DataFrame, rows_per_task: int) -> DataFrame:
+    """``df`` with its rows dealt evenly to more tasks if its parts hold more rows than one task should."""
+    rows = df.count()
+    return df if rows <= rows_per_task * df.rdd.getNumPartitions() else df.repartition(-(-rows // rows_per_task))
+
+
 def train(
     df: DataFrame, features: Sequence[str], target: str = "speed", kind: str = "linear", regularization: float = 1e-4
 ) -> Model:
@@ -94,7 +102,8 @@ def train(
         estimator = GBTRegressor(**_COLUMNS, maxIter=20, maxDepth=5, seed=42)
     else:
         raise ValueError(f"unknown kind {kind!r}")
-    return estimator.fit(assemble(df, features, target))
+    ready = assemble(df, features, target)
+    return estimator.fit(dealt(ready.select("_features", "_label"), TREE_ROWS) if kind == "gbt" else ready)
 
 
 def predict(

@@ -200,3 +200,17 @@ def test_points_of_a_grid_are_made_by_many_tasks(spark):
     out = resample.resample(ends, "1 hour", "sensor_id", columns=["speed"])
     assert out.count() == 64 * 3_001
     assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_trees_are_dealt_to_more_tasks(spark, monkeypatch):
+    from arterial.operators import forecast
+
+    df = spark.range(1000).coalesce(2).selectExpr("id", "cast(id % 10 as double) as x", "cast(id % 10 > 4 as double) as speed")
+    parts = forecast.dealt(df, 100).rdd.glom().map(len).collect()
+    assert sum(parts) == 1000 and len(parts) == 10 and max(parts) <= 110
+    assert forecast.dealt(df, 500).rdd.getNumPartitions() == 2
+    seen = []
+    monkeypatch.setattr(forecast.GBTRegressor, "_fit", lambda self, rows: seen.append(rows.rdd.getNumPartitions()))
+    monkeypatch.setattr(forecast, "TREE_ROWS", 100)
+    forecast.train(df, ["x"], kind="gbt")
+    assert seen == [10]
