@@ -1,15 +1,17 @@
 """Exact nearest neighbours on the sphere (JON-3, JON-4).
 
 Nodes are sorted into cells of a grid over their bounding cube (unit-sphere coordinates, so poles and
-the date line need no care); a cell with too many nodes is divided again. Points descend that
+the date line need no care); a cell with too many nodes is divided again. A point first meets the nodes
+of the undivided cell it lies in, which bounds how far it has to look. Points then descend that
 hierarchy as a series of equi-joins: at each level a point keeps only cells that can still hold one of
-its k nearest nodes, judged by the distances to the cells' bounding boxes. No point meets all nodes of a
-crowded area, however the nodes are spread, and nothing is cut off that could matter.
+its k nearest nodes, judged by that bound and by the distances to the cells' bounding boxes. No point meets all
+nodes of a crowded area, however the nodes are spread, and nothing is cut off that could matter.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -43,18 +45,24 @@ def _box_distance(cell: Column, farthest: bool) -> Column:
     return F.sqrt(total)
 
 
-def _divide(nodes: DataFrame, broadcast_cells: int) -> tuple[list[DataFrame], DataFrame, list[int], int]:
-    """Cells of each level, nodes packed per undivided cell, number of cells per level and of nodes."""
+def _grid(low: dict, extent: float) -> dict[str, Column]:
+    """Numbers of the finest cells of (x, y, z) along each axis of the cube."""
+    scale = 2 ** (_BITS * MAX_LEVEL)
+    return {"g" + a: F.floor((F.col(a) - low[a]) / extent * scale).cast("long") for a in "xyz"}
+
+
+def _divide(nodes: DataFrame, broadcast_cells: int) -> tuple[list[DataFrame], DataFrame, list[int], int, Callable]:
+    """Cells of each level, nodes packed per undivided cell, number of cells per level and of nodes, and ``own``.
+
+    ``own(points)`` has a row for each level with undivided cells: the cell that (x, y, z) lies in, or the nearest along each axis.
+    """
     low = nodes.agg(*[F.min(a).alias(a) for a in "xyz"], *[F.max(a).alias(a + "1") for a in "xyz"]).first()
-    levels, sizes, leaves, total = [], [], [], 0
+    levels, sizes, leaves, depths, total = [], [], [], [], 0
     if low["x"] is None:
-        return levels, None, sizes, total
+        return levels, None, sizes, total, None
+    low = low.asDict()
     extent = max(low[a + "1"] - low[a] for a in "xyz") * (1 + 1e-9) + 1e-15
-    scale = 2 ** (_BITS * MAX_LEVEL)
-    grid = nodes.withColumns(
-        {"g" + a: F.floor((F.col(a) - low[a]) / extent * scale).cast("long") for a in "xyz"}
-    )
-    active = grid
+    active = nodes.withColumns(_grid(low, extent))
     for level in range(1, MAX_LEVEL + 1):
         shift = _BITS * (MAX_LEVEL - level)
         at_level = {"c" + a: F.shiftright("g" + a, shift) for a in "xyz"}
@@ -67,6 +75,8 @@ def _divide(nodes: DataFrame, broadcast_cells: int) -> tuple[list[DataFrame], Da
         total = inside if level == 1 else total
         levels.append(cells)
         sizes.append(count)
+        if divided < count:
+            depths.append(level)
         flags = cells.select(*_CELL, "divided")
         if count <= broadcast_cells:
             marked = active.join(F.broadcast(flags), _CELL)
@@ -81,8 +91,15 @@ def _divide(nodes: DataFrame, broadcast_cells: int) -> tuple[list[DataFrame], Da
     stacked = leaves[0]
     for leaf in leaves[1:]:
         stacked = stacked.unionByName(leaf)
-    packed = stacked.groupBy("level", *_CELL).agg(F.collect_list(F.struct("id", "lat", "lon")).alias("nodes"))
-    return levels, packed, sizes, total
+    packed = pin(stacked.groupBy("level", *_CELL).agg(F.collect_list(F.struct("id", "lat", "lon")).alias("nodes")))
+
+    def own(points: DataFrame) -> DataFrame:
+        inside = {a: F.least(F.greatest(F.col(a), F.lit(low[a])), F.lit(low[a + "1"])) for a in "xyz"}
+        at = points.withColumns(inside).withColumns(_grid(low, extent))
+        cells = [F.struct(F.lit(n).alias("level"), *[F.shiftright("g" + c[1], _BITS * (MAX_LEVEL - n)).alias(c) for c in _CELL]) for n in depths]
+        return at.select(*points.columns, F.explode(F.array(*cells)).alias("_own")).select(*points.columns, "_own.*")
+
+    return levels, packed, sizes, total, own
 
 
 def knn_join(
@@ -121,14 +138,22 @@ def knn_join(
     )
     # each place meets many cells, so it takes more tasks than the bytes of the places suggest
     tasks = 2 * int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    start = pin(places).repartition(tasks, "place")
-    start = start.withColumns({"p" + a: c for a, c in _xyz(F.col("plat"), F.col("plon")).items()})
-    columns = ["place", "plat", "plon", "px", "py", "pz"]
-    levels, packed, sizes, total = _divide(located, broadcast_cells)
+    places = pin(places)
+    columns = ["place", "plat", "plon", "px", "py", "pz", "within"]
+    levels, packed, sizes, total, own_cells = _divide(located, broadcast_cells)
     if not levels:
         return _rename(
             base.limit(0).select("pid", F.lit(None).cast(located.schema["id"].dataType).alias("id"),
                                  F.lit(0.0).alias("distance_m"), F.lit(0).alias("rank")), point_id, node_id)
+    on_cell = ["level", *_CELL]
+    # the nodes of its own cell bound how far a place has to look; where they are too few, boxes do below
+    own = own_cells(places.select("place", "plat", "plon").withColumns(_xyz(F.col("plat"), F.col("plon"))))
+    own = own.join(F.broadcast(packed), on_cell) if total <= broadcast_cells else lookup_join(own, packed, on_cell)
+    metres = F.transform("nodes", lambda n: F.round(haversine("plat", "plon", n["lat"], n["lon"], EARTH_RADIUS_M), 3))
+    bounds = own.select("place", F.get(F.array_sort(metres), F.lit(wanted - 1)).alias("within"))
+    start = lookup_join(places, bounds, "place", "left").repartition(tasks, "place")
+    start = start.withColumns({"p" + a: c for a, c in _xyz(F.col("plat"), F.col("plon")).items()})
+    chord = 2 * F.sin(F.least(F.col("within") / EARTH_RADIUS_M, F.lit(math.pi)) / 2)
     reach = math.inf if radius_m is None else 2 * math.sin(min(radius_m / EARTH_RADIUS_M, math.pi) / 2)
 
     # the root is one row; the first level has at most 512 cells, deeper ones hang below their parents
@@ -149,7 +174,7 @@ def knn_join(
         # a cell with enough nodes of its own bounds the search before all its siblings are sorted
         enough = F.filter("cells", lambda c: c["n"] >= wanted)
         bound = F.array_min(F.transform(enough, lambda c: _box_distance(c, True)))
-        bound = F.least(F.coalesce(bound, F.lit(4.0)), F.lit(min(reach, 4.0))) + F.lit(_SLACK)
+        bound = F.least(F.coalesce(chord, bound, F.lit(4.0)), F.lit(min(reach, 4.0))) + F.lit(_SLACK)
         # undivided cells have no children and stay as they are
         own = ["level", *_CELL, "n", "near", "far", "divided"]
         spread = joined.select(*columns, *own, "cells", bound.alias("_bound")).withColumn("cell", F.explode_outer("cells"))
@@ -173,16 +198,16 @@ def knn_join(
         state = bounded.filter(
             F.col("_limit").isNull() | (F.col("near") <= F.col("_limit") + F.lit(_SLACK))
         ).drop("_upto", "_limit")
-    on = ["level", *_CELL]
     if total <= broadcast_cells:
-        matched = state.join(F.broadcast(packed), on)
+        matched = state.join(F.broadcast(packed), on_cell)
     else:
-        matched = lookup_join(state, packed, on)
-    candidates = matched.select("place", "plat", "plon", F.explode("nodes").alias("node")).select(
-        "place", "plat", "plon",
+        matched = lookup_join(state, packed, on_cell)
+    candidates = matched.select("place", "plat", "plon", "within", F.explode("nodes").alias("node")).select(
+        "place", "plat", "plon", "within",
         F.col("node.id").alias("id"),
         haversine("plat", "plon", "node.lat", "node.lon", EARTH_RADIUS_M).alias("distance_m"),
     )
+    candidates = candidates.filter(F.col("within").isNull() | (F.round("distance_m", 3) <= F.col("within"))).drop("within")
     if radius_m is not None:
         candidates = candidates.filter(F.col("distance_m") <= radius_m)
     nearest = W.partitionBy("place").orderBy(F.round("distance_m", 3), "id")

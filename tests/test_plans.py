@@ -1,12 +1,13 @@
 """Physical plans, and the driver contract."""
 
+from collections import Counter
 from datetime import datetime
 
 import pytest
 
 import __spark_entry__ as entry
 from arterial.functions.geo import within_bounds
-from arterial.operators import congestion, features, ordering
+from arterial.operators import congestion, features, ordering, spatial
 from arterial.plans import catalogue, views
 from arterial.session import checkpoint_root
 from arterial.sources.files import time_range
@@ -115,3 +116,27 @@ def test_quantiles_take_few_jobs(spark, readings):
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs) <= 16  # a scan is one or two jobs under adaptive execution
+
+
+def rows_out(plan, found: Counter) -> Counter:
+    """Rows that the operators of an executed plan put out, by the operator's name."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return rows_out(plan.executedPlan(), found)
+    if name.endswith("QueryStageExec"):
+        return rows_out(plan.plan(), found)
+    metric = plan.metrics().get("numOutputRows")
+    found[name] += metric.get().value() if metric.isDefined() else 0
+    for i in range(plan.children().size()):
+        rows_out(plan.children().apply(i), found)
+    return found
+
+
+def test_a_point_near_nodes_meets_few_cells(spark):
+    """The nodes of its own cell bound its search: 29 rows of joins and 434 cells and nodes a point before that."""
+    grid = lambda n, name, off: spark.range(n).selectExpr(f"id as {name}", f"40 + floor(id / 100) * 0.005 + {off} as latitude", f"-74 + id % 100 * 0.005 + {off} as longitude")
+    found = spatial.nearest_node(grid(1000, "point_id", 0.001), grid(10_000, "id", 0.0))
+    assert {(r.point_id, r.node_id) for r in found.collect()} == {(i, i) for i in range(1000)}
+    rows = rows_out(found._jdf.queryExecution().executedPlan(), Counter())
+    assert sum(n for name, n in rows.items() if "Join" in name) < 12 * 1000
+    assert rows["GenerateExec"] < 300 * 1000
