@@ -114,7 +114,8 @@ def expand(edges: DataFrame, cells: DataFrame, costs: DataFrame, landmarks: Sequ
             from_[:, k] = np.min(from_[:, near] + there, axis=1, initial=np.inf)
             to[:, k] = np.min(to[:, near] + back, axis=1, initial=np.inf)
         gone = [k for k, *_ in steps]
-        return pd.DataFrame({"node": [ids[k] for k in gone], names[0]: list(from_[:, gone].T), names[1]: list(to[:, gone].T)})
+        found = {"node": [ids[k] for k in gone], names[0]: list(from_[:, gone].T), names[1]: list(to[:, gone].T)}
+        return pd.DataFrame(found, dtype=object)  # all nodes of a cell may stay, and pandas takes empty lists for numbers
 
     known = lookup_join(costs, cells, "node").repartition(tasks, "cell").groupBy("cell")
     found = touching(edges, tasks).groupBy("cell").cogroup(known).applyInPandas(inner, costs.schema)

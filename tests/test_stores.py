@@ -181,6 +181,19 @@ def test_landmark_costs_do_not_take_rounds_along_the_network(spark, monkeypatch)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("landmarks")) < 250  # two directions of 150 rounds took 4 or more each
 
 
+def test_landmark_costs_where_all_nodes_of_a_cell_stay(spark, monkeypatch):
+    """Ladders in cells of 10: the last cell has a rung of two nodes on its rim, or one node without a segment of its own."""
+    from arterial.operators import cells
+
+    monkeypatch.setattr(cells, "CELL_NODES", 10)
+    for size in (22, 21):
+        near = [(a, b) for a in range(size) for b in (a + 2, a - 2, a ^ 1) if 0 <= b < size]
+        found = network.landmark_table(graph(spark, [(a, b, 1) for a, b in near]), [0, 20], reach=1).collect()
+        assert len(found) == size
+        for r in found:
+            assert r["from_landmarks"] == r["to_landmarks"] == [r["node"] // 2 + r["node"] % 2, 10 - r["node"] // 2 + r["node"] % 2]
+
+
 def test_bellman_ford_against_a_plain_one(spark):
     import random
 
